@@ -5,20 +5,44 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from slidemill.llm import licenses, mixing, pii, topk
 from slidemill.llm.common import table
 from slidemill.llm.packing import pack
 from slidemill.llm.tokens import token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 
+# target weights of the mixing query
+WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}, "source": {"src0": 2}}
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).drop("digest", "found")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, share=(6, 10), max_epochs=2, seed=42)
+
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op9_packing)}
-ORACLES: dict[str, str] = {}
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op5_mixing, op6_token_counts, op7_license_scan, op9_packing, op10_exact_top_k)}
+ORACLES = {
+    "op5_mixing": mixing.oracle_sql(WEIGHTS, (6, 10), 2, 42),
+    "op7_license_scan": licenses.oracle_sql(),
+    "op10_exact_top_k": topk.SQL,
+}
