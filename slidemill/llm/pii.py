@@ -199,9 +199,11 @@ def fit(spark: SparkSession) -> tuple[list, dict[str, float]]:
 
 def accepted(trees: list, thresholds: dict[str, float]) -> Column:
     """Whether a loose candidate's score, read off the trees, reaches its kind's threshold."""
-    bit = lambda i: F.shiftright(F.col("bits"), i).bitwiseAND(1)
-    leaf = lambda i, j, v: F.when(bit(i) == 1, F.when(bit(j) == 1, v[3]).otherwise(v[2])).otherwise(F.when(bit(j) == 1, v[1]).otherwise(v[0]))
-    score = sum((leaf(*t) for t in trees[1:]), leaf(*trees[0]))
+    bit = lambda b, i: F.when(b.bitwiseAND(i) != 0, 1).otherwise(0)
+    forest = F.array(*(F.struct(F.lit(1 << i).alias("i"), F.lit(1 << j).alias("j"), F.array(*map(F.lit, v)).alias("v")) for i, j, v in trees))
+    step = lambda b: lambda a, t: a + F.get(t["v"], (2 * bit(b, t["i"]) + bit(b, t["j"])).cast("int"))
+    # one-element transform: the pattern is worked out once for a row, not once for each tree
+    score = F.get(F.transform(F.array("bits"), lambda b: F.aggregate(forest, F.lit(0.0), step(b))), 0)
     least = F.lit(None).cast("double")
     for kind, at in thresholds.items():
         if at < math.inf:
