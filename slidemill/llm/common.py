@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +73,47 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return cur.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
         cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``doc_id, text, y`` of the rows with a usable 0/1 label; an id labelled twice takes the larger one.
+
+    The labels are broadcast only if counted to be few (16 bytes a row); beyond that Spark joins by shuffle.
+    """
+    y = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
+        .where("doc_id is not null and y in (0, 1)")
+        .groupBy("doc_id")
+        .agg(F.max("y").alias("y"))
+    )
+    if labels.count() <= broadcast_rows:
+        y = F.broadcast(y)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(y, "doc_id")
+
+
+def fold(modulus: int):
+    """The row's fold, from its id alone; null ids count as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+def fit_logistic(points: list[tuple[float, int, int]], l2: float = 1e-3, rounds: int = 100) -> tuple[float, float]:
+    """Slope and intercept of P(y = 1 | x) over weighted points ``(x, y, rows)``, by damped Newton steps."""
+    x, y, n = (np.array(c, float) for c in zip(*points, strict=True)) if points else (np.zeros(0),) * 3
+    if not len(x) or not 0 < (y * n).sum() < n.sum():
+        return 1.0, 0.0
+    mid, spread = float((x * n).sum() / n.sum()), float(max(x.std(), 1e-9))
+    z = (x - mid) / spread
+    w = np.array([0.0, math.log((y * n).sum() / ((1 - y) * n).sum())])
+    loss = lambda w: float((n * (np.logaddexp(0, w[0] * z + w[1]) - y * (w[0] * z + w[1]))).sum()) / n.sum() + l2 * w[0] ** 2 / 2
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(w[0] * z + w[1], -40, 40)))
+        g = np.array([(n * (p - y) * z).sum(), (n * (p - y)).sum()]) / n.sum() + [l2 * w[0], 0]
+        q = n * np.maximum(p * (1 - p), 1e-9) / n.sum()
+        h = np.array([[(q * z * z).sum() + l2, (q * z).sum()], [(q * z).sum(), q.sum()]]) + 1e-9 * np.eye(2)
+        step, size = np.linalg.solve(h, g), 1.0
+        while size > 1e-4 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if abs(size * step).max() < 1e-9:
+            break
+    return float(w[0] / spread), float(w[1] - w[0] * mid / spread)
