@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slidemill.llm import jaccard, licenses, mixing, pii, topk, toxicity
+from slidemill.llm import jaccard, licenses, mixing, pii, quality, topk, toxicity
 from slidemill.llm.common import table
 from slidemill.llm.packing import pack
 from slidemill.llm.tokens import token_counts
@@ -28,6 +28,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=4, held=2, threshold=0.7)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, share=(6, 10), max_epochs=2, seed=42)
 
@@ -48,7 +52,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_toxicity, op3_ngram_jaccard, op5_mixing, op6_token_counts, op7_license_scan, op9_packing, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_toxicity, op3_ngram_jaccard, op4_quality, op5_mixing, op6_token_counts, op7_license_scan, op9_packing, op10_exact_top_k)}
 ORACLES = {
     "op3_ngram_jaccard": jaccard.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(WEIGHTS, (6, 10), 2, 42),
