@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slidemill.llm import jaccard, licenses, mixing, pii, quality, topk, toxicity
+from slidemill.llm import fingerprints, jaccard, licenses, mixing, pii, quality, topk, toxicity
 from slidemill.llm.common import table
 from slidemill.llm.packing import pack
 from slidemill.llm.tokens import token_counts
@@ -44,6 +44,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
 
@@ -52,7 +56,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_toxicity, op3_ngram_jaccard, op4_quality, op5_mixing, op6_token_counts, op7_license_scan, op9_packing, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_toxicity, op3_ngram_jaccard, op4_quality, op5_mixing, op6_token_counts, op7_license_scan, op8_fingerprints, op9_packing, op10_exact_top_k)}
 ORACLES = {
     "op3_ngram_jaccard": jaccard.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(WEIGHTS, (6, 10), 2, 42),
