@@ -14,15 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the session's shared folder.
-
-    ``spark.checkpoint.dir`` names the folder; only a session without one (tests) gets a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see: ``spark.checkpoint.dir``; only a session without one (tests) gets a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

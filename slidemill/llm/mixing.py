@@ -115,6 +115,12 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, i
     return everything.unionByName(prefix)
 
 
+def keep_mixed(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, int], seed: int = 42) -> DataFrame:
+    """The documents a single epoch chooses, whole (a crossing one too), all columns as they are."""
+    chosen = mix(docs, weights, share, max_epochs=1, seed=seed).select(F.col("doc_id").alias("_chosen")).distinct()
+    return docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen["_chosen"]), "left_semi")
+
+
 def oracle_sql(weights: dict[str, dict[str, int]], share: tuple[int, int], max_epochs: int, seed: int) -> str:
     """The same choice as DuckDB SQL, with one window for each leaf."""
     case = lambda c: "CASE " + c + "".join(f" WHEN '{k}' THEN {v}" for k, v in weights.get(c, {}).items()) + " ELSE 1 END" if weights.get(c) else "1"
