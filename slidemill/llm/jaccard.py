@@ -2,8 +2,11 @@
 
 The plan, for sets of distinct word shingles and links where ``den * |A & B| >= num * |A | B|``:
 
-1. One narrow pass turns each text into signatures. The universe of shingle hashes is dealt into ``k`` parts; two
+1. A first pass counts shingles in a table of fixed size and marks the common ones, those of shared passages.
+   A second narrow pass turns each text into signatures. The universe of shingle hashes is dealt into ``k`` parts; two
    linked sets differ in at most ``d`` shingles, so with ``k > d`` parts at least one part is the same in both.
+   Signatures are taken of the uncommon shingles, so that a shared passage alone makes no candidates, and of whole
+   sets only where those are too few. Which shingles are marked has no bearing on the result, only on the work.
    Within a scan partition equal sets, and signatures met before, turn into an edge at once: a signature leaves a
    partition once, however many documents hold it.
 2. Documents sharing a signature are candidates; components of the candidate graph are blocks. Only blocks of two or
@@ -82,34 +85,67 @@ def levels_of(n: int, num: int, den: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(sets: np.ndarray, num: int, den: int) -> np.ndarray:
+CELLS = 22  # bits of the table that counts shingles
+
+
+def signatures(sets: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the parts of a set, one for each level, round and part that is not empty.
 
     At a level of sizes up to ``top`` linked sets differ in at most ``d = 2 top (den - num) / (den + num)`` shingles.
     With ``k = d + 1 + spare`` parts and at most ``spare`` empty ones, at least one part is equal and not empty. A set
-    with more empty parts also takes part in a next round with more of them; after the last round its empty parts
-    count as parts. Two linked sets share a signature in the first round that either of them can close.
+    with more empty parts also takes part in a next round with more of them. Shingles marked in ``common`` are left
+    out; a set that closes no round without them adds the signatures of all its shingles, where after the last round
+    empty parts count as parts. Two linked sets share a signature in the first round that either of them can close,
+    or else both come to the same end.
     """
     out = []
+    basis = sets if common is None else sets[~common[(sets >> np.uint64(64 - CELLS)).astype(np.int64)]]
     for level, top in levels_of(len(sets), num, den):
         d = 2 * top * (den - num) // (den + num)
         spare = 1 + d // 16
         for attempt in range(4):
             k = d + 1 + spare
-            salt = np.uint64((level * 8 + attempt + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-            part = (_mix(sets ^ salt) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order], prepend=np.uint64(k)))
-            used = part[order][cuts]
-            body = np.add.reduceat(_mix(sets[order] + salt), cuts)  # sets are distinct, so a sum is a fair set hash
-            out.append(_mix(body ^ _mix(used + salt)))
+            salt = np.uint64((level * 16 + attempt * 2 + (common is None)) * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1)
+            used = np.empty(0, np.uint64)
+            if len(basis):
+                part = (_mix(basis ^ salt) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
+                order = np.argsort(part.astype(np.uint16) if k < 65536 else part, kind="stable")
+                ranked = part[order]
+                cuts = np.flatnonzero(np.diff(ranked, prepend=np.uint64(k)))
+                used = ranked[cuts]
+                body = np.add.reduceat(_mix(basis[order] + salt), cuts)  # sets are distinct, so a sum is a fair set hash
+                out.append(_mix(body ^ _mix(used + salt)))
             if k - len(used) <= spare:
                 break
             if attempt == 3:
-                empty = np.setdiff1d(np.arange(k, dtype=np.uint64), used)
-                out.append(_mix(_mix(empty + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+                if common is None:
+                    empty = np.setdiff1d(np.arange(k, dtype=np.uint64), used)
+                    out.append(_mix(_mix(empty + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+                else:
+                    out.append(signatures(sets, num, den))
             spare *= 2
-    return np.concatenate(out)
+    return np.unique(np.concatenate(out))
+
+
+def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int = 4) -> np.ndarray:
+    """Marks of the table cells whose shingles stand in many documents: at least ``least`` and ``above_mean`` times the mean."""
+    cells = 1 << CELLS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, table = WordHasher(), np.zeros(cells, np.uint32)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                table[(shingles(text, size, hasher) >> np.uint64(64 - CELLS)).astype(np.int64)] += 1
+        at = np.flatnonzero(table >= 4)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(table[at], table.sum(dtype=np.int64)), pa.int64())], ["cell", "n"])
+
+    sums = docs.select(F.col("text").cast("string")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    total = (sums.where("cell < 0").first() or {"n": 0})["n"]
+    marks = np.zeros(cells, bool)
+    # at most 2 ** CELLS / above_mean cells can reach the bound
+    found = sums.where((F.col("cell") >= 0) & (F.col("n") >= max(least, above_mean * total / cells))).select("cell").toArrow()
+    marks[found["cell"].to_numpy()] = True
+    return marks
 
 
 def linked(common: int, a: int, b: int, num: int, den: int) -> bool:
@@ -222,9 +258,11 @@ def _touch(roots: np.ndarray, forest: Forest, q: int, ids: np.ndarray) -> np.nda
 def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Rows ``(kind, key, doc, val)``: 0 a document with its set size, 1 a candidate edge and 3 an equal set found inside
     the partition, 2 a signature."""
+    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(common_shingles(docs, size)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, equal, row = WordHasher(), {}, {}, 0
+        common = np.unpackbits(marks.value).astype(bool)
         names = ["kind", "key", "doc", "val"]
         for batch in batches:
             kind, key, doc, val = [], [], [], []
@@ -246,7 +284,7 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                     put(3, np.array([d]), d, np.array([equal[mark]], np.int64))
                     continue
                 equal[mark] = d
-                sigs = signatures(s, num, den).view(np.int64)
+                sigs = signatures(s, num, den, common).view(np.int64)
                 met = np.fromiter((seen.setdefault(x, d) for x in sigs.tolist()), np.int64, len(sigs))
                 fresh = met == d
                 put(2, sigs[fresh], d, np.zeros(int(fresh.sum()), np.int64))
