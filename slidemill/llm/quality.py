@@ -121,10 +121,9 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
         yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(b, pa.int32()), pa.array(seen[y, b], pa.int64())], ["y", "bucket", "n"])
 
     fit_rows = train.where(part != 0)
-    sums = fit_rows.select("text", "y").mapInArrow(count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).collect()
+    sums = fit_rows.select("text", "y").mapInArrow(count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
     seen = np.full((2, size), alpha)
-    for r in sums:
-        seen[r["y"], r["bucket"]] += r["n"]
+    seen[sums["y"].to_numpy(), sums["bucket"].to_numpy()] += sums["n"].to_numpy()
     seen /= seen.sum(1, keepdims=True)
     ratio = np.log(seen[1]) - np.log(seen[0])
 
