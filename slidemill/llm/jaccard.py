@@ -40,21 +40,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Known(dict):
+    """Hashes of words, worked out when first asked for."""
+
+    def __init__(self):
+        import xxhash
+
+        super().__init__()
+        self.one = xxhash.xxh3_64_intdigest
+
+    def __missing__(self, word):
+        self[word] = h = self.one(word)
+        return h
+
+
 class WordHasher:
     """Stable 64-bit hashes of words, remembered up to a limit."""
 
     def __init__(self, limit: int = 300_000):
-        import xxhash
+        self.known, self.limit = _Known(), limit
+
+    def __call__(self, words: list) -> np.ndarray:
+        if len(self.known) > self.limit:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
-        self.one, self.known, self.limit = xxhash.xxh3_64_intdigest, {}, limit
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.one(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+#: Odd multipliers of a shingle's words.
+_ODD = [np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1) for i in range(64)]
 
 
 def shingles(text: str | None, size: int, hasher: WordHasher) -> np.ndarray:
@@ -63,11 +76,11 @@ def shingles(text: str | None, size: int, hasher: WordHasher) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     h = hasher(words)
-    n = max(1, len(words) - size + 1)
-    out = np.full(n, min(size, len(words)), np.uint64)
-    for i in range(min(size, len(words))):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n])
-    return np.unique(out)
+    n, held = max(1, len(words) - size + 1), min(size, len(words))
+    out = np.full(n, held, np.uint64)
+    for i in range(held):
+        out += h[i : i + n] * _ODD[i % 64]
+    return np.unique(_mix(out))
 
 
 def levels_of(n: int, num: int, den: int) -> list[tuple[int, int]]:
@@ -140,11 +153,11 @@ def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(table[at], table.sum(dtype=np.int64)), pa.int64())], ["cell", "n"])
 
     sums = docs.select(F.col("text").cast("string")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    total = (sums.where("cell < 0").first() or {"n": 0})["n"]
+    # one row for each cell at most, whatever the input; one of them holds the total
+    found = sums.where(F.col("n") >= least).toArrow()
+    cell, n = found["cell"].to_numpy(), found["n"].to_numpy()
     marks = np.zeros(cells, bool)
-    # at most 2 ** CELLS / above_mean cells can reach the bound
-    found = sums.where((F.col("cell") >= 0) & (F.col("n") >= max(least, above_mean * total / cells))).select("cell").toArrow()
-    marks[found["cell"].to_numpy()] = True
+    marks[cell[(cell >= 0) & (n >= above_mean * n[cell < 0].sum() / cells)]] = True
     return marks
 
 
@@ -195,6 +208,7 @@ def divide_skip(sets: list[np.ndarray], asks: list[int], start: list[int], num:
     keys, term = np.unique(flat, return_inverse=True)
     order = np.argsort(term, kind="stable")
     lists = owner[order]  # ids of one term together, rising
+    place = term[order] * len(sets) + lists  # (term, id) as one rising number, for probes
     ends = np.cumsum(np.bincount(term, minlength=len(keys)))
     begins = ends - np.bincount(term, minlength=len(keys))
     first = np.cumsum(sizes) - sizes
@@ -215,7 +229,8 @@ def divide_skip(sets: list[np.ndarray], asks: list[int], start: list[int], num:
         longest = int(lengths.max())
         n_long = min(int(need / (mu * np.log2(max(2, longest)) + 1)), need - 1, int((lengths > 8).sum()))
         short, long = by_length[: n - n_long], by_length[n - n_long :]
-        merged = np.concatenate([lists[begins[t] : ends[t]] for t in short])
+        sizes_short = ends[short] - begins[short]
+        merged = lists[np.arange(sizes_short.sum()) + np.repeat(begins[short] - np.cumsum(sizes_short) + sizes_short, sizes_short)]
         hits = np.bincount(merged, minlength=len(sets)) if len(merged) * 4 > len(sets) else None
         if hits is None:
             ids, count = np.unique(merged, return_counts=True)
@@ -227,17 +242,14 @@ def divide_skip(sets: list[np.ndarray], asks: list[int], start: list[int], num:
         other = roots[ids] != roots[q]
         ids, count = ids[other], count[other]
         least = -(-num * (n + sizes[ids]) // (num + den))
-        for at, t in enumerate(long):
+        for at in range(0, n_long, 16):
+            ok = count + (n_long - at) >= least
+            ids, count, least = ids[ok], count[ok], least[ok]
             if not len(ids):
                 break
-            ok = count + (n_long - at) >= least
-            if not ok.all():
-                ids, count, least = ids[ok], count[ok], least[ok]
-                if not len(ids):
-                    break
-            row = lists[begins[t] : ends[t]]
-            place = np.searchsorted(row, ids)
-            count = count + (row[np.minimum(place, len(row) - 1)] == ids)
+            probe = long[at : at + 16, None] * len(sets) + ids[None, :]
+            found = place[np.minimum(np.searchsorted(place, probe), len(place) - 1)] == probe
+            count = count + found.sum(0)
         changed = False
         for i, c in zip(ids.tolist(), count.tolist(), strict=True):
             if linked(c, n, int(sizes[i]), num, den) and forest.join(q, i):
