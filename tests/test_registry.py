@@ -1,5 +1,5 @@
 import pytest
-from conftest import compare
+from duck import compare
 
 from slidemill.plans import registry
 
