@@ -1,0 +1,203 @@
+"""Operators on single texts, against brute force: PII, licences, tokens, packing, fingerprints."""
+
+import hashlib
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from slidemill.llm import fingerprints, licenses, packing, pii, tokens
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def luhn(d):
+    digits = [int(c) for c in reversed(d)]
+    return sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(digits)) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and max(map(int, m[0].split("."))) > 255 or kind == "card" and not (16 <= len(d) <= 19 and luhn(d)) or kind == "phone" and not 8 <= len(d) <= 15:
+                continue
+            out.append((kind, m.start(), m.end()))
+    return out
+
+
+def joined(spans):
+    return ",".join("%s:%d:%d" % s for s in spans)
+
+
+def check_pii(rows, texts):
+    got = sorted((str(r.doc_id), r.base_sha256, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in rows)
+    want = []
+    for i, t in texts:
+        spans = base_spans(t or "")
+        n = Counter(k for k, _, _ in spans)
+        want.append((str(i), hashlib.sha256(joined(spans).encode()).hexdigest(), n["email"], n["ip"], n["card"], n["phone"]))
+    assert got == sorted(want)
+
+
+def test_pii_base_spans_are_all_there(spark, docs, odd):
+    for df in (docs, odd):
+        texts = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        rows = pii.find(df).collect()
+        check_pii(rows, texts)
+        by = {(r.doc_id, r.spans) for r in rows}
+        for i, t in texts:
+            assert any(d == i and set(joined(base_spans(t or "")).split(",")) <= set(s.split(",")) | {""} for d, s in by)
+
+
+def test_pii_hard_texts(spark):
+    texts = [
+        (1, "a@b.com_x@d.org a@b.c.d@e.f x@y z@"), (2, "a" * 100000 + "@"), (3, "1 " * 30000), (4, "9" * 50000 + ".2"), (5, "1.2.3.4.5.6.7.8 999.1.1.1 01.002.255.0"), (6, "+1+2 34567890 +12-(3)4.5 67-8"), (7, "é4111-1111 1111 1111\U0001F600 5@a.b"),
+    ]
+    check_pii(pii.find(spark.createDataFrame(texts, "doc_id long, text string")).collect(), texts)
+
+
+def test_pii_adds_clear_of_base_and_redacts(spark):
+    text = "call (555) 123-4567 or +1 (437) 555-0689; order 555 123 4567; version 12.345.678"
+    row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spans = [(s.kind, s.start, s.end) for s in row.found]
+    assert ("phone", 5, 19) in spans and ("phone", 23, 40) in spans
+    assert not any(text[a:b].startswith("12.345") for _, a, b in spans)
+    out = pii.redact(spark.createDataFrame([(1, text, 3), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")).orderBy("doc_id").collect()
+    assert out[0].text.startswith("call [PHONE] or [PHONE];") and out[0].n_chars == len(out[0].text) and out[1].text is None and out[2].text == "clean"
+
+
+def test_pii_empty_table(empty):
+    assert pii.find(empty).count() == 0 and pii.redact(empty).columns == empty.columns
+
+
+def licence_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    hits = [(i, n) for p, n in licenses.BASE for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+    return len(words), len(hits), min((i for i, _ in hits), default=None), max((i for i, _ in hits), default=None), ",".join(sorted({n for _, n in hits}))
+
+
+def test_licences_against_plain_search(odd, docs, empty):
+    for df in (odd, docs):
+        got = sorted((str(r.doc_id), r.n_words, r.n_base, str(r.first_word), str(r.last_word), r.base_labels) for r in licenses.scan(df).collect())
+        want = sorted((str(r.doc_id), n, b, str(f), str(x), names) for r in df.select("doc_id", "text").collect() for n, b, f, x, names in [licence_base(r.text or "")])
+        assert got == want
+    assert licenses.scan(empty).count() == 0
+
+
+def test_licence_notice_with_gaps_gets_its_label(spark):
+    t = "Foo. Permission is hereby granted, free of charge, to any other person obtaining a copy of this software and associated documentation files bar"
+    row = licenses.scan(spark.createDataFrame([(1, t), (2, "plain words only")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert row[0].labels == "mit" and row[0].base_labels == "" and 0.6 <= row[0].score < 1 and row[0].spans[0].start == 1
+    assert row[1].labels == "" and row[1].score == 0
+
+
+def test_token_counts_equal_the_library(docs, odd, empty):
+    tok = library()
+    for df in (docs, odd):
+        got = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.token_counts(df, PATH).collect())
+        want = sorted((str(r.doc_id), len(t.encode()), n, n > 2048) for r in df.select("doc_id", "text").collect() for t in [r.text or ""] for n in [len(tok.encode(t, add_special_tokens=False).ids)])
+        assert got == want
+    assert tokens.token_counts(empty, PATH).count() == 0
+
+
+PIECES = ["the", "Ünïcode", "é", "İstanbul", "don't", "'S", "12", "½", "&&&", "…!", "漢字", "<|endoftext|>", "<|", "\x07", " ", " ", "\x85", "ΣΑΣ", "ﬁ", "ä.", "\x1c", "\t", "!́"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(PIECES), st.text(max_size=6)), max_size=12), st.lists(st.sampled_from(["", " ", "\n", "  "]), min_size=12, max_size=12))
+def test_word_codes_equal_the_library(parts, gaps):
+    text = "".join(p + g for p, g in zip(parts, gaps, strict=False)).encode("utf-8", "ignore").decode()
+    ids = b"".join(b"".join(c) for _, c in CODER.batches([text]))
+    assert np.frombuffer(ids, "<u4").tolist() == TOK.encode(text, add_special_tokens=False).ids
+
+
+CODER, TOK = tokens.WordCoder(PATH, lengths_only=False), library()
+
+
+def test_long_texts_split_at_blanks_only():
+    text = ("ab cd\n" * 1000) + "x" * 500
+    chunks = list(tokens.safe_chunks(text, 100))
+    assert len(chunks) > 10 and "".join(chunks).replace(" ", "").replace("\n", "") == text.replace(" ", "").replace("\n", "")
+    assert all(c == "" or c[0] not in "bd" for c in chunks)
+
+
+def check_packing(rows, df):
+    tok = library()
+    enc = [(r.doc_id, tok.encode(r.text or "", add_special_tokens=False).ids + [1]) for r in df.select("doc_id", "text").collect()]
+    whole = Counter((i, len(e)) for i, e in enc)
+    held = Counter()
+    for r in rows:
+        held[r.doc_id, r.doc_tokens] += r.length
+    assert held == Counter({k: n * k[1] for k, n in whole.items()})
+    crcs = Counter((i, o, zlib.crc32(np.array(e[o : o + 2048], "<u4").tobytes())) for i, e in enc for o in range(0, len(e), 2048))
+    assert Counter((r.doc_id, r.start, r.ids_crc32) for r in rows) == crcs
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= 2048
+
+
+def test_packing_is_a_partition_of_the_ids(docs, odd, empty):
+    for df in (docs, odd):
+        check_packing(packing.pack(df, PATH).collect(), df)
+    assert packing.pack(empty, PATH).count() == 0
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=30))
+def test_patterns_cover_the_histogram(histogram):
+    patterns = packing.shortest_pack_first(histogram, 64)
+    seen = Counter()
+    for count, parts in patterns:
+        assert count > 0 and sum(n * t for n, t in parts) <= 64
+        for n, t in parts:
+            seen[n] += count * t
+    assert seen == Counter(histogram)
+    assert len(patterns) <= 4 * 64
+
+
+def edited(rows):
+    order = sorted(rows, key=lambda r: ((r[0] is None), -(r[0] or 0), r[1]))
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True):
+        half = len(t) // 2
+        yield str(i), len(t), hashlib.sha256((t[: len(t) - half] + n[:half]).encode()).hexdigest()
+
+
+def test_fingerprints(docs, odd, empty):
+    for df, per in ((docs, 40), (odd, 2), (odd, 1000)):
+        rows = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+        out = fingerprints.fingerprints(df, rows_per_bucket=per).collect()
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in out) == sorted(edited(rows))
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out)
+        seen = {}
+        texts = {}
+        for i, t in rows:
+            texts.setdefault(i, set()).add(t)
+        for r in out:
+            if len(texts[r.doc_id]) == 1:
+                assert seen.setdefault(next(iter(texts[r.doc_id])), r.fingerprint) == r.fingerprint
+    assert fingerprints.fingerprints(empty).count() == 0
+
+
+def test_edited_texts_are_liker_than_strangers(docs):
+    out = fingerprints.fingerprints(docs).collect()
+    assert sum(r.near_edited > r.near_next for r in out) > 0.85 * len(out)
