@@ -48,7 +48,7 @@ def build_catalog(spark: SparkSession, raw_root: str, prior_csv: str, flat_folde
 
 def tile_images(spark: SparkSession, folder: str, target: str | None = None, microscope: str | None = None, parasite: str | None = DEFAULT_PARASITE, patch: int = 1024, stride: int = 256, min_fov_fraction: float = 1.0) -> DataFrame:
     """Tiles of the folder's images that fit the filters, written below ``target/<parasite>`` if that is given."""
-    chosen = tiles.select_sources(files.image_files(spark, folder, "tile"), microscope, parasite)
+    chosen = tiles.select_sources(files.image_contents(spark, folder, "tile"), microscope, parasite)
     out = tiling.tile_images(chosen, patch, stride, min_fov_fraction).withColumn("parasite", F.get(F.split("file_name", "__"), F.lit(1)))
     if target:
         sinks.write_pngs(out, target, "parasite").count()
@@ -60,7 +60,7 @@ def propose_boxes(spark: SparkSession, folder: str, prior_json: str | None = Non
 
     With ``target`` the COCO document, YOLO texts of the new images and overlays are written below it.
     """
-    found = files.image_files(spark, folder, "detect")
+    found = files.image_contents(spark, folder, "detect")
     old_images, old_annotations = files.read_proposals(spark, prior_json or f"{folder}/no-such-proposals.json")
     old_annotations = old_annotations.select("id", "image_id", "category_id", *(F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate("xywh")), "area", "iscrowd", "score", "detection_method")
     if force:
@@ -92,7 +92,7 @@ def review_state(images: DataFrame, annotations: DataFrame, edits: DataFrame | N
 
 def fuse_folder(spark: SparkSession, folder: str, target: str | None = None, **options) -> DataFrame:
     """Fuse the images of one folder as one scene; metric rows and the output, written below ``target`` if given."""
-    views = files.image_files(spark, folder, "fuse").select(F.lit("scene").alias("scene"), F.col("file_name").alias("name"), "content")
+    views = files.image_contents(spark, folder, "fuse").select(F.lit("scene").alias("scene"), F.col("file_name").alias("name"), "content")
     out = fusion.fuse_scene(views, **options)
     if target:
         sinks.write_pngs(out.select(F.lit("super_resolved.png").alias("name"), "png"), target).count()

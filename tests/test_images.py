@@ -142,3 +142,33 @@ def test_live_edits(spark, tmp_path):
     q.awaitTermination(120)
     got = {(r.box_id): (r.status, r.label, r.gone) for r in spark.table("edits_now").collect()}
     assert got == {"a": ("approved", "cyst", False), "b": (None, None, True)}
+
+
+def bmp(bgr):
+    """A 24-bit bitmap file."""
+    h, w = bgr.shape[:2]
+    body = b"".join(r.tobytes() + b"\0" * (-3 * w % 4) for r in bgr[::-1])
+    return b"BM" + (54 + len(body)).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little") + (40).to_bytes(4, "little") + w.to_bytes(4, "little") + h.to_bytes(4, "little") + b"\1\0\x18\0" + bytes(24) + body
+
+
+def test_other_formats_reach_the_operators_as_png(spark, tmp_path):
+    img = scene(20, 31)
+    img[3, 4] = (9, 8, 7)
+    (tmp_path / "a b.bmp").write_bytes(bmp(img))
+    (tmp_path / "b.png").write_bytes(K.encode_png(img))
+    (tmp_path / "broken.jpg").write_bytes(b"no image")
+    (tmp_path / "notes.txt").write_text("x")
+    got = {r.file_name: r.content for r in files.image_contents(spark, str(tmp_path), "detect").collect()}
+    assert set(got) == {"a b.bmp", "b.png", "broken.jpg"} and got["broken.jpg"] is None
+    assert (K.to_bgr(K.decode_png(bytes(got["a b.bmp"]))) == img).all()
+
+
+def test_sixteen_bit_png_and_unit_scale():
+    import struct
+    import zlib
+
+    px = np.array([[0, 65535, 256]], np.uint16)
+    part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    data = b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", 3, 1, 16, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(b"\0" + px.astype(">u2").tobytes())) + part(b"IEND", b"")
+    out = K.decode_png(data)
+    assert out.dtype == np.uint16 and (out == px).all() and np.allclose(K.unit(out), [[0, 1, 256 / 65535]])
