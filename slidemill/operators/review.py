@@ -47,7 +47,7 @@ def replay(boxes: DataFrame, edits: DataFrame) -> DataFrame:
     timeline = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct("seq", "status"))).alias(name))
     by_file = timeline(bulk.where("file_name is not null").groupBy("file_name"), "bulks")
     overall = timeline(bulk.where("file_name is null").groupBy(F.lit(1).alias("one")), "all_bulks")  # one row: the log's bulk actions on everything
-    f = every.join(last, ["file_name", "id"], "left").join(by_file, "file_name", "left").withColumn("one", F.lit(1)).join(overall, "one", "left")
+    f = every.join(last, ["file_name", "id"], "left").join(by_file, "file_name", "left").withColumn("one", F.lit(1)).join(F.broadcast(overall), "one", "left")
     f = f.where("gone is null or gone < born")
     f = f.withColumn("at", F.coalesce("s.seq", "born")).withColumn("status", F.coalesce("s.status", "status"))
     later = F.filter(F.concat(F.coalesce("bulks", F.array().cast("array<struct<seq:bigint,status:string>>")), F.coalesce("all_bulks", F.array().cast("array<struct<seq:bigint,status:string>>"))), lambda e: e["seq"] > F.col("at"))
