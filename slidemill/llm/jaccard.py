@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint, connected_components
+from slidemill.llm.common import checkpoint, connected_components, slices
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -57,7 +57,7 @@ class _Known(dict):
 class WordHasher:
     """Stable 64-bit hashes of words, remembered up to a limit."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         self.known, self.limit = _Known(), limit
 
     def __call__(self, words: list) -> np.ndarray:
@@ -146,7 +146,7 @@ def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table = WordHasher(), np.zeros(cells, np.uint32)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 table[(shingles(text, size, hasher) >> np.uint64(64 - CELLS)).astype(np.int64)] += 1
         at = np.flatnonzero(table >= 4)
@@ -276,7 +276,7 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         hasher, seen, equal, row = WordHasher(), {}, {}, 0
         common = np.unpackbits(marks.value).astype(bool)
         names = ["kind", "key", "doc", "val"]
-        for batch in batches:
+        for batch in slices(batches):
             kind, key, doc, val = [], [], [], []
 
             def put(k: int, keys: np.ndarray, d: int | None, v: np.ndarray) -> None:
@@ -306,7 +306,7 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             docs_col = pa.array(np.concatenate([np.full(n, 0 if d is None else d, np.int64) for d, n in doc]), mask=np.concatenate([np.full(n, d is None) for d, n in doc])) if doc else pa.array([], pa.int64())
             cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
             yield pa.RecordBatch.from_arrays([pa.array(cat(kind, np.int8)), pa.array(cat(key, np.int64)), docs_col, pa.array(cat(val, np.int64))], names)
-            if len(seen) > 1_500_000:  # bounded memory: forgetting only sends a signature along again
+            if len(seen) > 800_000:  # bounded memory: forgetting only sends a signature along again
                 seen.clear()
                 equal.clear()
 

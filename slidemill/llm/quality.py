@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import fit_logistic, fold, labelled
+from slidemill.llm.common import fit_logistic, fold, labelled, slices
 from slidemill.llm.jaccard import _mix
 
 BITS = 17  # hashed n-grams: 131,072, whatever the input
@@ -114,7 +114,7 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, scratch = np.zeros((2, size), np.int64), np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen[y, ngrams(text, scratch)] += 1
         y, b = np.nonzero(seen)
@@ -143,7 +143,7 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
         scratch = np.zeros(size, np.int64)
         ratios, weights, at = shared.value
         squares = ratios * ratios
-        for batch in batches:
+        for batch in slices(batches):
             out = np.empty(batch.num_rows)
             for i, text in enumerate(batch.column(0).to_pylist()):
                 ids = ngrams(text, scratch)
