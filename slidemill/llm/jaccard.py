@@ -316,6 +316,12 @@ def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 LINKS = "u long, v long"
 
 
+def _few(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """Checkpointed rows of ids, marked for broadcast if counted to be few (some 60 bytes each); else Spark shuffles."""
+    rows = checkpoint(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def _search(size: int, num: int, den: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         hasher = WordHasher()
@@ -363,11 +369,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     is_anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(5)), F.col("docs")) < anchors)
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc is not null")
-    placed = (
-        members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home))))
-        .join(texts, "doc")
-        .select("block", "chunk", "doc", "text", F.col("doc").alias("label"), F.lit(True).alias("ask"))
-    )
+    placed = _few(members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home)))).select("block", "chunk", "doc"))
+    placed = texts.join(placed, "doc").select("block", "chunk", "doc", "text", F.col("doc").alias("label"), F.lit(True).alias("ask"))
     search = _search(size, num, den)
     links = checkpoint(placed.groupBy("block", "chunk").applyInPandas(search, LINKS))
     large = members.where("chunks > 1")
@@ -392,7 +395,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
             .select("block", "chunk", "part", "doc", "label", F.lit(False).alias("ask"))
         )
         both = asks.unionByName(held).groupBy("block", "chunk", "part", "doc").agg(F.max("label").alias("label"), F.max("ask").alias("ask"))
-        more = both.join(texts, "doc").groupBy("block", "chunk", "part").applyInPandas(search, LINKS)
+        more = texts.join(_few(both), "doc").groupBy("block", "chunk", "part").applyInPandas(search, LINKS)
         links = links.unionByName(checkpoint(more))
     component = connected_components(links.unionByName(edges("kind = 3")))
     return nodes.join(component, F.col("doc") == F.col("id"), "left").select(
