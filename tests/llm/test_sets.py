@@ -208,6 +208,26 @@ def test_classifiers_on_odd_rows(spark, odd, empty, labels):
     assert toxicity.drop_toxic(odd, labels).columns == odd.columns
 
 
+def test_rare_toxic_words_keep_their_counts_in_a_large_corpus(spark):
+    # about 456,000 (document, word) pairs: a share of 1e-5 asked for five documents
+    r = random.Random(7)
+    rows = [(i, 1, " ".join(f"w{r.randrange(4000)}" for _ in range(400))) for i in range(1200)] + [(5000 + i, 1, f"zqj w{i} vkx") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, y int, text string")
+    vocab = toxicity.vocabulary(df, 3)
+    assert (vocab.find(jaccard.WordHasher()(["zqj", "vkx", "w7"])) >= 0).all()
+    counts = toxicity.pair_counts(spark.createDataFrame([(i, 1, "w1 w2") for i in range(3)] + [(9, 1, "w2 w1")], "doc_id long, y int, text string"), vocab, 3)
+    a, b = vocab.find(jaccard.WordHasher()(["w1", "w2"])).tolist()
+    assert {(x.yw, x.h, x.contexts, x.n) for x in counts.collect()} == {(2 * b + 1, a, 1, 3), (2 * b + 1, None, 1, 1), (2 * a + 1, None, 2, 4)}
+
+
+def test_pairs_joined_by_shuffle_give_the_same_scores(spark, docs, odd, labels):
+    some = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    whole, split, none = (sorted((str(x.doc_id), round(x.score, 9)) for x in toxicity.toxicity(some, labels, shared_pairs=n).collect()) for n in (10**6, 100, 0))
+    assert whole == split == none
+    kept = [sorted(str(x.doc_id) for x in toxicity.drop_toxic(some, labels, shared_pairs=n).collect()) for n in (10**6, 0)]
+    assert kept[0] == kept[1]
+
+
 def test_pipeline_stages(spark, sf, tmp_path):
     import corpus_pipeline
 
