@@ -201,3 +201,21 @@ def test_fingerprints(docs, odd, empty):
 def test_edited_texts_are_liker_than_strangers(docs):
     out = fingerprints.fingerprints(docs).collect()
     assert sum(r.near_edited > r.near_next for r in out) > 0.85 * len(out)
+
+
+def test_a_large_group_of_near_copies_keeps_its_terms(spark):
+    r = np.random.default_rng(5)
+    text = lambda: [f"w{int(x)}" for x in r.integers(0, 3000, 150)]
+    base, rows = text(), []
+    for i in range(600):
+        words = list(base) if i % 3 == 0 else text()
+        if i % 6 == 0:
+            words[int(r.integers(150))] = f"w{int(r.integers(3000))}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    words = fingerprints.lexicon(df, 0.0005, 0.15, 2, 1_000_000)
+    held = np.isin(fingerprints.terms(" ".join(base), fingerprints.WordHasher()), words).mean()
+    assert held > 0.9
+    out = fingerprints.fingerprints(df, high=0.15).collect()
+    likeness = [x.near_edited for x in out if x.doc_id % 6 == 0]
+    assert np.mean(likeness) > 0.1
