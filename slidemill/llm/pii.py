@@ -217,7 +217,7 @@ def find(docs: DataFrame) -> DataFrame:
     Returns, one row for each input row, ``doc_id``, ``digest`` (of the text), ``n_email, n_ip, n_card, n_phone,
     base_sha256, spans`` and ``found``: an array of ``(rank, start, end, kind, base)`` in code points, end exclusive.
     Base spans always stay. A loose candidate is added if its boosted-tree score reaches the calibrated threshold
-    of its kind and it overlaps no base span and no earlier added one.
+    of its kind and it overlaps no base span and no earlier candidate that overlaps no base span.
 
     Null or empty text has no spans (``base_sha256`` is that of the empty string); null ids and repeated rows stay;
     an empty table gives no rows; other columns are not read. One narrow pass finds the matches; only they and one
@@ -241,9 +241,10 @@ def find(docs: DataFrame) -> DataFrame:
     here = Window.partitionBy("row").orderBy("start", F.desc("end"), "rank")
     past, come = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
     c = c.withColumn("under", F.max(F.when(F.col("base"), F.col("end"))).over(past)).withColumn("next", F.min(F.when(F.col("base"), F.col("start"))).over(come))
+    off_base = (F.coalesce("under", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
+    c = c.where(F.col("kind").isNull() | F.col("base") | off_base)
     c = c.withColumn("added", F.max(F.when(~F.col("base"), F.col("end"))).over(here.rowsBetween(Window.unboundedPreceding, -1)))
-    clear = (F.coalesce("under", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")) & (F.coalesce("added", F.lit(0)) <= F.col("start"))
-    c = c.where(F.col("kind").isNull() | F.col("base") | clear)
+    c = c.where(F.col("kind").isNull() | F.col("base") | (F.coalesce("added", F.lit(0)) <= F.col("start")))
     span = F.when(F.col("kind").isNotNull(), F.struct("rank", "start", "end", "kind", "base"))
     count = lambda k: F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}")
     text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -219,3 +219,12 @@ def test_a_large_group_of_near_copies_keeps_its_terms(spark):
     out = fingerprints.fingerprints(df, high=0.15).collect()
     likeness = [x.near_edited for x in out if x.doc_id % 6 == 0]
     assert np.mean(likeness) > 0.1
+
+
+def test_pii_rejected_candidates_suppress_nothing(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(pii, "accepted", lambda *_: F.lit(True))
+    text = "a@b.co (at) x.123-45-6789 end"  # the written address overlaps the plain one and reaches into the number
+    row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(s.kind, s.start, s.end) for s in row.found] == [("email", 0, 6), ("ssn", 14, 25)]
