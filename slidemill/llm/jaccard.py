@@ -2,16 +2,18 @@
 
 The plan, for sets of distinct word shingles and links where ``den * |A & B| >= num * |A | B|``:
 
-1. A first pass counts shingles in a table of fixed size and marks the common ones, those of shared passages.
-   A second narrow pass turns each text into signatures. The universe of shingle hashes is dealt into ``k`` parts; two
-   linked sets differ in at most ``d`` shingles, so with ``k > d`` parts at least one part is the same in both.
-   Signatures are taken of the uncommon shingles, so that a shared passage alone makes no candidates, and of whole
-   sets only where those are too few. Which shingles are marked has no bearing on the result, only on the work.
-   Within a scan partition equal sets, and signatures met before, turn into an edge at once: a signature leaves a
-   partition once, however many documents hold it.
-2. Documents sharing a signature are candidates; components of the candidate graph are blocks. Only blocks of two or
-   more are read again, each document going to its block once.
-3. In a block, an inverted index of the sets answers a T-occurrence query for each document (DivideSkip): the lists of
+1. A narrow pass makes the sets. A linked set shares all but ``n - ceil(num * n / den)`` of its shingles with its
+   partner alone, so a set with more shingles that no other document holds links with nothing. That is counted over a
+   fixed share of the universe of shingle hashes: each slice of a partition combines its own, sends one row for each
+   shingle, and one shuffle counts them. Equal sets turn into an edge at once and go on as one.
+2. The texts of the documents left are written once. Another pass turns each into signatures. The universe of shingle
+   hashes is dealt into ``k`` parts; two linked sets differ in at most ``d`` shingles, so with ``k > d`` parts at least
+   one part is the same in both. Parts of a single shingle are as good as empty, and parts are made of the uncommon
+   shingles where those suffice, so that a shared passage alone makes no candidates. Which shingles are marked as
+   common has no bearing on the result, only on the work.
+3. Documents sharing a signature are candidates; components of the candidate graph are blocks. Each document of a block
+   of two or more goes to its block once.
+4. In a block, an inverted index of the sets answers a T-occurrence query for each document (DivideSkip): the lists of
    rare shingles are merged and counted, the long ones only probed for ids still able to reach the overlap.
    Pairs already in one component are not looked at again. A large block is cut into chunks, each with the same few
    anchor documents; afterwards the documents outside the block's main component query every chunk, in groups of
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,42 +104,46 @@ def levels_of(n: int, num: int, den: int) -> list[tuple[int, int]]:
 CELLS = 22  # bits of the table that counts shingles
 
 
+def rounds(d: int) -> list[tuple[int, int]]:
+    """``(parts, shingles that a part needs)`` of the rounds of a level whose linked sets differ in at most ``d``."""
+    spare = 1 + d // 16
+    return [(d + 1 + spare * times, least) for least in ((2, 1) if d >= 32 else (1,)) for times in (1, 2, 4, 8)]
+
+
 def signatures(sets: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> np.ndarray:
-    """Hashes of the parts of a set, one for each level, round and part that is not empty.
-
-    At a level of sizes up to ``top`` linked sets differ in at most ``d = 2 top (den - num) / (den + num)`` shingles.
-    With ``k = d + 1 + spare`` parts and at most ``spare`` empty ones, at least one part is equal and not empty. A set
-    with more empty parts also takes part in a next round with more of them. Shingles marked in ``common`` are left
-    out; a set that closes no round without them adds the signatures of all its shingles, where after the last round
-    empty parts count as parts. Two linked sets share a signature in the first round that either of them can close,
-    or else both come to the same end.
+    """Hashes of the parts of a set, for each level and round.
+
+    A set of ``n`` differs from a linked one of size up to ``top`` in at most ``own = (n + top) (den - num) / (den +
+    num)`` shingles. A round deals the shingles to ``k`` parts; parts of less than ``least`` shingles make no signature,
+    as one frequent expression would join strangers. A set with more than ``own`` signatures closes there: any linked
+    set has an equal part among them. It takes part in all rounds before that too. Shingles marked in ``common`` are
+    left out; a set that closes no round without them adds the signatures of all its shingles, where a set that closes
+    none at all ends with every part, empty ones too. So two linked sets share a signature in the first round that
+    either of them closes, or else at the common end.
     """
     out = []
     basis = sets if common is None else sets[~common[(sets >> np.uint64(64 - CELLS)).astype(np.int64)]]
     for level, top in levels_of(len(sets), num, den):
-        d = 2 * top * (den - num) // (den + num)
-        spare = 1 + d // 16
-        for attempt in range(4):
-            k = d + 1 + spare
-            salt = np.uint64((level * 16 + attempt * 2 + (common is None)) * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1)
-            used = np.empty(0, np.uint64)
-            if len(basis):
-                part = (_mix(basis ^ salt) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
-                order = np.argsort(part.astype(np.uint16) if k < 65536 else part, kind="stable")
-                ranked = part[order]
-                cuts = np.flatnonzero(np.diff(ranked, prepend=np.uint64(k)))
-                used = ranked[cuts]
-                body = np.add.reduceat(_mix(basis[order] + salt), cuts)  # sets are distinct, so a sum is a fair set hash
-                out.append(_mix(body ^ _mix(used + salt)))
-            if k - len(used) <= spare:
+        own = (len(sets) + top) * (den - num) // (den + num)
+        for turn, (k, least) in enumerate(rounds(2 * top * (den - num) // (den + num))):
+            salt = np.uint64((level * 32 + turn * 2 + (common is None)) * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1)
+            part = (_mix(basis ^ salt) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)
+            order = np.argsort(part.astype(np.uint16) if k < 65536 else part, kind="stable")
+            ranked = part[order]
+            cuts = np.flatnonzero(np.diff(ranked, prepend=np.uint64(k)))
+            body = np.add.reduceat(_mix(basis[order] + salt), cuts) if len(cuts) else np.empty(0, np.uint64)  # sets are distinct, so a sum is a fair set hash
+            used = ranked[cuts]
+            marks = _mix(body ^ _mix(used + salt))
+            strong = np.diff(cuts, append=len(ranked)) >= least
+            out.append(marks[strong])
+            if strong.sum() > own:
                 break
-            if attempt == 3:
-                if common is None:
-                    empty = np.setdiff1d(np.arange(k, dtype=np.uint64), used)
-                    out.append(_mix(_mix(empty + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-                else:
-                    out.append(signatures(sets, num, den))
-            spare *= 2
+        else:
+            if common is None:
+                empty = np.setdiff1d(np.arange(k, dtype=np.uint64), used)
+                out += [marks, _mix(_mix(empty + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5))]
+            else:
+                out.append(signatures(sets, num, den))
     return np.unique(np.concatenate(out))
 
 
@@ -267,50 +274,108 @@ def _touch(roots: np.ndarray, forest: Forest, q: int, ids: np.ndarray) -> np.nda
     return roots
 
 
-def _scan(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Rows ``(kind, key, doc, val)``: 0 a document with its set size, 1 a candidate edge and 3 an equal set found inside
-    the partition, 2 a signature."""
-    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(common_shingles(docs, size)))
+SCHEMA = "kind byte, key long, doc long, val long"
+NODE, SET, SHARED, EQUAL, NEED = range(5)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, equal, row = WordHasher(), {}, {}, 0
-        common = np.unpackbits(marks.value).astype(bool)
-        names = ["kind", "key", "doc", "val"]
-        for batch in slices(batches):
-            kind, key, doc, val = [], [], [], []
 
-            def put(k: int, keys: np.ndarray, d: int | None, v: np.ndarray) -> None:
-                kind.append(np.full(len(keys), k, np.int8))
-                key.append(keys.astype(np.int64))
-                doc.append((d, len(keys)))
-                val.append(v)
+class Rows:
+    """Columns of ``(kind, key, doc, val)`` rows on their way out; a null document is given as None."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []
+
+    def put(self, kind: int, key, doc, val) -> None:
+        n = max(len(x) for x in (key, doc, val) if isinstance(x, np.ndarray))
+        full = lambda x: x.astype(np.int64) if isinstance(x, np.ndarray) else np.full(n, 0 if x is None else x, np.int64)
+        self.parts.append((np.full(n, kind, np.int8), full(key), full(doc), full(val), np.full(n, doc is None)))
 
+    def batch(self) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)] if self.parts else [np.empty(0, t) for t in (np.int8, np.int64, np.int64, np.int64, bool)]
+        self.parts = []
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns[:2]), pa.array(columns[2], mask=columns[4]), pa.array(columns[3])], ["kind", "key", "doc", "val"])
+
+
+def _sharing(docs: DataFrame, size: int, num: int, den: int, share: float) -> DataFrame:
+    """Rows about every document: ``NODE`` its set size, ``SET`` its set's hash in ``key`` and ``val``, ``EQUAL`` an equal
+    set met before, ``NEED`` how many more of its counted shingles must stand elsewhere, ``SHARED`` one of them."""
+    below, slice_shingles = np.uint64(int(share * 2**64) - 1), 400_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, equal, rows = WordHasher(), {}, Rows()
+        row = TaskContext.get().partitionId() << 40
+        held, owners, slacks = [], [], []
+
+        def flush() -> pa.RecordBatch:
+            if held:
+                sizes = np.array([len(h) for h in held])
+                keys, owner = np.concatenate(held), np.repeat(np.arange(len(held)), sizes)
+                order = np.argsort(keys)
+                ranked = keys[order]
+                first = np.diff(ranked, prepend=~ranked[:1]) != 0
+                cuts = np.flatnonzero(first)
+                several = np.diff(cuts, append=len(ranked)) > 1
+                here = np.bincount(owner[order[several[np.cumsum(first) - 1]]], minlength=len(held))
+                ids = np.array(owners, np.int64)
+                rows.put(NEED, ids, ids, sizes - here - np.array(slacks, np.int64))
+                alone = cuts[~several]
+                rows.put(SHARED, ranked[alone], ids[owner[order[alone]]], 0)
+                if several.any():  # one row for all of them: it only shows the others that the shingle stands here
+                    rows.put(SHARED, ranked[cuts[several]], None, 0)
+                held.clear(), owners.clear(), slacks.clear()
+            return rows.batch()
+
+        total = 0
+        for batch in slices(batches):
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingles(text, size, hasher)
                 row += 1
-                put(0, np.array([row]), d, np.array([len(s)], np.int64))
+                rows.put(NODE, row, d, np.array([len(s)]))
                 if d is None or not len(s):
                     continue
-                mark = (len(s), int(_mix(s).sum() & np.uint64(0x7FFFFFFFFFFFFFFF)), int(np.bitwise_xor.reduce(_mix(s + np.uint64(7)))))
-                if mark in equal:
-                    put(3, np.array([d]), d, np.array([equal[mark]], np.int64))
+                mark = (int(_mix(s).sum().view(np.int64)), int(np.bitwise_xor.reduce(_mix(s + np.uint64(7))).view(np.int64)))
+                before = equal.setdefault(mark, d)
+                if before != d:
+                    rows.put(EQUAL, row, d, np.array([before]))
+                    continue
+                rows.put(SET, mark[0], d, np.array([mark[1]]))
+                held.append(s[: np.searchsorted(s, below, "right")])
+                owners.append(d)
+                slacks.append(len(s) - -(-num * len(s) // den))
+                total += len(held[-1])
+                if total > slice_shingles:
+                    yield flush()
+                    total = 0
+            if len(equal) > 200_000:  # bounded memory: equal sets then meet by their hash
+                equal.clear()
+        yield flush()
+
+    return docs.mapInArrow(run, SCHEMA)
+
+
+def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Rows ``(key, doc, val)``: a signature, or with ``val`` an edge to a document of the same signature in the partition."""
+    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(common_shingles(docs, size)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen, common = WordHasher(), {}, np.unpackbits(marks.value).astype(bool)
+        for batch in slices(batches):
+            rows = Rows()
+            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s = shingles(text, size, hasher)
+                if not len(s):
                     continue
-                equal[mark] = d
                 sigs = signatures(s, num, den, common).view(np.int64)
                 met = np.fromiter((seen.setdefault(x, d) for x in sigs.tolist()), np.int64, len(sigs))
                 fresh = met == d
-                put(2, sigs[fresh], d, np.zeros(int(fresh.sum()), np.int64))
-                old = np.unique(met[~fresh])
-                if len(old):
-                    put(1, np.full(len(old), d), d, old)
-            docs_col = pa.array(np.concatenate([np.full(n, 0 if d is None else d, np.int64) for d, n in doc]), mask=np.concatenate([np.full(n, d is None) for d, n in doc])) if doc else pa.array([], pa.int64())
-            cat = lambda x, t: np.concatenate(x) if x else np.empty(0, t)
-            yield pa.RecordBatch.from_arrays([pa.array(cat(kind, np.int8)), pa.array(cat(key, np.int64)), docs_col, pa.array(cat(val, np.int64))], names)
+                if fresh.any():
+                    rows.put(SHARED, sigs[fresh], d, 0)
+                if not fresh.all():
+                    rows.put(EQUAL, d, d, np.unique(met[~fresh]))
+            yield rows.batch()
             if len(seen) > 800_000:  # bounded memory: forgetting only sends a signature along again
                 seen.clear()
-                equal.clear()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "kind byte, key long, doc long, val long")
+    return docs.mapInArrow(run, SCHEMA)
 
 
 LINKS = "u long, v long"
@@ -335,7 +400,34 @@ def _search(size: int, num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 600_000, anchors: int = 48) -> DataFrame:
+def _survivors(docs: DataFrame, size: int, num: int, den: int, share: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(doc, n)`` of every row, the edges between equal sets, and ``(doc, n)`` of the documents that may have another link."""
+    group = Window.partitionBy("kind", "key")
+    scanned = _sharing(docs, size, num, den, share).withColumn("here", F.count(F.lit(1)).over(group))
+    # shared shingles are only counted, for each document
+    is_shared = F.col("kind") == SHARED
+    kept = checkpoint(
+        scanned.where(~is_shared | (F.col("here") > 1) & F.col("doc").isNotNull())
+        .groupBy("kind", "doc", F.when(is_shared, 0).otherwise(F.col("key")).alias("key"), "val")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    nodes = kept.where(F.col("kind") == NODE).select("doc", F.col("val").alias("n"))
+    sets = kept.where(F.col("kind") == SET)
+    same = sets.groupBy("key", "val").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    far = sets.join(_few(same.drop("rows")), ["key", "val"]).where("doc <> least").select(F.col("doc").alias("u"), F.col("least").alias("v"))
+    near = kept.where(F.col("kind") == EQUAL).select(F.col("doc").alias("u"), F.col("val").alias("v"))
+    equal = checkpoint(near.unionByName(far).distinct())
+    has = lambda kind, what: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(what))), F.lit(0))
+    about = kept.unionByName(equal.select(F.lit(EQUAL).cast("byte").alias("kind"), F.col("u").alias("doc"), F.lit(0).cast("long").alias("key"), F.col("v").alias("val"), F.lit(0).cast("long").alias("times")))
+    rows, n = F.count(F.when(F.col("kind") == NODE, 1)), F.max(F.when(F.col("kind") == NODE, F.col("val")))
+    left = about.where("doc is not null").groupBy("doc").agg(
+        rows.alias("rows"), n.alias("n"), F.count(F.when(F.col("kind") == EQUAL, 1)).alias("equals"), (has(SHARED, "times") - has(NEED, "val")).alias("over"),
+    )
+    # an id of one row: it hangs on an equal set, or holds enough shared shingles; ids of several rows always stay
+    return nodes, equal, left.where("n > 0 and (rows > 1 or equals = 0 and over >= 0)").select("doc", "n", "rows")
+
+
+def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 600_000, anchors: int = 48, share: float = 0.375) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each input row.
 
     Words are runs other than ``[\\x20\\x09-\\x0D]`` after lower-casing A-Z; a set holds the distinct ``size``-word
@@ -343,44 +435,44 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     ``den * |A & B| >= num * |A | B|``; ``component_id`` is the smallest id reachable by links. Texts that are null or
     hold no word have 0 shingles and link with nothing, as does a row with a null id (component null). Rows that
     repeat an id are one node. An empty table gives no rows; other columns are not read. Sets are compared by 64-bit
-    shingle hashes; equal sets are found by 128 bits and their size.
+    shingle hashes; equal sets are found by 128 bits.
 
-    ``chunk_shingles`` bounds the index held by one task, ``anchors`` the documents shared by the chunks of a block.
+    ``share`` is the part of the universe of shingles counted to find documents without a partner, ``chunk_shingles``
+    bounds the index held by one task, ``anchors`` the documents shared by the chunks of a block. None of them has a
+    bearing on the result.
     """
-    scanned = _scan(docs, size, num, den)
-    group = Window.partitionBy("kind", "key")
-    met = scanned.withColumn("val", F.when(F.col("kind") == 2, F.min("doc").over(group)).otherwise(F.col("val")))
-    kept = checkpoint(met.where("kind = 0 or doc <> val").select("kind", "doc", "val"))
-    nodes = kept.where("kind = 0").select("doc", F.col("val").alias("n"))
-    edges = lambda where: kept.where(where).select(F.col("doc").alias("u"), F.col("val").alias("v"))
-    block = checkpoint(connected_components(edges("kind in (1, 2)")).withColumnRenamed("component", "block"))
-    # a document whose only text equals an earlier one of its partition hangs on that one and needs no search
-    equal = kept.where("kind = 3").select("doc", F.lit(True).alias("equal")).distinct()
-    sized = (
-        nodes.where("doc is not null").groupBy("doc").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
-        .join(block, F.col("doc") == F.col("id")).join(equal, "doc", "left").where("equal is null or rows > 1").select("doc", "block", "n")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+    nodes, equal, left = _survivors(base, size, num, den, share)
+    left = _few(left)
+    texts = base.join(left.select("doc", "rows"), "doc")
+    if left.where("rows > 1").limit(1).count():
+        texts = texts.where("rows = 1").select("doc", "text").unionByName(texts.where("rows > 1").select("doc", "text").distinct())
+    texts = checkpoint(texts.select("doc", "text"))
+    found = _candidates(texts, size, num, den)
+    met = found.withColumn("val", F.when(F.col("kind") == SHARED, F.min("doc").over(Window.partitionBy("kind", "key"))).otherwise(F.col("val")))
+    edges = met.where("doc <> val").select(F.col("doc").alias("u"), F.col("val").alias("v"))
+    block = connected_components(edges).withColumnRenamed("component", "block")
+    sized = checkpoint(left.join(block, F.col("doc") == F.col("id")).select("doc", "block", "n"))
+    large_blocks = _few(
+        sized.groupBy("block").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("docs")).where(F.col("s") > chunk_shingles)
+        .select("block", F.ceil(F.col("s") / chunk_shingles).cast("int").alias("chunks"), "docs")
     )
-    totals = sized.groupBy("block").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("docs"))
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("s") / chunk_shingles)).cast("int")
     # members are placed once; those of one-chunk blocks ask themselves, those of larger ones also meet the anchors
-    members = checkpoint(sized.join(totals.select("block", chunks.alias("chunks"), "docs"), "block"))
-    h = F.xxhash64("doc", F.lit(3))
-    home = F.pmod(h, F.col("chunks")).cast("int")
+    members = sized.join(large_blocks, "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    home = F.pmod(F.xxhash64("doc", F.lit(3)), F.col("chunks")).cast("int")
     is_anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(5)), F.col("docs")) < anchors)
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc is not null")
     placed = _few(members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home)))).select("block", "chunk", "doc"))
     placed = texts.join(placed, "doc").select("block", "chunk", "doc", "text", F.col("doc").alias("label"), F.lit(True).alias("ask"))
     search = _search(size, num, den)
     links = checkpoint(placed.groupBy("block", "chunk").applyInPandas(search, LINKS))
     large = members.where("chunks > 1")
     if large.limit(1).count():
-        comp = connected_components(links.unionByName(edges("kind = 3")))
-        labelled = large.join(comp, F.col("doc") == F.col("id"), "left").withColumn("label", F.coalesce("component", "doc")).select("block", "doc", "n", "chunks", "label")
+        comp = connected_components(links.unionByName(equal))
+        labelled = checkpoint(large.join(comp, F.col("doc") == F.col("id"), "left").withColumn("label", F.coalesce("component", "doc")).select("block", "doc", "n", "chunks", "label"))
         main = labelled.groupBy("block", "label").count().groupBy("block").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-        labelled = checkpoint(labelled.join(main, "block"))
-        rest = labelled.where("label <> main")
-        ask_parts = rest.groupBy("block").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / chunk_shingles)).cast("int").alias("parts"))
+        rest = checkpoint(labelled.join(_few(main), "block").where("label <> main"))
+        ask_parts = _few(rest.groupBy("block").agg(F.ceil(F.sum("n") / chunk_shingles).cast("int").alias("parts")))
         spread = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         asks = (
             rest.join(ask_parts, "block")
@@ -397,16 +489,29 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
         both = asks.unionByName(held).groupBy("block", "chunk", "part", "doc").agg(F.max("label").alias("label"), F.max("ask").alias("ask"))
         more = texts.join(_few(both), "doc").groupBy("block", "chunk", "part").applyInPandas(search, LINKS)
         links = links.unionByName(checkpoint(more))
-    component = connected_components(links.unionByName(edges("kind = 3")))
+    component = connected_components(links.unionByName(equal))
     return nodes.join(component, F.col("doc") == F.col("id"), "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One document of each group: the smallest id of its component; rows with a null id and single ones stay."""
-    first = jaccard_components(docs, size, num, den).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].cast("long") == first["doc_id"], "left_anti")
+    """One document of each group: the smallest id of its component; all columns as they are.
+
+    Of rows that repeat an id and its text, or a text under a null id, one stays: that of least digest over all
+    columns. Rows that repeat an id with different texts stay or go together. Texts without words stay; an empty
+    table gives none.
+    """
+    cols, tag = docs.columns, "_" * (1 + max(map(len, docs.columns)))  # no column has a name that long
+    first, i, digest, nth = (f"{x}{tag}" for x in "fidn")
+    gone = _few(jaccard_components(docs, size, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(first)).distinct())
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col(first), "left_anti")
+    keyed = kept.withColumns({i: F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), digest: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(1))})
+    again = _few(keyed.groupBy(i, digest).count().where("count > 1").select(i, digest))
+    # only repeated rows are ordered; the others do not move
+    best = Window.partitionBy(i, digest).orderBy(F.xxhash64(F.to_json(F.struct(*map(F.col, cols)))))
+    one = keyed.join(again, [i, digest], "left_semi").withColumn(nth, F.row_number().over(best)).where(F.col(nth) == 1)
+    return keyed.join(again, [i, digest], "left_anti").select(cols).unionByName(one.select(cols))
 
 
 def oracle_sql(size: int = 4, num: int = 85, den: int = 100) -> str:
