@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; only a session without one (tests) gets a temporary one."""
+    """The folder all executors see, that of ``spark.checkpoint.dir``; a session without one must be given one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
@@ -31,6 +33,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def bitmap(keys: DataFrame, bits: int = 1 << 26) -> np.ndarray:
+    """Marks of the ``key`` values (long) in a table of fixed size, whatever their number; see ``marked``."""
+    at = F.pmod(F.col("key"), F.lit(bits))
+    rows = keys.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {bits}) % 64 as int))")).alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[rows["at"].to_numpy().astype(np.int64)] = rows["bits"].to_numpy()
+    return words
+
+
+def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a key's mark is set: always for keys of the bitmap, sometimes for others."""
+    at = keys.astype(np.int64) % (len(marks) * 64)
+    return (marks[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

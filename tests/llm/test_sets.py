@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from slidemill.llm import common, jaccard, mixing, quality, topk, toxicity
 
@@ -208,23 +209,76 @@ def test_classifiers_on_odd_rows(spark, odd, empty, labels):
     assert toxicity.drop_toxic(odd, labels).columns == odd.columns
 
 
+def kneser_ney(rows, text, min_docs=3, min_pair=3, favour=0.5, discount=3.0, dead=1.0):
+    """The value of a text by plain dictionaries over labelled ``(y, text)`` rows."""
+    stem = lambda w: w[:4] + "*" if len(w) > 4 else ""
+    words = lambda t: __import__("re").findall(r"[^\W_]+", t.lower())
+    docs, tokens, df, pairs = [0, 0], [0, 0], ({}, {}), ({}, {})
+    for y, t in rows:
+        w = words(t)
+        docs[y] += 1
+        tokens[y] += len(w)
+        for x in set(w) | {stem(x) for x in w if stem(x)}:
+            df[y][x] = df[y].get(x, 0) + 1
+        for p in {(h, x) for h, x in zip([""] + w, w)} | {(h, stem(x)) for h, x in zip([""] + w, w) if stem(x)}:
+            pairs[y][p] = pairs[y].get(p, 0) + 1
+    known = [w for w, n in df[1].items() if n >= min_docs and np.log(n / docs[1] / ((df[0].get(w, 0) + 0.5) / docs[0])) > favour]
+    ctx = [{w: sum(x == w for _, x in pairs[y]) for w in known} for y in (0, 1)]
+    kept = lambda n, y: max(n - discount * tokens[y] / min(tokens), 0) / tokens[y]
+    spare = 1 - sum(kept(ctx[y][w], y) for w in known if "*" not in w for y in (0, 1)) / 2
+    both = {w: (ctx[0][w] + ctx[1][w]) / sum(tokens) for w in known}
+    cls = {w: [kept(ctx[y][w], y) + spare * both[w] for y in (0, 1)] for w in known if "*" in w}
+    ratio = {w: np.log(p[1] / p[0]) for w, p in cls.items()}
+    for w in known:
+        if "*" not in w:
+            back = [c * min(1, both[w] / both[stem(w)]) for c in cls[stem(w)]] if stem(w) in cls else [spare * both[w]] * 2
+            p = [kept(ctx[y][w], y) + back[y] for y in (0, 1)]
+            ratio[w] = np.log(p[1] / p[0])
+
+    def of(h, w):
+        if w not in ratio:
+            return ratio.get(stem(w), 0.0)
+        n = [pairs[y].get((h, w), 0) for y in (0, 1)]
+        if n[1] < min_pair:
+            return ratio[w]
+        p = [kept(n[y], y) + spare * sum(n) / sum(tokens) for y in (0, 1)]
+        return np.log(p[1] / p[0]) - ratio.get(h, 0.0)
+
+    w = words(text)
+    v = np.array([of(h, x) for h, x in zip([""] + w, w)])
+    return float((np.sign(v) * np.maximum(abs(v) - dead, 0)).sum() / (len(w) + 10)) if w else 0.0
+
+
+def test_toxicity_values_equal_plain_kneser_ney(spark, docs, labels):
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", F.col("toxic").alias("y")).collect()
+    # few toxic texts here: repeated words of an invented kind make pairs and classes
+    rows = [(r.doc_id, r.text or "", r.y) for r in rows] + [(10_000 + i, f"you zqjxa{i % 7} are rotten scum{i % 2} and the rotten scum{i % 2} goes", 1) for i in range(40)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    table = toxicity.expressions(train, 3, 3, 0.5, 3.0)
+    keys, ratios, rest = toxicity.split(table, 10**6)
+    assert rest is None and len(keys) == len(set(keys.tolist())) == table.count()
+    s = toxicity.Scorer(keys, ratios, 1.0)
+    plain = [(y, t) for _, t, y in rows]
+    for text in ["", "rotten scum1", "zqjxa99 unheard", *(t for _, t, _ in rows[:25]), *(t for _, t, _ in rows[-3:])]:
+        assert s.value(toxicity.words_of(text)) == pytest.approx(kneser_ney(plain, text), abs=1e-9)
+    assert s.value(toxicity.words_of("rotten scum1")) > 0.05
+
+
 def test_rare_toxic_words_keep_their_counts_in_a_large_corpus(spark):
-    # about 456,000 (document, word) pairs: a share of 1e-5 asked for five documents
+    # about 456,000 (document, word) pairs
     r = random.Random(7)
-    rows = [(i, 1, " ".join(f"w{r.randrange(4000)}" for _ in range(400))) for i in range(1200)] + [(5000 + i, 1, f"zqj w{i} vkx") for i in range(3)]
-    df = spark.createDataFrame(rows, "doc_id long, y int, text string")
-    vocab = toxicity.vocabulary(df, 3)
-    assert (vocab.find(jaccard.WordHasher()(["zqj", "vkx", "w7"])) >= 0).all()
-    counts = toxicity.pair_counts(spark.createDataFrame([(i, 1, "w1 w2") for i in range(3)] + [(9, 1, "w2 w1")], "doc_id long, y int, text string"), vocab, 3)
-    a, b = vocab.find(jaccard.WordHasher()(["w1", "w2"])).tolist()
-    assert {(x.yw, x.h, x.contexts, x.n) for x in counts.collect()} == {(2 * b + 1, a, 1, 3), (2 * b + 1, None, 1, 1), (2 * a + 1, None, 2, 4)}
+    rows = [(i, i % 3 == 0, " ".join(f"w{r.randrange(4000)}" for _ in range(400))) for i in range(1200)] + [(5000 + i, True, f"zqj w{i} vkx") for i in range(3)]
+    df = spark.createDataFrame([(i, int(y), t) for i, y, t in rows], "doc_id long, y int, text string")
+    keys = {x.key for x in toxicity.toxic_words(df, 3).collect()}
+    assert set(jaccard.WordHasher()(["zqj", "vkx", "w7"]).view(np.int64).tolist()) <= keys
 
 
-def test_pairs_joined_by_shuffle_give_the_same_scores(spark, docs, odd, labels):
+def test_expressions_joined_by_shuffle_give_the_same_scores(spark, docs, odd, labels):
     some = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
-    whole, split, none = (sorted((str(x.doc_id), round(x.score, 9)) for x in toxicity.toxicity(some, labels, shared_pairs=n).collect()) for n in (10**6, 100, 0))
-    assert whole == split == none
-    kept = [sorted(str(x.doc_id) for x in toxicity.drop_toxic(some, labels, shared_pairs=n).collect()) for n in (10**6, 0)]
+    whole, part, none = (sorted((str(x.doc_id), round(x.score, 9)) for x in toxicity.toxicity(some, labels, min_docs=2, shared=n).collect()) for n in (10**6, 20, 0))
+    assert whole == part == none
+    clashing = odd.unionByName(docs.select("doc_id", "text"), allowMissingColumns=True)
+    kept = [sorted(str(x.doc_id) for x in toxicity.drop_toxic(clashing, labels, min_docs=2, shared=n).collect()) for n in (10**6, 0)]
     assert kept[0] == kept[1]
 
 
