@@ -198,6 +198,62 @@ def test_fingerprints(docs, odd, empty):
     assert fingerprints.fingerprints(empty).count() == 0
 
 
+def plain_fingerprint(text, lexicon):
+    """Digests of the sorted terms of each subset, set by set."""
+    import xxhash
+
+    x = lambda h: (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    y = lambda h: (h ^ (h >> 27)) * 0x94D049BB133111EB & (1 << 64) - 1
+    mix = lambda h: y(x(h)) ^ (y(x(h)) >> 31)
+    words = {w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)) if w}
+    t = {xxhash.xxh3_64_intdigest(w.encode()) for w in words}
+    inside = t & lexicon
+    t = inside if lexicon and len(inside) >= 0.1 * len(t) else t
+    out = []
+    for line, (count, keep) in enumerate(fingerprints.SUBSETS):
+        salt = (line + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+        for i in range(count):
+            held = sorted(h for h in t if (mix(h ^ salt) >> 40) % keep == i)
+            out.append(xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little") for h in held)) >> 32 | 1 if held else 0)
+    return out
+
+
+def plain_lexicon(texts, low, high, min_docs):
+    """Document frequencies by a plain loop, one text of each group of equal sketch."""
+    groups = {}
+    for t in texts:
+        s = fingerprints.sketch(t, fingerprints.WordHasher())
+        groups[s] = min(groups.get(s, t), t)
+    n = Counter()
+    for t in groups.values():
+        n.update(fingerprints.terms(t, fingerprints.WordHasher()).tolist())
+    return {h for h, c in n.items() if max(min_docs, low * len(groups)) <= c <= high * len(groups)}
+
+
+def test_fingerprints_equal_plain_ones(docs, odd):
+    for df in (docs, odd):
+        rows = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+        words = plain_lexicon([t for _, t in rows], 0.01, 0.2, 2)
+        order = sorted(rows, key=lambda r: ((r[0] is None), -(r[0] or 0), r[1]))
+        want = []
+        for (i, t), (_, n) in zip(order, order[1:] + order[:1], strict=True):
+            half = len(t) // 2
+            a, e, b = (plain_fingerprint(x, words) for x in (t, t[: len(t) - half] + n[:half], n))
+            near = []
+            for c in (e, b):
+                used = [j for j in range(len(a)) if a[j] or c[j]]
+                near.append(round(sum(a[j] == c[j] for j in used) / len(used), 9) if used else 1.0)
+            want.append((str(i), "".join(f"{x:08x}" for x in a), "".join(f"{x:08x}" for x in e), *near))
+        got = [(str(r.doc_id), r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in fingerprints.fingerprints(df, 0.01, 0.2, rows_per_bucket=30).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_fingerprints_of_wide_and_repeated_ids(spark):
+    rows = [(i, f"text number {i} of these") for i in (-(2**63), -(2**63) + 1, 0, 2**62, 2**63 - 2, 2**63 - 1)] + [(5, "many times the same")] * 60 + [(None, f"no id {i}") for i in range(20)]
+    out = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), rows_per_bucket=10).collect()
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in out) == sorted(edited(rows))
+
+
 def test_edited_texts_are_liker_than_strangers(docs):
     out = fingerprints.fingerprints(docs).collect()
     assert sum(r.near_edited > r.near_next for r in out) > 0.85 * len(out)
