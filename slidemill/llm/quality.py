@@ -99,18 +99,9 @@ def dual_coordinate_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.nda
     return w, bias
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, sample_rows: int = 4000, alpha: float = 1.0) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every whole text, one row for each input row.
-
-    Labels are learnt from rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held``; every fifth of
-    those only calibrates. Log-count ratios use all the others; the hinge-loss weights are fitted, in one task, on at
-    most ``sample_rows`` rows of each label, those of smallest digest. A logistic curve over the calibration rows turns
-    the margin into the probability of label 1. Null or empty text has only the bias; null ids and repeated rows
-    stay; without labels of both classes all scores are one half; extra columns are not read.
-    """
+def log_count_ratios(rows: DataFrame, alpha: float = 1.0) -> np.ndarray:
+    """For each n-gram bucket, the log of its share of the rows' n-grams under label 1 over that under label 0, ``alpha`` added to counts."""
     size = 1 << BITS
-    train = labelled(docs, labels, "quality").where(fold(folds) != held)
-    part = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(5))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, scratch = np.zeros((2, size), np.int64), np.zeros(size, np.int64)
@@ -120,21 +111,45 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
         y, b = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(b, pa.int32()), pa.array(seen[y, b], pa.int64())], ["y", "bucket", "n"])
 
-    fit_rows = train.where(part != 0)
-    sums = fit_rows.select("text", "y").mapInArrow(count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = rows.select("text", "y").mapInArrow(count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
     seen = np.full((2, size), alpha)
     seen[sums["y"].to_numpy(), sums["bucket"].to_numpy()] += sums["n"].to_numpy()
     seen /= seen.sum(1, keepdims=True)
-    ratio = np.log(seen[1]) - np.log(seen[0])
+    return np.log(seen[1]) - np.log(seen[0])
+
+
+def sample(rows: DataFrame, most: int) -> DataFrame:
+    """``doc_id, digest, y`` of at most ``most`` distinct rows of each label, those of smallest id digest. No text moves."""
+    keys = rows.select("doc_id", F.xxhash64("text").alias("digest"), "y").distinct()
+    first = lambda y: keys.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "digest").limit(most)
+    return first(0).unionByName(first(1))
+
+
+def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, sample_rows: int = 4000, alpha: float = 1.0) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every whole text, one row for each input row.
+
+    Labels are learnt from rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held``; every fifth of
+    those only calibrates. Log-count ratios use all the others; the hinge-loss weights are fitted, in one task, on at
+    most ``sample_rows`` distinct rows of each label, those of smallest digest, chosen by id before their texts meet. A logistic curve over the calibration rows turns
+    the margin into the probability of label 1. Null or empty text has only the bias; null ids and repeated rows
+    stay; without labels of both classes all scores are one half; extra columns are not read.
+    """
+    size = 1 << BITS
+    train = labelled(docs, labels, "quality").where(fold(folds) != held)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(5))
+
+    fit_rows = train.where(part != 0)
+    ratio = log_count_ratios(fit_rows, alpha)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         scratch = np.zeros(size, np.int64)
-        pdf = pdf.sort_values("doc_id")
+        pdf = pdf.fillna({"text": ""}).sort_values(["doc_id", "text"])
         w, bias = dual_coordinate_descent([ngrams(t, scratch) for t in pdf.text], ratio, pdf.y.to_numpy())
         return pd.DataFrame({"w": [w.astype("<f8").tobytes()], "bias": [bias]})
 
-    pick = lambda y: fit_rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "text").limit(sample_rows)
-    model = pick(0).unionByName(pick(1)).groupBy(F.lit(0).alias("one")).applyInPandas(fit, "w binary, bias double").collect()
+    chosen = fit_rows.withColumn("digest", F.xxhash64("text")).join(F.broadcast(sample(fit_rows, sample_rows)), ["doc_id", "digest", "y"])
+    chosen = chosen.dropDuplicates(["doc_id", "digest", "y"]).select("doc_id", "text", "y")
+    model = chosen.groupBy(F.lit(0).alias("one")).applyInPandas(fit, "w binary, bias double").collect()
     w = np.frombuffer(model[0]["w"], "<f8") if model else np.zeros(size)
     bias = model[0]["bias"] if model else 0.0
     shared = docs.sparkSession.sparkContext.broadcast((ratio, ratio * w, bias))

@@ -192,6 +192,40 @@ def test_classifiers_hold_out_and_learn(spark, sf):
         assert sum(r.predicted == r[column] for r in own) >= least * len(own)
 
 
+def test_quality_ratios_equal_plain_counts(spark, docs, labels):
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", F.col("quality").alias("y"))
+    got, scratch = quality.log_count_ratios(rows), np.zeros(1 << quality.BITS, np.int64)
+    n = np.ones((2, 1 << quality.BITS))
+    for r in rows.collect():
+        for b in set(quality.ngrams(r.text, scratch).tolist()):
+            n[r.y, b] += 1
+    assert np.allclose(got, np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum()))
+
+
+def test_quality_sample_is_bounded_and_distinct(spark):
+    rows = [(i % 40, f"text {i % 80}", i % 2) for i in range(400)]
+    keys = quality.sample(spark.createDataFrame(rows, "doc_id long, text string, y int"), 9).collect()
+    assert len(keys) == len(set(keys)) == 18 and sum(k.y for k in keys) == 9
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    rng = np.random.default_rng(6)
+    rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(60)]
+    ratio, y = rng.normal(0, 1, 40), rng.integers(0, 2, 60)
+    w, bias = quality.dual_coordinate_descent(rows, ratio, y, cost=1.0, epochs=3000)
+    x = np.zeros((60, 41))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt((ratio[r] ** 2).sum())
+        x[i, 40] = 1
+    sign, top = np.where(y == 1, 1.0, -1.0), np.where(y == 1, 1 / (2 * y.mean()), 1 / (2 * (1 - y.mean())))
+    loss = lambda v: (v @ v) / 2 + (top * np.maximum(1 - sign * (x @ v), 0)).sum()
+    best, v = np.inf, np.zeros(41)
+    for step in range(1, 40001):  # plain subgradient descent
+        v -= (v - x.T @ (top * sign * (sign * (x @ v) < 1))) / step
+        best = min(best, loss(v))
+    assert loss(np.append(w, bias)) <= best * 1.002
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark, docs, labels):
     from pyspark.sql import functions as F
 
