@@ -372,7 +372,7 @@ def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 if not fresh.all():
                     rows.put(EQUAL, d, d, np.unique(met[~fresh]))
             yield rows.batch()
-            if len(seen) > 800_000:  # bounded memory: forgetting only sends a signature along again
+            if len(seen) > 300_000:  # bounded memory: forgetting only sends a signature along again
                 seen.clear()
 
     return docs.mapInArrow(run, SCHEMA)
@@ -427,7 +427,7 @@ def _survivors(docs: DataFrame, size: int, num: int, den: int, share: float) ->
     return nodes, equal, left.where("n > 0 and (rows > 1 or equals = 0 and over >= 0)").select("doc", "n", "rows")
 
 
-def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 600_000, anchors: int = 48, share: float = 0.375) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 250_000, anchors: int = 48, share: float = 0.375) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each input row.
 
     Words are runs other than ``[\\x20\\x09-\\x0D]`` after lower-casing A-Z; a set holds the distinct ``size``-word
