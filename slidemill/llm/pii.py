@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from slidemill.llm.common import checkpoint
+
+BITS = 1 << 24  # of the marks of texts with spans
+
 #: Generators: kind -> (pattern, cheap test of the text). The first four are the base patterns; each starts only where a
 #: match can start and never gives back what it took, so a scan is linear in the text.
 BASE = {
@@ -21,21 +27,40 @@ BASE = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 }
 LOOSE = {
-    "email_written": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]{2,63}){1,4}", "at"),
+    "email_written": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]{2,63}){1,4}", None),
     "phone_plain": (r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])", None),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", None),
+    "phone_any": (r"(?<![0-9A-Za-z+.,/-])\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,4}){2,4}(?![0-9A-Za-z])", None),
     "iban": (r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])", None),
+    "secret_pair": (
+        r"(?i)(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credentials?|private[_-]?key)"
+        r"(?:[_-][A-Za-z]{1,12})?[\"']?\x20{0,2}[:=]>?\x20{0,2}[\"']?[^\s\"',;<>]{4,}+", None,
+    ),
+    "key_run": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]{0,80}+[0-9])[A-Za-z0-9+/_-]{24,}+={0,2}(?![A-Za-z0-9])", None),
+    "url_login": (r"(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@\"']{1,64}:[^\s/@\"']{1,128}@[A-Za-z0-9.-]+", "://"),
+    "person": (r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z][a-z]{1,20}+(?:\x20[A-Z][a-z]{1,20}+){0,2}", None),
+    "address": (r"(?<![0-9A-Za-z.,-])[0-9]{1,5}[A-Za-z]?\x20(?:[A-Z][a-z]{1,20}+\x20){1,3}(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd)(?![A-Za-z])", None),
+}
+#: The tests that let a loose pattern loose on a text: cheap, and true wherever the pattern can match.
+TESTS = {
+    "email_written": r"[\[(]at[\])]", "phone_plain": r"[0-9][)\x20.-]\x20?[0-9]{3}", "phone_any": r"[0-9][)]?[\x20.-][0-9]{2,4}[\x20.-][0-9]{2}", "ssn": r"[0-9]-[0-9]{2}-[0-9]", "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
+    "secret_pair": r"(?i)(?:pass|pwd|secret|token|key|auth|bearer|credential)[A-Za-z_-]{0,13}[\"']?\x20{0,2}[:=]", "key_run": r"[A-Za-z0-9+/_-]{24}",
+    "person": r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z][a-z]", "address": r"[0-9][A-Za-z]?\x20[A-Z][a-z]+\x20[A-Z]",
 }
 #: The kind under which a loose candidate is reported.
-REPORTED = {"email_written": "email", "phone_plain": "phone", "ssn": "ssn", "iban": "iban"}
-ORDER = {k: i for i, k in enumerate([*BASE, "ssn", "iban"])}
+REPORTED = {
+    "email_written": "email", "phone_plain": "phone", "phone_any": "phone", "ssn": "ssn", "iban": "iban", "secret_pair": "secret", "key_run": "secret", "url_login": "secret", "person": "person", "address": "address",
+}
+ORDER = {k: i for i, k in enumerate([*BASE, "ssn", "iban", "secret", "person", "address"])}
 
 FEATURES = (
     "few_digits", "phone_digits", "many_digits", "has_paren", "has_dash", "has_space", "has_dot", "has_at", "upper",
-    "cue", "counter_cue", "decimal_around", "date_like",
+    "cue", "counter_cue", "decimal_around", "date_like", "assigned", "quoted", "hex", "mixed", "long", "digit", "login", "titled", "names", "street", "near_word",
 )
-CUE = r"(?i)(call|phone|tel|fax|mobile|cell|mail|contact|reach|write|ssn|social|iban|account|bank|card)[^A-Za-z]{0,4}(?:\w+[^A-Za-z]{0,3}){0,2}$"
-COUNTER = r"(?i)(version|isbn|order|invoice|build|page|section|year|item|no|part|code|serial|id)[^A-Za-z]{0,4}$"
+CUE = r"(?i)(call|phone|tel|fax|mobile|cell|mail|contact|reach|write|ssn|social|iban|account|bank|card|key|token|secret|credential|signed|lives?|address|home|resid\w*|patient|client)[^A-Za-z]{0,4}(?:\w+[^A-Za-z]{0,3}){0,2}$"
+COUNTER = r"(?i)(version|isbn|order|invoice|build|page|section|chapter|year|item|no|part|code|serial|id|sha\d*|md5|checksum|commit|digest|revision|uuid|model|batch)[^A-Za-z]{0,4}$"
+#: Values of a key that are words about it rather than the key.
+PLAIN_VALUE = r"(?i)[:=]>?\x20{0,2}[\"']?(?:[a-z]{4,12}|[0-9]{1,6}|[<{$%\[(*].*)$"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -46,14 +71,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     """
     t = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     t = t.withColumn("digits", F.rlike("text", F.lit(r"[0-9][^A-Za-z]{0,3}[0-9][^A-Za-z]{0,3}[0-9]")) | F.rlike("text", F.lit(r"[0-9]\.[0-9]")))
-    tests = {
-        "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?+[0-9]){15}",
-        "phone_plain": r"[0-9][)\x20.-]\x20?[0-9]{3}", "ssn": r"[0-9]-[0-9]{2}-[0-9]", "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
-    }
+    tests = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?+[0-9]){15}"} | TESTS
     for kind, (pattern, sign) in (BASE | LOOSE).items():
-        ask = F.contains("text", F.lit(sign)) if sign else F.col("digits") & F.rlike("text", F.lit(tests[kind]))
-        if kind == "email_written":
-            ask = F.rlike("text", F.lit(r"[\[(]at[\])]"))
+        ask = F.contains("text", F.lit(sign)) if sign else F.rlike("text", F.lit(tests[kind]))
+        if kind in ("ip", "card", "phone_plain", "phone_any", "ssn"):
+            ask = F.col("digits") & ask
         t = t.withColumn(f"m_{kind}", F.when(ask, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))
         t = t.withColumn(f"p_{kind}", F.when(F.size(f"m_{kind}") > 0, F.split("text", pattern, -1)))
 
@@ -101,6 +123,10 @@ def feature_bits() -> Column:
         "cue": F.rlike("before", F.lit(CUE)), "counter_cue": F.rlike("before", F.lit(COUNTER)),
         "decimal_around": F.rlike("before", F.lit(r"[0-9][.,/:-]?\x20?$")) | F.rlike("after", F.lit(r"^[.,/:-]?\x20?[0-9]")),
         "date_like": F.rlike("hit", F.lit(r"^(?:19|20)[0-9]{2}[ .-]")) | F.rlike("hit", F.lit(r"[ .-](?:19|20)[0-9]{2}$")),
+        "assigned": F.rlike("hit", F.lit(r"^[A-Za-z_-]+[\"']?\x20{0,2}[:=]")), "quoted": F.rlike("hit", F.lit(r"[\"']")) | F.rlike("before", F.lit(r"[\"']$")),
+        "hex": F.rlike("hit", F.lit(r"[0-9a-fA-F]{24}")), "mixed": F.rlike("hit", F.lit("[a-z]")) & F.rlike("hit", F.lit("[A-Z]")) & F.rlike("hit", F.lit("[0-9]")),
+        "long": F.char_length("hit") >= 24, "digit": F.rlike("hit", F.lit("[0-9]")), "login": F.contains("hit", F.lit("://")), "titled": F.rlike("hit", F.lit(r"^(?:Mr|Mrs|Ms|Dr|Prof)\b")),
+        "names": F.rlike("hit", F.lit(r"[A-Z][a-z]+\x20[A-Z][a-z]+$")), "street": F.rlike("hit", F.lit(r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd)$")), "near_word": F.rlike("hit", F.lit(PLAIN_VALUE)),
     }
     bits = F.lit(0)
     for i, name in enumerate(FEATURES):
@@ -108,61 +134,77 @@ def feature_bits() -> Column:
     return bits
 
 
-def seed_rows(n: int = 3000, seed: int = 7) -> list[tuple[int, str, int]]:
-    """Labelled snippets ``(id, text, label)`` from generators: personal formats against look-alike numbers."""
+def seed_templates(rng: random.Random) -> list[tuple[str, int, Callable[[], str]]]:
+    """``(set, label, snippet)``: personal formats against look-alikes. Templates of ``fit``, ``calibrate`` and ``test`` are different ones."""
+    of = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
+    d = lambda k: of("0123456789", k)
+    hex_ = lambda k: of("0123456789abcdef", k)
+    mixed = lambda k: "aZ7" + of("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k)
+    w = lambda: of("abcdefghijklmnoprstuvw", rng.randint(4, 9))
+    n = lambda: w().capitalize()
+    c = lambda *x: rng.choice([*x, f"{w()} {w()}"])
+    st = lambda *x: rng.choice(x)
+    good = {
+        "fit": (
+            lambda: f"{c('call', 'phone:', 'fax')} ({d(3)}) {d(3)}-{d(4)}", lambda: f"{st('tel.', 'mobile', 'contact')} {d(3)} {d(3)} {d(4)}", lambda: f"{st('call', 'tel')} {d(2)} {d(2)} {d(2)} {d(2)} {d(2)}",
+            lambda: f"{c('mail', 'write to')} {w()} (at) {w()}.com", lambda: f"{c('ssn', 'ssn:')} {d(3)}-{d(2)}-{d(4)}", lambda: f"{c('iban', 'account')} {st('DE', 'FR')}{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}",
+            lambda: f"password = {w()}{d(2)}!{w()}", lambda: f'token: "{hex_(32)}"', lambda: f"api_key={mixed(28)}", lambda: f"the key {mixed(37)}", lambda: f"{st('https', 'ftp')}://{w()}:{w()}{d(2)}@{w()}",
+            lambda: f"{st('Mr.', 'Dr.')} {n()} {n()}", lambda: f"{st('lives at', 'address')} {d(2)} {n()} {st('Street', 'Road')}",
+        ),
+        "calibrate": (
+            lambda: f"{c('reach', 'cell')} {d(3)}-{d(3)}-{d(4)}", lambda: f"{st('phone', 'call us')} {d(3)}.{d(3)}.{d(4)}", lambda: f"{st('mobile', 'phone')} {d(3)} {d(2)} {d(2)} {d(3)}", lambda: f"{c('contact', 'mail')} {w()}[at]{w()} [dot] org",
+            lambda: f"{c('social security')} {d(3)}-{d(2)}-{d(4)}", lambda: f"{c('bank')} {st('ES', 'GB')}{d(2)}{d(4)}{d(4)}{d(4)}{d(4)}", lambda: f"pwd: {mixed(9)}", lambda: f'secret = "{mixed(30)}"', lambda: f"auth_token => {hex_(40)}",
+            lambda: f"credential {mixed(45)}", lambda: f"{st('mysql', 'amqp')}://{w()}:{mixed(8)}@{w()}-{w()}", lambda: f"patient {st('Mrs.', 'Prof.')} {n()} {n()}", lambda: f"home {d(3)} {n()} {n()} {st('Avenue', 'Lane')}",
+        ),
+        "test": (
+            lambda: f"{st('tel', 'fax')} ({d(3)}) {d(3)} {d(4)}", lambda: f"reach me {w()} [at] {w()}.net", lambda: f"social {d(3)}-{d(2)}-{d(4)}", lambda: f"account FR{d(2)} {d(4)} {d(4)} {d(4)} {d(4)}", lambda: f'"access_key": "{mixed(33)}"', lambda: f"passphrase: {w()}-{mixed(6)}",
+            lambda: f'token = "{hex_(40)}"', lambda: f"postgres://{w()}:{mixed(10)}@{w()}", lambda: f"client Ms. {n()} {n()}", lambda: f"resides {d(4)} {n()} {st('Blvd', 'Drive')}",
+        ),
+    }
+    bad = {
+        "fit": (
+            lambda: f"version {d(2)}.{d(3)}.{d(3)}", lambda: f"order {d(3)} {d(3)} {d(3)}", lambda: f"isbn {d(3)}-{d(4)}-{d(4)}-{d(1)}", lambda: f"{w()} 20{d(2)} {d(3)} {d(4)}", lambda: f"{w()} {d(2)} {d(3)} {d(3)} {d(3)}", lambda: f"serial {d(3)}-{d(2)}-{d(4)}",
+            lambda: f"code XK{d(2)}{d(4)}{d(4)}{d(4)}", lambda: f"password: required", lambda: f"tokens = {d(3)}", lambda: f"token: {w()}", lambda: f"sha256 {hex_(64)}", lambda: f"commit {hex_(40)}", lambda: f"{w()}-{w()}-{w()}-{w()}-{d(2)}", lambda: f"Mr. {n()}",
+            lambda: f"chapter {d(2)} {n()} Road", lambda: f"{d(2)} {d(2)} {d(2)} {d(2)}", lambda: f"{w()}/{w()}/{w()}/{w()}/{d(3)}",
+        ),
+        "calibrate": (
+            lambda: f"build {d(3)}.{d(3)}.{d(4)}", lambda: f"invoice {d(3)} {d(3)} {d(4)}", lambda: f"page {d(2)}.{d(4)}.20{d(2)}", lambda: f"item no {d(3)} {d(3)} {d(3)}", lambda: f"part {d(3)}-{d(2)}-{d(4)}", lambda: f"serial QZ{d(2)}{d(4)}{d(4)}{d(4)}",
+            lambda: f"secret: {w()} {w()}", lambda: f"auth = {w()}", lambda: f"pass: {d(2)}", lambda: f"md5 {hex_(32)}", lambda: f"revision {hex_(40)}", lambda: f"{w()}_{w()}_{w()}_{w()}_{w()}{d(1)}", lambda: f"Dr. {n()}", lambda: f"section {d(3)} {n()} Street", lambda: f"{w()} {d(3)} {d(2)} {d(4)} {d(2)}",
+        ),
+        "test": (
+            lambda: f"revision {d(2)}.{d(3)}.{d(4)}", lambda: f"batch {d(3)} {d(3)} {d(4)}", lambda: f"model {d(3)}-{d(2)}-{d(4)}", lambda: f"credentials: {w()}", lambda: f"checksum {hex_(40)}", lambda: f"digest {hex_(64)}", lambda: f"Prof. {n()}", lambda: f"part {d(2)} {n()} Lane", lambda: f"api_key: none",
+        ),
+    }
+    return [(part, label, f) for label, sets in ((1, good), (0, bad)) for part, fs in sets.items() for f in fs]
+
+
+def seed_rows(each: int = 60, seed: int = 7) -> list[tuple[int, str, int, str]]:
+    """``(id, text, label, set)``: ``each`` snippets of every template."""
     rng = random.Random(seed)
-    d = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
-    name = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(3, 9)))
-    cue = lambda *c: rng.choice([*c, f"{name()} {name()}", name()])
-    good = (
-        lambda: f"{cue('call', 'phone:', 'tel.', 'fax')} ({d(3)}) {d(3)}-{d(4)}", lambda: f"{cue('call', 'phone', 'contact')} {d(3)}-{d(3)}-{d(4)}",
-        lambda: f"{rng.choice(['call', 'tel.', 'phone:', 'mobile'])} {d(3)} {d(3)} {d(4)}", lambda: f"{cue('mail', 'write to', 'contact')} {name()}{rng.choice([' ', ''])}(at){rng.choice([' ', ''])}{name()}.com",
-        lambda: f"{cue('mail', 'reach me')} {name()} [at] {name()} [dot] org", lambda: f"{cue('ssn', 'social security', 'ssn:')} {d(3)}-{d(2)}-{d(4)}",
-        lambda: f"{cue('iban', 'account', 'bank')} {rng.choice(['DE', 'FR', 'ES', 'GB'])}{d(2)} {d(4)} {d(4)} {d(4)} {d(4)} {d(2)}",
-    )
-    bad = (
-        lambda: f"{cue('version', 'build')} {d(2)}.{d(3)}.{d(3)}", lambda: f"{cue('order', 'invoice', 'item no')} {d(3)} {d(3)} {d(3)}",
-        lambda: f"{cue('isbn', 'code')} {d(3)}-{d(4)}-{d(4)}-{d(1)}", lambda: f"{name()} 20{d(2)} {d(3)} {d(4)}", lambda: f"{name()} {d(2)} {d(3)} {d(3)} {d(3)} {d(3)}",
-        lambda: f"{cue('page', 'section')} {d(2)}.{d(4)}.20{d(2)}", lambda: f"{cue('serial', 'part')} {d(3)}.{d(3)}.{d(3)}", lambda: f"{cue('serial', 'id')} {d(3)}-{d(2)}-{d(4)}",
-        lambda: f"{cue('code', 'serial')} {rng.choice(['AB', 'XK', 'QZ'])}{d(2)}{d(4)}{d(4)}{d(4)}",
-    )
-    rows = []
-    for i in range(n):
-        label = i % 2
-        rows.append((i, f"{name()} {rng.choice(good if label else bad)()} {name()}", label))
-    return rows
+    templates = seed_templates(rng)
+    word = lambda: "".join(rng.choice("aeiorstnl") for _ in range(rng.randint(3, 8)))
+    return [(i * each + j, f"{word()} {make()} {word()}", label, part) for i, (part, label, make) in enumerate(templates) for j in range(each)]
 
 
-def boost(counts: dict[tuple[int, int], int], rounds: int = 40, rate: float = 0.3, l2: float = 1.0) -> list[tuple[int, int, list[float]]]:
+def boost(counts: dict[tuple[int, int], int], rounds: int = 60, rate: float = 0.3, l2: float = 1.0) -> list[tuple[int, int, list[float]]]:
     """Depth-two gradient-boosted trees for the logistic loss over ``(pattern, label) -> rows``.
 
     A tree is ``(first feature, second feature, four leaf values)``; leaf ``2 * first + second``.
     """
-    cells = sorted({p for p, _ in counts})
-    pos, neg = [counts.get((p, 1), 0) for p in cells], [counts.get((p, 0), 0) for p in cells]
-    score = [0.0] * len(cells)
-    trees = []
-    m = len(FEATURES)
-    for _ in range(rounds):
-        grad, hess = [], []
-        for s, a, b in zip(score, pos, neg, strict=True):
-            q = 1 / (1 + math.exp(-s))
-            grad.append(a * (1 - q) - b * q)
-            hess.append((a + b) * q * (1 - q))
-        best = None
-        for i in range(m):
-            for j in range(i + 1, m):
-                g, h = [0.0] * 4, [0.0] * 4
-                for p, x, y in zip(cells, grad, hess, strict=True):
-                    leaf = 2 * (p >> i & 1) + (p >> j & 1)
-                    g[leaf] += x
-                    h[leaf] += y
-                gain = sum(x * x / (y + l2) for x, y in zip(g, h, strict=True))
-                if best is None or gain > best[0] + 1e-12:
-                    best = (gain, i, j, [rate * x / (y + l2) for x, y in zip(g, h, strict=True)])
-        _, i, j, leaves = best
-        trees.append((i, j, leaves))
-        score = [s + leaves[2 * (p >> i & 1) + (p >> j & 1)] for s, p in zip(score, cells, strict=True)]
+    cells = np.array(sorted({p for p, _ in counts}), np.int64)
+    pos, neg = (np.array([counts.get((int(p), y), 0) for p in cells], float) for y in (1, 0))
+    bits = cells[None, :] >> np.arange(len(FEATURES))[:, None] & 1
+    pairs = [(i, j) for i in range(len(FEATURES)) for j in range(i + 1, len(FEATURES))]
+    leaf = np.array([4 * k + 2 * bits[i] + bits[j] for k, (i, j) in enumerate(pairs)])
+    score, trees = np.zeros(len(cells)), []
+    for _ in range(rounds if len(cells) else 0):
+        q = 1 / (1 + np.exp(-score))
+        grad, hess = pos * (1 - q) - neg * q, (pos + neg) * q * (1 - q)
+        g, h = (np.bincount(leaf.ravel(), np.tile(x, len(pairs)), 4 * len(pairs)).reshape(-1, 4) for x in (grad, hess))
+        best = int(np.argmax((g * g / (h + l2)).sum(1)))
+        leaves = rate * g[best] / (h[best] + l2)
+        trees.append((*pairs[best], leaves.tolist()))
+        score += leaves[leaf[best] - 4 * best]
     return trees
 
 
@@ -184,100 +226,121 @@ def calibrate(trees: list, held: list[tuple[str, int, int, int]], precision: flo
     return out
 
 
+def seed_patterns(spark: SparkSession) -> dict[str, list[tuple[str, int, int, int]]]:
+    """``(kind, pattern, label, rows)`` of the candidates in the seed rows, by set."""
+    rows = spark.createDataFrame(seed_rows(), "doc_id long, text string, label int, part string")
+    seen = candidates(rows).where(F.col("kind").isin(*LOOSE)).select("doc_id", "kind", feature_bits().alias("bits")).join(rows.select("doc_id", "label", "part"), "doc_id")
+    out: dict[str, list] = {"fit": [], "calibrate": [], "test": []}
+    for r in seen.groupBy("part", "kind", "bits", "label").count().collect():
+        out[r["part"]].append((r["kind"], r["bits"], r["label"], r["count"]))
+    return out
+
+
 def fit(spark: SparkSession) -> tuple[list, dict[str, float]]:
-    """Trees and thresholds from the seed rows: three quarters fit, one quarter calibrates."""
-    rows = spark.createDataFrame(seed_rows(), "doc_id long, text string, label int")
-    marked = candidates(rows).where(F.col("kind").isin(*LOOSE)).select("doc_id", "kind", feature_bits().alias("bits"))
-    seen = marked.join(rows.select("doc_id", "label"), "doc_id").groupBy("kind", "bits", "label", (F.col("doc_id") % 8 >= 6).alias("held")).count().collect()
+    """Trees from the templates of one set, thresholds from those of another."""
+    seen = seed_patterns(spark)
     counts: dict[tuple[int, int], int] = {}
-    for r in seen:
-        if not r["held"]:
-            counts[r["bits"], r["label"]] = counts.get((r["bits"], r["label"]), 0) + r["count"]
+    for _, bits, label, n in seen["fit"]:
+        counts[bits, label] = counts.get((bits, label), 0) + n
     trees = boost(counts)
-    return trees, calibrate(trees, [(r["kind"], r["bits"], r["label"], r["count"]) for r in seen if r["held"]])
+    return trees, calibrate(trees, seen["calibrate"])
 
 
-def accepted(trees: list, thresholds: dict[str, float]) -> Column:
-    """Whether a loose candidate's score, read off the trees, reaches its kind's threshold."""
+def score_of(trees: list, bits: Column) -> Column:
+    """The trees' sum for a feature pattern."""
     bit = lambda b, i: F.when(b.bitwiseAND(i) != 0, 1).otherwise(0)
     forest = F.array(*(F.struct(F.lit(1 << i).alias("i"), F.lit(1 << j).alias("j"), F.array(*map(F.lit, v)).alias("v")) for i, j, v in trees))
     step = lambda b: lambda a, t: a + F.get(t["v"], (2 * bit(b, t["i"]) + bit(b, t["j"])).cast("int"))
     # one-element transform: the pattern is worked out once for a row, not once for each tree
-    score = F.get(F.transform(F.array("bits"), lambda b: F.aggregate(forest, F.lit(0.0), step(b))), 0)
+    return F.get(F.transform(F.array(bits), lambda b: F.aggregate(forest, F.lit(0.0), step(b))), 0)
+
+
+def accepted(thresholds: dict[str, float]) -> Column:
+    """Whether a loose candidate's ``score`` reaches its kind's threshold."""
     least = F.lit(None).cast("double")
     for kind, at in thresholds.items():
         if at < math.inf:
             least = F.when(F.col("kind") == kind, at - 1e-9).otherwise(least)
-    return F.coalesce(score >= least, F.lit(False))
+    return F.coalesce(F.col("score") >= least, F.lit(False))
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Spans of personal data in every whole text.
+    """Spans of personal data and secrets in every whole text.
 
     Returns, one row for each input row, ``doc_id``, ``digest`` (of the text), ``n_email, n_ip, n_card, n_phone,
-    base_sha256, spans`` and ``found``: an array of ``(rank, start, end, kind, base)`` in code points, end exclusive.
-    Base spans always stay. A loose candidate is added if its boosted-tree score reaches the calibrated threshold
-    of its kind and it overlaps no base span and no earlier candidate that overlaps no base span.
+    base_sha256, spans, n_spans`` and ``found``: an array of ``(rank, start, end, kind, base, past)`` in code points, end
+    exclusive; ``past`` is where the spans before it end. Base spans always stay. Loose candidates of all generators
+    overlap; those whose boosted-tree score reaches the calibrated threshold of their kind and that overlap no base
+    span are taken by falling score (then the longer, then the earlier), each if it overlaps none taken before.
 
     Null or empty text has no spans (``base_sha256`` is that of the empty string); null ids and repeated rows stay;
     an empty table gives no rows; other columns are not read. One narrow pass finds the matches; only they and one
-    row for each document are shuffled, so a long or crowded text costs no more than its own matches, and running
-    sums and running maxima over a text's matches replace any comparison of pairs.
+    row for each document are shuffled. Running sums and maxima over a text's matches replace comparisons of pairs;
+    only chains of overlapping candidates are compared among themselves.
     """
     trees, thresholds = fit(docs.sparkSession)
     c = candidates(docs)
     by = Window.partitionBy("row", "kind").orderBy("nth")
-    c = c.withColumn("base", is_base()).withColumn("length", F.char_length("hit"))
+    loose = F.col("kind").isin(*LOOSE)
+    c = c.withColumn("base", F.when(F.col("kind").isin(*BASE), is_base())).withColumn("length", F.char_length("hit"))
     c = c.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("length")).over(by)).withColumn("start", F.col("end") - F.col("length"))
-    c = c.withColumn("bits", F.when(F.col("kind").isin(*LOOSE), feature_bits()))
-    c = c.where(F.col("kind").isNull() | F.col("base") | (F.col("kind").isin(*LOOSE) & accepted(trees, thresholds)))
+    c = c.withColumn("score", F.when(loose, score_of(trees, feature_bits())))
+    c = c.where(F.col("kind").isNull() | F.col("base") | (loose & accepted(thresholds)))
     reported = F.col("kind")
     for kind, to in REPORTED.items():
         reported = F.when(F.col("kind") == kind, to).otherwise(reported)
     rank = F.lit(None).cast("int")
     for kind, at in ORDER.items():
         rank = F.when(F.col("kind") == kind, at).otherwise(rank)
-    c = c.withColumn("kind", reported).withColumn("rank", rank)
-    here = Window.partitionBy("row").orderBy("start", F.desc("end"), "rank")
+    c = c.withColumn("base", F.coalesce("base", F.lit(False))).withColumn("kind", reported).withColumn("rank", rank)
+    here = Window.partitionBy("row").orderBy("start", F.desc("end"), "rank", F.desc("score"))
     past, come = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
     c = c.withColumn("under", F.max(F.when(F.col("base"), F.col("end"))).over(past)).withColumn("next", F.min(F.when(F.col("base"), F.col("start"))).over(come))
     off_base = (F.coalesce("under", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
     c = c.where(F.col("kind").isNull() | F.col("base") | off_base)
-    c = c.withColumn("added", F.max(F.when(~F.col("base"), F.col("end"))).over(here.rowsBetween(Window.unboundedPreceding, -1)))
-    c = c.where(F.col("kind").isNull() | F.col("base") | (F.coalesce("added", F.lit(0)) <= F.col("start")))
-    span = F.when(F.col("kind").isNotNull(), F.struct("rank", "start", "end", "kind", "base"))
+    # a chain is a run of added candidates that overlap; base spans and the document's own row are chains of one
+    before = F.max(F.when(~F.col("base"), F.col("end"))).over(here.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.col("base") | F.col("kind").isNull() | (F.coalesce(before, F.lit(0)) <= F.col("start"))
+    c = c.withColumn("chain", F.when(F.col("base") | F.col("kind").isNull(), -F.row_number().over(here)).otherwise(F.sum(F.when(fresh, 1).otherwise(0)).over(past)))
+    span = F.struct((-F.col("score")).alias("by_score"), (F.col("start") - F.col("end")).alias("by_length"), "start", "end", "rank", "kind", "base")
+    clear = lambda a, s: F.when(F.exists(a, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])), a).otherwise(F.concat(a, F.array(s)))
+    c = c.groupBy("row", "doc_id", "digest", "chain").agg(F.array_sort(F.collect_list(span)).alias("all"))
+    c = c.select("row", "doc_id", "digest", F.explode(F.when(F.size("all") > 1, F.aggregate("all", F.slice("all", 1, 0), clear)).otherwise(F.col("all"))).alias("s")).select("row", "doc_id", "digest", "s.*")
+    c = c.withColumn("past", F.coalesce(F.max("end").over(Window.partitionBy("row").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    span = F.when(F.col("kind").isNotNull(), F.struct("rank", "start", "end", "kind", "base", "past"))
     count = lambda k: F.count(F.when(F.col("base") & (F.col("kind") == k), 1)).alias(f"n_{k}")
     text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return (
         c.groupBy("row", "doc_id", "digest")
         .agg(*map(count, BASE), F.array_sort(F.collect_list(span)).alias("found"))
-        .select("doc_id", "digest", *(f"n_{k}" for k in BASE), F.sha2(text(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"), text(F.col("found")).alias("spans"), "found")
+        .select("doc_id", "digest", *(f"n_{k}" for k in BASE), F.sha2(text(F.filter("found", lambda s: s["base"])), 256).alias("base_sha256"), text(F.col("found")).alias("spans"), F.size("found").cast("long").alias("n_spans"), "found")
     )
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by ``[KIND]``, overlapping spans by that of the first; ``n_chars`` follows.
 
-    Columns and rows stay as they are, and so does a text without spans. Spans come back by id and text digest, once
-    for each, so the join neither depends on row order nor multiplies repeated rows.
+    Columns and rows stay as they are, and so does a text without spans, null ones included; an empty table gives none.
+    Spans come back by id and text digest, once for each, so the join neither depends on row order nor multiplies
+    repeated rows. A bitmap of fixed size (a table of at most ``BITS / 64`` rows, so broadcast) tells which rows can
+    have spans: only those are shuffled.
     """
-    cols = docs.columns
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn("_digest", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    spans = find(docs).where(F.size("found") > 0).select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("digest").alias("_digest"), F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_found")).dropDuplicates(["_id", "_digest"])
-    joined = marked.join(spans, ["_id", "_digest"], "left")
-    merged = F.aggregate(
-        "_found",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.array(F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).alias("out"),
-            )
-        ),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(2147483647))),
-    )
-    text = F.when(F.col("_found").isNull(), F.col("text")).otherwise(merged)
-    joined = joined.withColumn("text", text)
+    cols, tag = docs.columns, "_" * (1 + max(map(len, docs.columns)))  # no column has a name that long
+    i, digest, at, marks, spans_ = (f"{x}{tag}" for x in "idams")
+    key = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(BITS))
+    bit = lambda h: F.pmod(h, F.lit(64)).cast("int")
+    order = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["past"].alias("past"))
+    spans = checkpoint(find(docs).where(F.size("found") > 0).select(F.coalesce("doc_id", F.lit(0)).alias(i), F.col("digest").alias(digest), F.array_sort(F.transform("found", order)).alias(spans_)).dropDuplicates([i, digest]))
+    hashed = spans.select(key(F.col(i), F.col(digest)).alias("h"))
+    there = hashed.groupBy(F.shiftright("h", 6).alias(at)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("h")))).alias(marks))
+    marked = docs.withColumns({i: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), digest: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    marked = marked.withColumn(at, F.shiftright(key(F.col(i), F.col(digest)), 6)).join(F.broadcast(there), at, "left")
+    can = F.coalesce(F.call_function("shiftright", F.col(marks), bit(key(F.col(i), F.col(digest)))).bitwiseAND(1) == 1, F.lit(False))
+    joined = marked.where(can).join(spans, [i, digest], "left")
+    piece = lambda s: F.when(s["start"] < s["past"], "").otherwise(F.concat(F.substring(F.col("text"), (s["past"] + 1).cast("int"), (s["start"] - s["past"]).cast("int")), F.lit("["), F.upper(s["kind"]), F.lit("]")))
+    end = F.array_max(F.transform(spans_, lambda s: s["end"]))
+    replaced = F.concat(F.array_join(F.transform(spans_, piece), ""), F.substring(F.col("text"), (end + 1).cast("int"), F.lit(2147483647)))
+    joined = joined.withColumn("text", F.when(F.col(spans_).isNull(), F.col("text")).otherwise(replaced))
     if "n_chars" in cols:
-        joined = joined.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-    return joined.select(cols)
+        joined = joined.withColumn("n_chars", F.when(F.col(spans_).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+    return marked.where(~can).select(cols).unionByName(joined.select(cols))

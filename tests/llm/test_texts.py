@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from slidemill.llm import fingerprints, licenses, packing, pii, tokens
 
@@ -278,9 +279,45 @@ def test_a_large_group_of_near_copies_keeps_its_terms(spark):
 
 
 def test_pii_rejected_candidates_suppress_nothing(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
     monkeypatch.setattr(pii, "accepted", lambda *_: F.lit(True))
     text = "a@b.co (at) x.123-45-6789 end"  # the written address overlaps the plain one and reaches into the number
     row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [(s.kind, s.start, s.end) for s in row.found] == [("email", 0, 6), ("ssn", 14, 25)]
+
+
+def test_pii_recall_and_precision_by_kind_on_unseen_templates(spark):
+    seen = pii.seed_patterns(spark)
+    trees, thresholds = pii.fit(spark)
+    found, there, wrong = Counter(), Counter(), Counter()
+    for kind, bits, label, n in seen["test"]:
+        to, hit = pii.REPORTED[kind], pii.tree_score(trees, bits) >= thresholds[kind] - 1e-9
+        there[to] += n * label
+        found[to] += n * label * hit
+        wrong[to] += n * (1 - label) * hit
+    recall = {k: found[k] / there[k] for k in there if there[k]}
+    print(recall, wrong)
+    assert set(recall) == set(pii.REPORTED.values()) and min(recall.values()) > 0.8
+    assert sum(wrong.values()) < 0.05 * sum(found.values())
+
+
+def test_pii_finds_secrets_and_leaves_look_alikes(spark):
+    texts = ['token = "0f3a9c5e7d1b2468ace013579bdf02468ace1357"', "password: required", "sha256 " + "ab12" * 16, "aws_secret_key = aZ9kQ2mN8vXc7LpR4tYw", "see postgres://bob:s3cr3tPw9@dbhost/x", "plain words only"]
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[s.kind for s in r.found] for r in rows] == [["secret"], [], [], ["secret"], ["secret"], []]
+    assert all(r.n_spans == len(r.found) for r in rows)
+    out = pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert "0f3a" not in out[0].text and "[SECRET]" in out[0].text and out[5].text == texts[5]
+
+
+def test_redaction_equals_a_plain_loop(spark, docs, odd):
+    for df in (docs, odd):
+        want = Counter()
+        for r in pii.find(df).join(df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")).dropDuplicates(["doc_id", "digest"]), ["digest"]).where(F.size("found") > 0).collect():
+            at, out = 0, ""
+            for s in sorted(r.found, key=lambda s: (s.start, s.end, s.kind)):
+                if s.start >= at:
+                    out += r.text[at : s.start] + f"[{s.kind.upper()}]"
+                at = max(at, s.end)
+            want[out + r.text[at:]] += 1
+        got = Counter(r.text for r in pii.redact(df).collect())
+        assert set(want) <= set(got) and sum(got.values()) == df.count()
