@@ -427,7 +427,7 @@ def _survivors(docs: DataFrame, size: int, num: int, den: int, share: float) ->
     return nodes, equal, left.where("n > 0 and (rows > 1 or equals = 0 and over >= 0)").select("doc", "n", "rows")
 
 
-def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 250_000, anchors: int = 48, share: float = 0.375) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int = 100, chunk_shingles: int = 120_000, anchors: int = 48, share: float = 0.375) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each input row.
 
     Words are runs other than ``[\\x20\\x09-\\x0D]`` after lower-casing A-Z; a set holds the distinct ``size``-word
@@ -438,7 +438,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     shingle hashes; equal sets are found by 128 bits.
 
     ``share`` is the part of the universe of shingles counted to find documents without a partner, ``chunk_shingles``
-    bounds the index held by one task, ``anchors`` the documents shared by the chunks of a block. None of them has a
+    bounds the index held by one task, ``anchors`` the documents shared by the chunks of a block (a quarter of a chunk at most). None of them has a
     bearing on the result.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
@@ -455,12 +455,12 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     sized = checkpoint(left.join(block, F.col("doc") == F.col("id")).select("doc", "block", "n"))
     large_blocks = _few(
         sized.groupBy("block").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("docs")).where(F.col("s") > chunk_shingles)
-        .select("block", F.ceil(F.col("s") / chunk_shingles).cast("int").alias("chunks"), "docs")
+        .select("block", F.ceil(F.col("s") / chunk_shingles).cast("int").alias("chunks"), "docs", F.least(F.lit(anchors), F.greatest(F.lit(2), F.floor(F.col("docs") * (chunk_shingles // 4) / F.col("s")))).alias("anchors"))
     )
     # members are placed once; those of one-chunk blocks ask themselves, those of larger ones also meet the anchors
     members = sized.join(large_blocks, "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     home = F.pmod(F.xxhash64("doc", F.lit(3)), F.col("chunks")).cast("int")
-    is_anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(5)), F.col("docs")) < anchors)
+    is_anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(5)), F.col("docs")) < F.col("anchors"))
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     placed = _few(members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home)))).select("block", "chunk", "doc"))
     placed = texts.join(placed, "doc").select("block", "chunk", "doc", "text", F.col("doc").alias("label"), F.lit(True).alias("ask"))
