@@ -67,6 +67,23 @@ def leaf_budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], budget:
     return low.drop("_cap1", "_cap2", "_cap3", "_q2")
 
 
+def levels_of(docs: DataFrame) -> dict[str, Column]:
+    """A document's place in the tree."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return {"domain": domain_of(text("source")), "lang": text("lang"), "source": text("source")}
+
+
+def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
+    """The seeded digest that orders an epoch."""
+    return F.md5(F.concat_ws(":", F.lit(seed), epoch, F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))))
+
+
+def few(rows: DataFrame, most: int = 200_000) -> DataFrame:
+    """Checkpointed rows, marked for broadcast if counted to be few; else Spark shuffles."""
+    rows = checkpoint(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, int] = (6, 10), max_epochs: int = 2, seed: int = 42, bucket_docs: int = 4096) -> DataFrame:
     """Choose documents to meet target weights: ``doc_id, domain, lang, source, epoch, n_tokens, taken``.
 
@@ -81,12 +98,12 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, i
     null ids are kept (digest of ''); repeated rows count as often as they stand; an empty table gives no rows.
     Other columns are not read.
     """
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    base = checkpoint(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text("lang").alias("lang"), text("source").alias("source"), word_count(F.col("text").cast("string")).alias("n_tokens"))
-        .withColumn("domain", domain_of(F.col("source")))
-        .select("doc_id", *LEVELS, "n_tokens")
-    )
+    return chosen(docs, weights, share, max_epochs, seed, bucket_docs).drop("key")
+
+
+def chosen(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, int], max_epochs: int, seed: int, bucket_docs: int = 4096) -> DataFrame:
+    """The rows of ``mix`` with the ``key`` that orders them."""
+    base = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(name) for name, c in levels_of(docs).items()), word_count(F.col("text").cast("string")).alias("n_tokens")))
     total = base.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")).first()["t"]
     leaves = base.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
     quotas = checkpoint(leaf_budgets(leaves, weights, total * share[0] // share[1], max_epochs))
@@ -95,9 +112,10 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, i
     )
     turns = turns.withColumn("reach", F.when(F.col("epoch") < F.col("whole"), F.col("tokens")).otherwise(F.col("quota") - F.col("whole") * F.col("tokens")))
     turns = turns.where((F.col("epoch") < F.col("whole")) | (F.col("reach") > 0)).select(*LEVELS, "epoch", "reach", "tokens", F.greatest(F.lit(1), F.expr(f"n_docs div {bucket_docs}")).alias("buckets"))
-    dealt = base.join(turns, list(LEVELS)).withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    # one row for each leaf and epoch
+    dealt = base.join(few(turns), list(LEVELS)).withColumn("key", order_key(seed, F.col("epoch"), F.col("doc_id")))
     bucket = F.expr("cast(conv(substr(key, 1, 8), 16, 10) as bigint) * buckets div 4294967296")
-    out = ["doc_id", *LEVELS, "epoch", "n_tokens", "taken"]
+    out = ["doc_id", *LEVELS, "epoch", "n_tokens", "taken", "key"]
     everything = dealt.where("reach = tokens").withColumn("taken", F.col("n_tokens")).select(out)
     part = dealt.where("reach < tokens").withColumn("bucket", bucket)
     sums = part.groupBy(*LEVELS, "epoch", "bucket").agg(F.sum("n_tokens").alias("s"))
@@ -116,9 +134,18 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, i
 
 
 def keep_mixed(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, int], seed: int = 42) -> DataFrame:
-    """The documents a single epoch chooses, whole (a crossing one too), all columns as they are."""
-    chosen = mix(docs, weights, share, max_epochs=1, seed=seed).select(F.col("doc_id").alias("_chosen")).distinct()
-    return docs.join(chosen, docs["doc_id"].cast("long").eqNullSafe(chosen["_chosen"]), "left_semi")
+    """The documents a single epoch chooses, whole (a crossing one too), all columns as they are.
+
+    An epoch takes a prefix of each leaf, so the last key taken decides for every row by itself and no text is shuffled;
+    only the leaves' last keys are joined. Rows that repeat an id in a leaf with as many tokens have one key: all of
+    them stay if one is chosen. Null texts have no tokens, null ids the digest of ''; an empty table gives none.
+    """
+    cols, tag = docs.columns, "_" * (1 + max(map(len, docs.columns)))  # no column has a name that long
+    at = F.struct(F.col("key"), F.col("n_tokens").alias("n"))
+    last = chosen(docs, weights, share, 1, seed).groupBy(*(F.col(c).alias(c + tag) for c in LEVELS)).agg(F.max(at).alias(f"last{tag}"))
+    placed = docs.withColumns({name + tag: c for name, c in levels_of(docs).items()}).join(few(last), [c + tag for c in LEVELS])
+    own = F.struct(order_key(seed, F.lit(0), F.col("doc_id")).alias("key"), word_count(F.col("text").cast("string")).alias("n"))
+    return placed.where(own <= F.col(f"last{tag}")).select(cols)
 
 
 def oracle_sql(weights: dict[str, dict[str, int]], share: tuple[int, int], max_epochs: int, seed: int) -> str:

@@ -175,6 +175,11 @@ def test_mixing_reaches_quotas_and_epochs(spark, docs, odd, empty):
     assert out.groupBy("doc_id", "epoch").count().where("count > 1").count() == 0
     assert mixing.mix(odd, {}, share=(1, 1), max_epochs=1).count() == odd.count()
     assert mixing.keep_mixed(odd, {}, (1, 1)).count() == odd.count()
+    for share in ((9, 10), (3, 10)):
+        weights = {"lang": {"en": 3}, "source": {"src0": 2}}
+        once = mixing.mix(docs, weights, share, max_epochs=1, bucket_docs=10).select("doc_id").distinct().collect()
+        kept = mixing.keep_mixed(docs, weights, share)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in once)
     assert mixing.mix(empty, {}).count() == 0
 
 
