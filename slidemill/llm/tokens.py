@@ -1,7 +1,8 @@
-"""Exact token counts with a public tokenizer file, inside Arrow functions that return lengths only."""
+"""Exact token counts with a tokenizer file, batch encoding inside Arrow functions that return lengths only."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -15,6 +16,23 @@ from pyspark.sql import functions as F
 _PIECE = re.compile(r"[A-Za-z\x80-\U0010ffff]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
+#: The splitter and the normaliser whose files can be coded word by word.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMAL = [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)]
+
+
+def splits_at_blanks(file: dict) -> bool:
+    """Whether a tokenizer file drops white space and splits, lower-cases and spells words in the way ``WordCoder`` relies on."""
+    normal, split, model = file.get("normalizer") or {}, file.get("pre_tokenizer") or {}, file.get("model") or {}
+    first, second = [*split.get("pretokenizers", []), {}, {}][:2]
+    return (
+        [(n["type"], (n.get("pattern") or {}).get("Regex")) for n in normal.get("normalizers", [])] == NORMAL
+        and first.get("type") == "Split" and first.get("pattern") == {"Regex": SPLIT} and first.get("behavior") == "Removed" and first.get("invert") is True
+        and second.get("type") == "ByteLevel" and not second.get("add_prefix_space") and second.get("use_regex") is False
+        and len(split["pretokenizers"]) == 2 and model.get("type") == "BPE" and not any(file.get(k) for k in ("truncation", "padding", "post_processor"))
+    )
+
+
 def byte_level_table() -> dict[int, int]:
     """The published byte-to-character rule of byte-level BPE: printable Latin-1 stays, the rest follows from 256 on."""
     keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -38,7 +56,8 @@ def safe_chunks(text: str, size: int = 1 << 20) -> Iterator[str]:
 class WordCoder:
     """Token ids (or their number) of blank-separated words, remembered for words seen before.
 
-    Words are split further only where the tokenizer's own pattern always splits (between an all-letter run and
+    That is for files that drop white space (``splits_at_blanks``); with any other file whole texts go to the library, in
+    batches of about as many bytes. Words are split further only where the tokenizer's own pattern always splits (between an all-letter run and
     printable ASCII signs or digits); anything else goes to the library whole. Memory stays bounded: both
     memories are emptied when they hold ``limit`` entries.
     """
@@ -48,6 +67,7 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tok, self.limit = Tokenizer.from_file(path), limit
+        self.by_word = splits_at_blanks(json.loads(self.tok.to_str()))
         self.pack = (lambda ids: len(ids)) if lengths_only else (lambda ids: b"".join(i.to_bytes(4, "little") for i in ids))
         self.join = sum if lengths_only else b"".join
         self.words: dict = {}
@@ -100,19 +120,26 @@ class WordCoder:
         for word, parts in split.items():
             self.words[word] = self.join([self.pieces[p] for p in parts])
 
-    def batches(self, texts: list[str], batch_chars: int = 1 << 21) -> Iterator[tuple[int, list]]:
-        """(index of text, codes of the words of one chunk), chunks in order, learnt in batches balanced by size."""
+    def batches(self, texts: list[str], batch_bytes: int = 1 << 21) -> Iterator[tuple[int, list]]:
+        """(index of text, codes of the words of one chunk), chunks in order, learnt in batches balanced by bytes."""
         held, size = [], 0
         for i, text in enumerate(texts):
-            for chunk in safe_chunks(text):
-                held.append((i, chunk.replace("\n", " ").split(" ")))
-                size += len(chunk)
-                if size >= batch_chars:
+            for chunk in safe_chunks(text) if self.by_word else [text]:
+                held.append((i, chunk))
+                size += len(chunk.encode())
+                if size >= batch_bytes:
                     yield from self._coded(held)
                     held, size = [], 0
         yield from self._coded(held)
 
-    def _coded(self, held: list[tuple[int, list[str]]]) -> Iterator[tuple[int, list]]:
+    def _coded(self, held: list[tuple[int, str]]) -> Iterator[tuple[int, list]]:
+        if not self.by_word:
+            found: dict = {}
+            self._whole(list({chunk for _, chunk in held}), found)
+            for i, chunk in held:
+                yield i, [found[chunk]]
+            return
+        held = [(i, chunk.replace("\n", " ").split(" ")) for i, chunk in held]
         known = self.words
         new = set()
         for _, words in held:
@@ -130,8 +157,8 @@ class WordCoder:
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokens of every whole text: ``(doc_id, n_bytes, n_tokens, over_limit)``, one row per input row.
 
-    ``tokenizer_path`` names a ``tokenizers`` file whose pattern drops white space. Counts equal those of
-    ``encode(text, add_special_tokens=False)``; special strings inside a text count as the library's default has
+    ``tokenizer_path`` names any ``tokenizers`` file; one that drops white space is coded by distinct words, with long
+    texts split at blanks, any other by whole texts. Counts equal those of ``encode(text, add_special_tokens=False)``; special strings inside a text count as the library's default has
     it. Null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows repeat. Other columns
     are not read. No shuffle: a narrow Arrow map over the scan.
     """

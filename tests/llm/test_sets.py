@@ -153,6 +153,8 @@ def test_top_k_with_ties_nulls_and_shards(spark):
     for shard, block in ((4096, 1024), (64, 2)):
         got = sorted(tuple(x) for x in topk.top_k(df, shard_rows=shard, block_rows=block).collect())
         assert got == top_brute(rows)
+    extra = df.select("*", *(F.lit("x").alias(c) for c in ("v", "shard", "block", "rank", "score", "query_id", "embedding_")))
+    assert sorted(tuple(x) for x in topk.top_k(extra).collect()) == top_brute(rows)
     assert topk.top_k(df.limit(0)).count() == 0
     assert topk.top_k(df.where("vec_id in (100, 5)")).collect()[0].vec_id == 5
 

@@ -106,6 +106,14 @@ def test_licence_notice_with_gaps_gets_its_label(spark):
     assert row[1].labels == "" and row[1].score == 0
 
 
+def test_licence_spans_are_no_longer_than_their_templates_allow(spark):
+    notice = licenses.NOTICES[7][0].split()
+    filler = " ".join(f"{a} zz{i} q{i} r{i}" for i, a in enumerate(zip(notice, notice[1:], strict=False)) for a in [" ".join(a)])  # every pair, three words apart
+    exact = " ".join(notice)
+    rows = licenses.scan(spark.createDataFrame([(1, filler), (2, f"aa {exact} bb")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert rows[0].labels == "" and rows[1].labels == "bsd" and (rows[1].spans[0].start, rows[1].spans[0].end) == (1, 1 + len(notice))
+
+
 def test_token_counts_equal_the_library(docs, odd, empty):
     tok = library()
     for df in (docs, odd):
@@ -115,6 +123,17 @@ def test_token_counts_equal_the_library(docs, odd, empty):
     assert tokens.token_counts(empty, PATH).count() == 0
 
 
+def test_token_counts_with_a_file_that_keeps_white_space(docs, odd):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    for df in (docs, odd):
+        got = sorted((str(r.doc_id), r.n_tokens) for r in tokens.token_counts(df, path).collect())
+        assert got == sorted((str(r.doc_id), len(tok.encode(r.text or "", add_special_tokens=False).ids)) for r in df.select("doc_id", "text").collect())
+    assert tokens.WordCoder(PATH, True).by_word and not tokens.WordCoder(path, True).by_word
+
+
 PIECES = ["the", "Ünïcode", "é", "İstanbul", "don't", "'S", "12", "½", "&&&", "…!", "漢字", "<|endoftext|>", "<|", "\x07", " ", " ", "\x85", "ΣΑΣ", "ﬁ", "ä.", "\x1c", "\t", "!́"]
 
 
