@@ -52,7 +52,7 @@ def templates(spark, base=BASE, notices=NOTICES) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, min_cover: float = 0.6, slack: int = 3) -> DataFrame:
+def scan(docs: DataFrame, min_cover: float = 0.6, slack: int = 3, stretch: int = 2) -> DataFrame:
     """Licence phrases of every whole text.
 
     Returns ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` and, for further use,
@@ -60,8 +60,9 @@ def scan(docs: DataFrame, min_cover: float = 0.6, slack: int = 3) -> DataFrame:
 
     Every rolling word pair is hashed and Spark-joined to the template positions (a table of fixed size, so
     broadcast); hits are counted by (document, template, offset diagonal); diagonals at most ``slack`` apart are
-    merged; a span stands if the words themselves agree and it covers ``min_cover`` of its template, a base phrase
-    only if it is complete on one diagonal. One narrow pass over the texts; only hits and one row for each document
+    merged; a merged span longer than ``stretch`` times its template gives way to its best single diagonal; a span stands
+    if the words themselves agree and it covers ``min_cover`` of its template, a base phrase only if it is complete on
+    one diagonal. One narrow pass over the texts; only hits and one row for each document
     are shuffled. ``score`` is the largest cover, 1 for a base phrase, 0 without any span.
 
     Null or empty text: no words, counts 0, first/last null, labels empty. Null ids and repeated rows stay, one
@@ -90,7 +91,14 @@ def scan(docs: DataFrame, min_cover: float = 0.6, slack: int = 3) -> DataFrame:
     merged = (
         diagonals.withColumn("run", F.sum(F.when(fresh, 1).otherwise(0)).over(by))
         .groupBy("row", "doc_id", "n_words", "tpl", "label", "is_base", "grams", "run")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("voted"), F.min("lo").cast("long").alias("start"), (F.max("hi") + K).cast("long").alias("end"))
+        .agg(
+            F.struct(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("voted"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).alias("whole"),
+            F.max(F.struct(F.size("ats").alias("voted"), (-F.col("lo")).alias("lo"), "hi")).alias("best"),
+        )
+        .withColumn("fits", F.col("whole.hi") + K - F.col("whole.lo") <= stretch * (F.col("grams") + K - 1))
+        .withColumn("voted", F.when(F.col("fits"), F.col("whole.voted")).otherwise(F.col("best.voted")))
+        .withColumn("start", F.when(F.col("fits"), F.col("whole.lo")).otherwise(-F.col("best.lo")).cast("long"))
+        .withColumn("end", (F.when(F.col("fits"), F.col("whole.hi")).otherwise(F.col("best.hi")) + K).cast("long"))
         .withColumn("cover", F.col("voted") / F.col("grams"))
     )
     stands = (F.col("tpl") >= 0) & F.when(F.col("is_base"), F.col("voted") == F.col("grams")).otherwise(F.col("cover") >= min_cover)
@@ -111,7 +119,7 @@ def scan(docs: DataFrame, min_cover: float = 0.6, slack: int = 3) -> DataFrame:
     )
 
 
-def oracle_sql(min_cover: float = 0.6, slack: int = 3) -> str:
+def oracle_sql(min_cover: float = 0.6, slack: int = 3, stretch: int = 2) -> str:
     """The same scan as DuckDB SQL, by plain pair joins."""
     values = ", ".join(
         f"({i}, '{n}', {str(b).lower()}, {len(t.split()) - 1}, {a}, '{t.split()[a]}', '{t.split()[a + 1]}')"
@@ -125,11 +133,13 @@ d AS (SELECT row_number() OVER () AS row, doc_id,
       FROM documents),
 e AS (SELECT row, w, unnest(range(1, len(w))) AS i FROM d),
 g AS (SELECT row, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM e),
-h AS (SELECT row, tpl, label, is_base, grams, pos - tat AS diag, min(pos) AS lo, list(tat) AS ats
+h AS (SELECT row, tpl, label, is_base, grams, pos - tat AS diag, min(pos) AS lo, max(pos) AS hi, list(tat) AS ats
       FROM g JOIN tpl ON a = ta AND b = tb GROUP BY ALL),
 r AS (SELECT *, CASE WHEN is_base OR coalesce(diag - lag(diag) OVER (PARTITION BY row, tpl ORDER BY diag) > {slack}, true) THEN 1 ELSE 0 END AS fresh FROM h),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY row, tpl ORDER BY diag) AS run FROM r),
-m AS (SELECT row, tpl, label, is_base, grams, run, len(list_distinct(flatten(list(ats)))) AS voted, min(lo) AS start FROM s GROUP BY ALL),
+p AS (SELECT row, tpl, label, is_base, grams, run, len(list_distinct(flatten(list(ats)))) AS v, min(lo) AS lo, max(hi) AS hi, max(struct_pack(v := len(ats), lo := -lo, hi := hi)) AS best FROM s GROUP BY ALL),
+m AS (SELECT row, tpl, label, is_base, grams, CASE WHEN hi + {K} - lo <= {stretch} * (grams + {K - 1}) THEN v ELSE best.v END AS voted,
+        CASE WHEN hi + {K} - lo <= {stretch} * (grams + {K - 1}) THEN lo ELSE -best.lo END AS start FROM p),
 k AS (SELECT *, voted / grams AS cover FROM m WHERE CASE WHEN is_base THEN voted = grams ELSE voted / grams >= {min_cover} END)
 SELECT d.doc_id AS doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words,
   count(CASE WHEN is_base THEN 1 END) AS n_base,
