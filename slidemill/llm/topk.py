@@ -61,7 +61,7 @@ def maxscore(query: np.ndarray, ids: np.ndarray, columns: np.ndarray, low: np.nd
     return best_s, best_i
 
 
-def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int = 1024, shard_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int = 1024, shard_rows: int = 8192, block_rows: int = 8192) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best integer inner products of every query.
 
     Queries are the rows whose ``vec_id`` is divisible by ``query_every``; candidates are all rows with another
@@ -70,7 +70,8 @@ def top_k(vectors: DataFrame, k: int = 10, query_every: int = 100, scale: int =
     (smallest vector). Ties rank by smaller ``vec_id``; an empty table gives no rows; other columns are not read.
 
     Vectors are hashed to shards of about ``shard_rows`` and queries to blocks of about ``block_rows``; each
-    (shard, block) pair is one bounded group, and per-shard winners are merged by a window whose partial limit
+    (shard, block) pair is one bounded group. With ``m`` queries over ``n`` rows that moves ``n m (1 / shard_rows + 1 /
+    block_rows)`` vectors, so both are as large as a task can hold; per-shard winners are merged by a window whose partial limit
     runs before the shuffle. Nothing is broadcast or collected but two counts.
     """
     ok = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
