@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slidemill.operators import catalog, detect, exports, fusion, overlay, review, tiles, tiling
+from slidemill.plans.lineage import cut
 from slidemill.sources import files, sinks
 
 #: Microscopes, parasites and the default parasite of the tile command.
@@ -36,12 +37,11 @@ def build_catalog(spark: SparkSession, raw_root: str, prior_csv: str, flat_folde
         if "PATH_NOT_FOUND" not in str(e):
             raise
         there = prior.select("canonical_name").limit(0)
-    run = catalog.status_rows(good, prior, there, rehash_all, keep_duplicates, flat_folder.rstrip("/"))
+    listed = cut(good.drop("content"))
+    hashes = lambda paths: files.contents_of(spark, paths).select("raw_path", F.sha2("content", 256).alias("image_id"))
+    run = cut(catalog.status_rows(listed, prior, there, rehash_all, keep_duplicates, flat_folder.rstrip("/"), hashes))
     if out_csv:
-        from slidemill.plans.lineage import cut
-
-        run = cut(run)
-        sinks.copy_new(run, good, flat_folder).count()
+        sinks.copy_new(run, files.contents_of(spark, run.where("status in ('new', 'updated')")), flat_folder).count()
         sinks.write_catalog(catalog.upsert(prior, run), out_csv)
     return catalog.upsert(prior, run), catalog.run_summary(run)
 
@@ -67,8 +67,6 @@ def propose_boxes(spark: SparkSession, folder: str, prior_json: str | None = Non
         old_images, old_annotations = old_images.limit(0), old_annotations.limit(0)
     new = catalog.not_processed(found, old_images, force)
     heads, boxes = detect.propose(new, min_frac, max_frac, *nms)
-    from slidemill.plans.lineage import cut
-
     heads, boxes = cut(heads), cut(boxes)
     images, annotations = exports.coco_append(old_images, old_annotations, heads, boxes)
     if target:
@@ -76,7 +74,7 @@ def propose_boxes(spark: SparkSession, folder: str, prior_json: str | None = Non
         if yolo:
             rows = heads.join(boxes, "file_name").withColumn("class", F.lit(0))
             lines = exports.yolo_lines(heads, rows.select("file_name", "ord", "class", *exports.yolo(*map(F.col, ("x", "y", "w", "h", "width", "height")))))
-            lines.write.parquet(f"{target}/yolo_labels")
+            sinks.write_texts(lines, f"{target}/yolo_labels").count()
         if visual:
             sinks.write_pngs(overlay.render(new, heads, boxes), f"{target}/visualizations").count()
     return images, annotations
@@ -90,6 +88,17 @@ def review_state(images: DataFrame, annotations: DataFrame, edits: DataFrame | N
     return boxes if edits is None else review.replay(boxes, edits)
 
 
+def save_review(boxes: DataFrame, images: DataFrame, target: str) -> None:
+    """The state of a review as new documents below ``target``: the annotations, the COCO export and the YOLO texts.
+
+    The boxes of ``review_state`` so replace the log that made them: a later review starts from ``annotations``.
+    """
+    boxes = cut(boxes)
+    sinks.write_document(exports.annotations_document(images, boxes, "slidemill"), f"{target}/annotations")
+    sinks.write_document(exports.coco_export_document(images, boxes), f"{target}/coco")
+    sinks.write_texts(exports.yolo_lines(images, exports.yolo_export(images, boxes)), f"{target}/yolo_labels").count()
+
+
 def fuse_folder(spark: SparkSession, folder: str, target: str | None = None, **options) -> DataFrame:
     """Fuse the images of one folder as one scene; metric rows and the output, written below ``target`` if given."""
     views = files.image_contents(spark, folder, "fuse").select(F.lit("scene").alias("scene"), F.col("file_name").alias("name"), "content")

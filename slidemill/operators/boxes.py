@@ -71,10 +71,10 @@ def disk_pixels(x: Column, y: Column, w: Column, h: Column, cx: Column, cy: Colu
     return pixels(x, y, w, h, cx, cy, r, width, height)
 
 
-def inside_fov(boxes: DataFrame, least: float = 0.85) -> DataFrame:
-    """Boxes (with ``cx, cy, r, width, height``) at most 1.5 radii a side and over ``least`` of their area in the disk."""
+def inside_fov(boxes: DataFrame, least: float = 0.85, side_radius: str = "r") -> DataFrame:
+    """Boxes (with ``cx, cy, r, width, height``) over ``least`` of whose area is in the disk, at most 1.5 of ``side_radius`` a side."""
     part = disk_pixels(*(F.col(c) for c in ("x", "y", "w", "h", "cx", "cy", "r", "width", "height"))) / (F.col("w") * F.col("h"))
-    fits = (F.col("w") <= 1.5 * F.col("r")) & (F.col("h") <= 1.5 * F.col("r")) & (F.col("w") * F.col("h") > 0)
+    fits = (F.col("w") <= 1.5 * F.col(side_radius)) & (F.col("h") <= 1.5 * F.col(side_radius)) & (F.col("w") * F.col("h") > 0)
     return boxes.where(F.col("r").isNull() | (fits & (part > least)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ def first_of_hash(files: DataFrame) -> DataFrame:
     return files.withColumn("is_first", nth == 1)
 
 
-def status_rows(files: DataFrame, prior: DataFrame, listing: DataFrame, rehash_all: bool = False, keep_duplicates: bool = False, flat_root: str = "flat_images") -> DataFrame:
+def status_rows(
+    files: DataFrame, prior: DataFrame, listing: DataFrame, rehash_all: bool = False, keep_duplicates: bool = False, flat_root: str = "flat_images", hashes: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One catalogue row with its run status for each file.
 
     ``files`` has ``raw_path, microscope, parasite, user, raw_filename, ext, size_bytes, mtime_epoch, content``;
@@ -23,12 +27,15 @@ def status_rows(files: DataFrame, prior: DataFrame, listing: DataFrame, rehash_a
     the flat folder already holds. A file whose size and time are as recorded is ``skipped_unchanged`` without its
     content being hashed; a known hash is a ``duplicate`` (of the prior catalogue, or of an earlier path of this
     run); then ``updated`` if the path was known, ``copied_exists`` if the destination is there (or just written), else
-    ``new``. With ``rehash_all`` an unchanged file meets its own recorded hash and becomes a duplicate.
+    ``new``. What changed is found from the listing alone; ``hashes`` then gives ``raw_path, image_id`` of those rows (by
+    default from ``content``). With ``rehash_all`` an unchanged file meets its own recorded hash and becomes a duplicate.
     Hashes are looked up by equi-join; only the window of one hash's new files meets in a task.
     """
     known = prior.where("image_id <> ''").select("image_id").distinct().withColumn("known", F.lit(True))
     old = prior.select("raw_path", *(F.col(c).alias(f"old_{c}") for c in ("image_id", "microscope", "parasite", "user", "size_bytes", "mtime_epoch", "canonical_name", "flat_path")), F.lit(True).alias("seen"))
-    f = files.join(old, "raw_path", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+    if hashes is None:
+        files = files.withColumn("_hash", F.sha2("content", 256))
+    f = files.drop("content").join(old, "raw_path", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
     same = F.lit(not rehash_all) & F.col("seen") & (F.col("old_size_bytes") == F.col("size_bytes")) & (F.col("old_mtime_epoch") == F.col("mtime_epoch"))
     f = f.withColumn("skipped", F.coalesce(same, F.lit(False)))
     skipped = f.where("skipped").select(
@@ -36,7 +43,8 @@ def status_rows(files: DataFrame, prior: DataFrame, listing: DataFrame, rehash_a
         "raw_path", "raw_filename", F.lower("ext").alias("ext"), "size_bytes", "mtime_epoch",
         F.col("old_canonical_name").alias("canonical_name"), F.col("old_flat_path").alias("flat_path"), F.lit("skipped_unchanged").alias("status"),
     )
-    work = f.where("not skipped").withColumn("image_id", F.sha2("content", 256)).drop("content")
+    work = f.where("not skipped")
+    work = work.withColumnRenamed("_hash", "image_id") if hashes is None else work.join(hashes(work.select("raw_path")), "raw_path")
     work = work.withColumn("canonical_name", canonical_name(*map(F.col, ("microscope", "parasite", "user", "image_id", "ext"))))
     work = work.join(known, "image_id", "left")
     nth = F.row_number().over(Window.partitionBy("image_id").orderBy("raw_path"))

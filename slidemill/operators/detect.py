@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.plans.lineage import cut
 from slidemill.operators import boxes as B
 from slidemill.operators import kernels as K
 
@@ -118,7 +119,7 @@ def scan(images: DataFrame) -> DataFrame:
 
 def propose(images: DataFrame, min_frac: float = 0.0003, max_frac: float = 0.20, nms_num: int = 3, nms_den: int = 10, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(images, boxes)``: image rows with their field of view, and proposals after limits, padding, view and suppression."""
-    raw = scan(images)
+    raw = cut(scan(images))  # images and boxes both come from it: one pass over the pixels
     heads = raw.where("ord is null")
     if strict:
         heads = heads.withColumn("width", F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("cannot read image: "), "file_name"))).otherwise(F.col("width")))
@@ -126,7 +127,6 @@ def propose(images: DataFrame, min_frac: float = 0.0003, max_frac: float = 0.20,
     low, high = B.area_band(view, min_frac, max_frac)
     found = raw.where("ord is not null").withColumn("low", low).withColumn("high", high)
     padded = B.filter_and_pad(found, F.col("low"), F.col("high")).withColumn("r_full", F.col("r")).withColumn("r", B.shrunk_radius(F.col("r")))
-    big = F.col("r_full").isNull() | ((F.col("w") <= 1.5 * F.col("r_full")) & (F.col("h") <= 1.5 * F.col("r_full")))
-    kept = B.inside_fov(padded.where(big))
+    kept = B.inside_fov(padded, side_radius="r_full")
     boxes = kept.select(F.col("file_name").alias("image_id"), "file_name", "ord", "x", "y", "w", "h", "confidence", "method")
     return heads.select("file_name", "width", "height", "cx", "cy", "r", "error"), B.nms(boxes, nms_num, nms_den).drop("image_id")

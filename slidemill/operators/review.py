@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.functions.scalars import box_id, default_label
+from slidemill.functions.scalars import box_id, default_label, drawn_enough, maybe_label
 from slidemill.operators.boxes import best_iou_match
+from slidemill.plans.lineage import cut
 
+ACTION = "struct<seq:bigint,status:string>"
 BOX_COLUMNS = ["file_name", "ord", "id", "x", "y", "w", "h", "label", "status", "method", "confidence"]
 
 
@@ -22,13 +24,49 @@ def initial_boxes(images: DataFrame, annotations: DataFrame) -> DataFrame:
     )
 
 
+def next_bulk(points: DataFrame, bulks: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``points`` (``by``, ``at``) with ``name``: the first bulk action (``seq, status``) of their group after ``at``, or null.
+
+    Points and actions of a group are ordered together once; none is compared with all others.
+    """
+    both = points.withColumns({"_seq": F.col("at"), "_set": F.lit(None).cast(ACTION), "_point": F.lit(True)}).unionByName(
+        bulks.select(*by, F.col("seq").alias("_seq"), F.struct("seq", "status").cast(ACTION).alias("_set"), F.lit(False).alias("_point")), allowMissingColumns=True
+    )
+    # of an action and a point of one number the action comes first, so it is not after the point
+    later = Window.partitionBy(*by).orderBy("_seq", "_point").rowsBetween(1, Window.unboundedFollowing)
+    return both.withColumn(name, F.first("_set", ignorenulls=True).over(later)).where("_point").drop("_seq", "_set", "_point")
+
+
+def next_overall_bulk(points: DataFrame, bulks: DataFrame, name: str, ranges: int = 4096) -> DataFrame:
+    """The same for actions on all files: points and actions meet in ranges of ``seq``, at most ``ranges`` of them.
+
+    A range without a later action takes the first one of a later range; points before all actions take the first.
+    """
+    ends = bulks.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
+    if ends["lo"] is None:
+        return points.withColumn(name, F.lit(None).cast(ACTION))
+    width = max(1, -(-(ends["hi"] - ends["lo"] + 1) // ranges))
+    place = lambda c: F.floor((F.col(c) - ends["lo"]) / width).cast("long")
+    firsts = bulks.withColumn("_r", place("seq")).groupBy("_r").agg(F.min(F.struct("seq", "status")).alias("_first"))
+    known = {r["_r"]: tuple(r["_first"]) for r in firsts.collect()}
+    after, seen = [None] * (max(known) + 2), None
+    for r in range(max(known), -1, -1):
+        after[r], seen = seen, known.get(r, seen)
+    early = points.where(F.col("at") < ends["lo"]).withColumn(name, F.struct(F.lit(seen[0]).alias("seq"), F.lit(seen[1]).alias("status")).cast(ACTION))
+    rest = next_bulk(points.where(F.col("at") >= ends["lo"]).withColumn("_r", place("at")), bulks.withColumn("_r", place("seq")), ["_r"], name)
+    table = points.sparkSession.createDataFrame(list(enumerate(after)), f"_r long, _after {ACTION}")
+    rest = rest.join(F.broadcast(table), "_r", "left").withColumn(name, F.coalesce(name, "_after")).drop("_r", "_after")
+    return early.unionByName(rest.select(early.columns))
+
+
 def replay(boxes: DataFrame, edits: DataFrame) -> DataFrame:
     """Boxes after all edits (``seq, action, file_name, box_id, status, label, bbox``), folded by ``seq``.
 
     Actions: ``update`` (any of status, label, bbox), ``add`` (approved manual box, default label if none), ``delete``,
-    ``bulk_update`` (pending boxes of a file, of all files if it is null) and ``revert`` (to pending). An edit of an
-    unknown box is ignored. Each status edit makes earlier ones irrelevant, so a box needs only its last one and, if
-    that leaves it pending, the first later bulk update; nothing is replayed across boxes.
+    ``bulk_update`` (pending boxes of a file, of all files if it is null) and ``revert`` (to pending). An edit of a box
+    that does not exist (yet, or any more) is ignored. Each status edit makes earlier ones irrelevant, so a box needs
+    only its last one and, if that leaves it pending, the first later bulk action that sets another status; nothing is
+    replayed across boxes.
     """
     added = edits.where("action = 'add'").select(
         "file_name", (F.lit(1_000_000_000) + F.col("seq")).alias("ord"), F.coalesce("box_id", F.substring(F.sha2(F.concat_ws("|", "file_name", F.col("seq").cast("string")), 256), 1, 8)).alias("id"),
@@ -37,23 +75,39 @@ def replay(boxes: DataFrame, edits: DataFrame) -> DataFrame:
     )
     every = boxes.withColumn("born", F.lit(-1).cast("long")).unionByName(added)
     own = edits.where("action in ('update', 'revert', 'delete')").withColumn("status", F.when(F.col("action") == "revert", "pending").otherwise(F.col("status")))
-    last = own.groupBy("file_name", F.col("box_id").alias("id")).agg(
-        F.max(F.when(F.col("status").isNotNull(), F.struct("seq", "status"))).alias("s"),
-        F.max(F.when(F.col("label").isNotNull(), F.struct("seq", "label"))).alias("l"),
+    own = own.select("file_name", F.col("box_id").alias("id"), "seq", "action", F.col("status").alias("_status"), F.col("label").alias("_label"), "bbox")
+    last = every.select("file_name", "id", "born").join(own, ["file_name", "id"]).where("seq > born").groupBy("file_name", "id", "born").agg(
+        F.max(F.when(F.col("_status").isNotNull(), F.struct("seq", "_status"))).alias("s"),
+        F.max(F.when(F.col("_label").isNotNull(), F.struct("seq", "_label"))).alias("l"),
         F.max(F.when(F.col("bbox").isNotNull(), F.struct("seq", "bbox"))).alias("b"),
-        F.max(F.when(F.col("action") == "delete", F.col("seq"))).alias("gone"),
+        F.max(F.col("action") == "delete").alias("gone"),
     )
-    bulk = edits.where("action = 'bulk_update'")
-    timeline = lambda df, name: df.agg(F.array_sort(F.collect_list(F.struct("seq", "status"))).alias(name))
-    by_file = timeline(bulk.where("file_name is not null").groupBy("file_name"), "bulks")
-    overall = timeline(bulk.where("file_name is null").groupBy(F.lit(1).alias("one")), "all_bulks")  # one row: the log's bulk actions on everything
-    f = every.join(last, ["file_name", "id"], "left").join(by_file, "file_name", "left").withColumn("one", F.lit(1)).join(F.broadcast(overall), "one", "left")
-    f = f.where("gone is null or gone < born")
-    f = f.withColumn("at", F.coalesce("s.seq", "born")).withColumn("status", F.coalesce("s.status", "status"))
-    later = F.filter(F.concat(F.coalesce("bulks", F.array().cast("array<struct<seq:bigint,status:string>>")), F.coalesce("all_bulks", F.array().cast("array<struct<seq:bigint,status:string>>"))), lambda e: e["seq"] > F.col("at"))
-    f = f.withColumn("status", F.when(F.col("status") == "pending", F.coalesce(F.array_min(later)["status"], F.col("status"))).otherwise(F.col("status")))
-    return f.select(
-        "file_name", "ord", "id", *(F.coalesce(F.get("b.bbox", F.lit(i)), F.col(c)).alias(c) for i, c in enumerate("xywh")), F.coalesce("l.label", "label").alias("label"), "status", "method", "confidence",
+    f = every.join(last, ["file_name", "id", "born"], "left").where("gone is null or not gone")
+    f = f.withColumn("at", F.coalesce("s.seq", "born")).withColumn("status", F.coalesce("s._status", "status"))
+    f = f.select("file_name", "ord", "id", *(F.coalesce(F.get("b.bbox", F.lit(i)), F.col(c)).alias(c) for i, c in enumerate("xywh")), F.coalesce("l._label", "label").alias("label"), "status", "method", "confidence", "at")
+    bulk = cut(edits.where("action = 'bulk_update' and status <> 'pending'").select("seq", "file_name", "status"))
+    if not bulk.limit(1).count():
+        return f.drop("at")
+    f = cut(f)
+    pending = f.where("status = 'pending'")
+    pending = next_bulk(pending, bulk.where("file_name is not null"), ["file_name"], "one")
+    pending = next_overall_bulk(pending, bulk.where("file_name is null"), "all")
+    first = F.array_min(F.filter(F.array("one", "all"), lambda e: e.isNotNull()))
+    pending = pending.withColumn("status", F.coalesce(first["status"], F.col("status"))).drop("one", "all", "at")
+    return f.where("status is null or status <> 'pending'").drop("at").unionByName(pending)
+
+
+def drawn(rectangles: DataFrame) -> DataFrame:
+    """``add`` edits of rectangles dragged on an image: ``seq, file_name, x1, y1, x2, y2, maybe`` (any two corners).
+
+    Sides are rounded; one of less than five pixels makes no box. With ``maybe`` the default label gets its ending.
+    """
+    side = lambda a, b, f: F.floor(f(F.col(a), F.col(b)) + 0.5).cast("long")
+    length = lambda a, b: F.floor(F.abs(F.col(b) - F.col(a)) + 0.5).cast("long")
+    r = rectangles.select("seq", "file_name", "maybe", side("x1", "x2", F.least).alias("x"), side("y1", "y2", F.least).alias("y"), length("x1", "x2").alias("w"), length("y1", "y2").alias("h"))
+    base = F.lower(default_label(F.col("file_name")))
+    return r.where(drawn_enough(F.col("w"), F.col("h"))).select(
+        "seq", F.lit("add").alias("action"), "file_name", F.lit(None).cast("string").alias("box_id"), F.lit(None).cast("string").alias("status"), F.when(F.col("maybe"), maybe_label(base)).alias("label"), F.array("x", "y", "w", "h").alias("bbox"),
     )
 
 

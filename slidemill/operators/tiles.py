@@ -16,9 +16,22 @@ def grid(images: DataFrame, patch: int = 1024, stride: int = 256) -> DataFrame:
 
 
 def keep_in_fov(tiles: DataFrame, patch: int, min_fraction: float, require_center: bool = True) -> DataFrame:
-    """Tiles with enough of their pixels in the disk ``cx, cy, r`` (whole numbers) and, if asked, their centre pixel in it."""
+    """Tiles with enough of their pixels in the disk ``cx, cy, r`` (whole numbers) and, if asked, their centre pixel in it.
+
+    A tile whose corners are all in the disk lies in it whole, one beyond it all has none; only the pixels of the
+    others are counted.
+    """
     side = F.lit(patch - 1)
-    inside = disk_pixels(F.col("c0"), F.col("r0"), side, side, F.col("cx"), F.col("cy"), F.col("r"), F.col("width"), F.col("height"))
+    square = lambda c: c * c
+    end = lambda p, s: (F.col(p) + side, F.col(s))
+    (right, cx), (bottom, cy) = end("c0", "cx"), end("r0", "cy")
+    widest = square(F.greatest(F.abs(F.col("c0") - cx), F.abs(right - cx)).cast("long")) + square(F.greatest(F.abs(F.col("r0") - cy), F.abs(bottom - cy)).cast("long"))
+    gap = lambda low, high, c: F.greatest(F.lit(0), low - c, c - high).cast("long")
+    nearest = square(gap(F.col("c0"), right, cx)) + square(gap(F.col("r0"), bottom, cy))
+    reach = square(F.col("r").cast("long"))
+    whole, none = (widest <= reach) & (right < F.col("width")) & (bottom < F.col("height")), nearest > reach
+    x = F.when(~(whole | none), F.col("c0"))
+    inside = F.coalesce(disk_pixels(x, F.col("r0"), side, side, F.col("cx"), F.col("cy"), F.col("r"), F.col("width"), F.col("height")), F.when(whole, patch * patch).when(none, 0))
     half = patch // 2
     center = (F.col("c0") + half - F.col("cx")) * (F.col("c0") + half - F.col("cx")) + (F.col("r0") + half - F.col("cy")) * (F.col("r0") + half - F.col("cy")) <= F.col("r") * F.col("r")
     near = tiles.where(center) if require_center else tiles

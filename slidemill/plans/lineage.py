@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint under ``spark.checkpoint.dir``; only a session without one (tests) gets a temporary folder."""
+    """A reliable checkpoint under ``spark.checkpoint.dir``, which a session must name."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cut-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(named)
     return df.checkpoint()
+
+
+def few(rows: DataFrame, most: int = 200_000) -> DataFrame:
+    """Cut rows, marked for broadcast if counted to be few; else Spark shuffles."""
+    rows = cut(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows

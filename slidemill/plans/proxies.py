@@ -78,6 +78,18 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as edits of every kind: deleted and added boxes, edits of boxes not there yet, bulk actions of one file or all."""
+    t, i, none = F.col("event_type"), F.col("event_id"), F.lit(None).cast("string")
+    action = F.when(t == "signup", "bulk_update").when(t == "view", "revert").when((t == "click") & (i % 29 == 0), "delete").when((t == "purchase") & (i % 4 == 0), "add").otherwise("update")
+    status = F.when(t == "signup", F.when(i % 3 == 0, "pending").when(i % 3 == 1, "approved").otherwise("rejected")).when((t == "click") & (i % 29 != 0), "approved").when(t == "error", "rejected")
+    box = F.when(t == "purchase", F.concat(F.lit("n"), (i - i % 4 + F.when(i % 4 == 0, 0).otherwise(i % 8)).cast("string"))).when(t != "signup", F.col("user_id").cast("string"))
+    return table(spark, sf_dir, "events").select(
+        i.alias("seq"), action.alias("action"), F.when((t != "signup") | (i % 2 == 1), "store").alias("file_name"), box.alias("box_id"), status.alias("status"),
+        F.when(t == "purchase", F.concat(F.lit("k"), F.get_json_object("props", "$.k"))).otherwise(none).alias("label"), F.when(action == "add", F.array(i, i, F.lit(5).cast("long"), F.lit(6).cast("long"))).alias("bbox"),
+    )
+
+
 def edit_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     zero = F.lit(0).cast("long")
@@ -109,4 +121,10 @@ BOX_SQL = f"""box AS (SELECT *, substr(sha256(file_name || '|' || ord), 1, 8) AS
   CASE l_linenumber % 3 WHEN 0 THEN 'approved' WHEN 1 THEN 'rejected' ELSE 'pending' END AS status,
   CASE WHEN l_returnflag = 'A' THEN 'ascaris' WHEN l_returnflag = 'N' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'noise' ELSE 'Noise' END ELSE '' END AS label, {FILE_OF('l_orderkey')} AS file_name FROM lineitem))"""
 IMG_SQL = f"img AS (SELECT o_orderkey AS image_id, {FILE_OF('o_orderkey')} AS file_name, 1024 + o_orderkey % 900 AS width, 1024 + o_custkey % 700 AS height FROM orders)"
+ALL_EDITS_SQL = """e AS (SELECT event_id AS seq,
+  CASE WHEN event_type = 'signup' THEN 'bulk_update' WHEN event_type = 'view' THEN 'revert' WHEN event_type = 'click' AND event_id % 29 = 0 THEN 'delete' WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'add' ELSE 'update' END AS action,
+  CASE WHEN event_type <> 'signup' OR event_id % 2 = 1 THEN 'store' END AS file_name,
+  CASE WHEN event_type = 'purchase' THEN 'n' || (event_id - event_id % 4 + CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 8 END) WHEN event_type <> 'signup' THEN CAST(user_id AS VARCHAR) END AS id,
+  CASE WHEN event_type = 'signup' THEN CASE event_id % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'approved' ELSE 'rejected' END WHEN event_type = 'view' THEN 'pending' WHEN event_type = 'click' AND event_id % 29 <> 0 THEN 'approved' WHEN event_type = 'error' THEN 'rejected' END AS status,
+  CASE WHEN event_type = 'purchase' THEN 'k' || (props ->> '$.k') END AS label FROM events)"""
 RASTER_SQL = "raster AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS a FROM embeddings)"

@@ -11,6 +11,7 @@ from slidemill.functions import scalars as S
 from slidemill.operators import boxes as B
 from slidemill.operators import catalog, exports, quality, rasters, review, tiles
 from slidemill.plans import proxies as P
+from slidemill.plans.lineage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -228,6 +229,17 @@ def review_replay(spark, sf_dir):
     return review.replay(P.edit_boxes(spark, sf_dir), P.edits(spark, sf_dir)).select("id", "status", "label")
 
 
+@query(f"""WITH {P.ALL_EDITS_SQL},
+b AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, -1 AS born, 'pending' AS status, 'Noise' AS label FROM events UNION ALL SELECT id, seq, 'approved', label FROM e WHERE action = 'add'),
+o AS (SELECT b.id, b.born, max(CASE WHEN e.status IS NOT NULL THEN seq END) AS at, max_by(e.status, seq) FILTER (e.status IS NOT NULL) AS last, max_by(e.label, seq) FILTER (e.label IS NOT NULL) AS name, bool_or(action = 'delete') AS gone
+  FROM b JOIN e ON e.id = b.id AND e.seq > b.born AND action IN ('update', 'revert', 'delete') GROUP BY b.id, b.born),
+f AS (SELECT b.id, b.born, coalesce(o.last, b.status) AS status, coalesce(o.name, b.label) AS label, coalesce(o.at, b.born) AS at FROM b LEFT JOIN o ON o.id = b.id AND o.born = b.born WHERE NOT coalesce(gone, false)),
+n AS (SELECT f.id, f.born, min_by(e.status, e.seq) AS next FROM f JOIN e ON action = 'bulk_update' AND e.status <> 'pending' AND e.seq > f.at WHERE f.status = 'pending' GROUP BY f.id, f.born)
+SELECT f.id AS id, coalesce(next, status) AS status, label FROM f LEFT JOIN n ON n.id = f.id AND n.born = f.born""")
+def review_replay_all(spark, sf_dir):
+    return review.replay(P.edit_boxes(spark, sf_dir), P.all_edits(spark, sf_dir)).select("id", "status", "label")
+
+
 @query(f"WITH {P.BOX_SQL} SELECT file_name, ord, CASE WHEN status = 'pending' THEN 'approved' ELSE status END AS status FROM box")
 def bulk_update(spark, sf_dir):
     return review.bulk_update(P.boxes(spark, sf_dir), "approved")[0].select("file_name", "ord", "status")
@@ -246,7 +258,21 @@ def _saved(b: DataFrame) -> DataFrame:
     )
 
 
-@query()
+_SIDE = lambda p, s: f"greatest(0, least(b.{p} + b.{s}, t.{p} + t.{s}) - greatest(b.{p}, t.{p}))"
+_INTER = f"({_SIDE('x', 'w')} * {_SIDE('y', 'h')})"
+
+
+@query(f"""WITH RECURSIVE {P.BOX_SQL}, saved AS (SELECT file_name, ord, x + ord % 3 * 4 AS x, y, w, h, 'saved_' || ord AS label, CASE WHEN ord % 5 = 0 THEN 'manual' ELSE method END AS method FROM box WHERE ord % 4 <> 3),
+ss AS (SELECT file_name, list({{'o': ord, 'x': x, 'y': y, 'w': w, 'h': h}} ORDER BY ord) AS all_saved FROM saved GROUP BY file_name),
+c AS (SELECT b.file_name, b.ord, list_sort(list_transform(list_filter(all_saved, lambda t: 2 * {_INTER} > b.w * b.h + t.w * t.h - {_INTER}),
+  lambda t: {{'v': -({_INTER} / (b.w * b.h + t.w * t.h - {_INTER})), 'o': t.o}})) AS fits FROM box b JOIN ss ON ss.file_name = b.file_name),
+r AS (SELECT file_name, CAST(0 AS BIGINT) AS ord, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS took FROM ss
+  UNION ALL SELECT file_name, ord, CASE WHEN took IS NULL THEN used ELSE list_append(used, took) END, took FROM (
+    SELECT c.file_name, c.ord, r.used, list_filter(c.fits, lambda t: NOT list_contains(r.used, t.o))[1].o AS took FROM r JOIN c ON c.file_name = r.file_name AND c.ord = r.ord + 1)),
+m AS (SELECT file_name, ord, took FROM r WHERE took IS NOT NULL),
+lost AS (SELECT s.file_name, s.ord, s.label FROM saved s LEFT JOIN m ON m.file_name = s.file_name AND m.took = s.ord WHERE s.method = 'manual' AND m.took IS NULL)
+SELECT b.file_name AS file_name, b.ord AS ord, CASE WHEN m.took IS NULL THEN b.status ELSE 'approved' END AS status, coalesce(s.label, b.label) AS label, b.method AS method FROM box b LEFT JOIN m ON m.file_name = b.file_name AND m.ord = b.ord LEFT JOIN saved s ON s.file_name = m.file_name AND s.ord = m.took
+UNION ALL SELECT l.file_name, t.top + row_number() OVER (PARTITION BY l.file_name ORDER BY l.ord), 'approved', l.label, 'manual' FROM lost l JOIN (SELECT file_name, max(ord) AS top FROM box GROUP BY file_name) t ON t.file_name = l.file_name""")
 def resume_match(spark, sf_dir):
     b = P.boxes(spark, sf_dir).select(review.BOX_COLUMNS)
     return review.resume(b, _saved(b)).select("file_name", "ord", "status", "label", "method")
@@ -303,17 +329,13 @@ def raster_zscore(spark, sf_dir):
     return P.rasters(spark, sf_dir).select("vec_id", F.round(F.array_max(rasters.z_scores(F.col("a"), 8)), 6).alias("z_max"))
 
 
-@query()
-def raster_hf_ratio(spark, sf_dir):
-    from slidemill.operators.kernels import high_frequency_ratio
-
-    @F.pandas_udf("double")
-    def ratio(a):
-        import numpy as np
+_WAVE = lambda f: f"power(list_sum(list_transform(range(64), lambda i: a[i + 1] * {f}(2 * pi() * ((k // 8 - 4) * (i // 8) + (k % 8 - 4) * (i % 8)) / 8))), 2)"
 
-        return a.map(lambda v: high_frequency_ratio(np.asarray(v, float).reshape(8, 8)))
 
-    return P.rasters(spark, sf_dir).select("vec_id", F.round(ratio("a"), 6).alias("high_frequency_ratio"))
+@query(f"""WITH {P.RASTER_SQL}, p AS (SELECT vec_id, list_transform(range(64), lambda k: {_WAVE('cos')} + {_WAVE('sin')}) AS p FROM raster)
+SELECT vec_id, round(list_sum(list_transform(list_filter(range(64), lambda k: (k // 8 - 4) * (k // 8 - 4) + (k % 8 - 4) * (k % 8 - 4) >= 1.44), lambda k: p[k + 1])) / (list_sum(p) + 1e-8), 6) AS high_frequency_ratio FROM p""")
+def raster_hf_ratio(spark, sf_dir):
+    return P.rasters(spark, sf_dir).select("vec_id", F.round(rasters.high_frequency_ratio(F.col("a"), 8), 6).alias("high_frequency_ratio"))
 
 
 def _metrics(spark, sf_dir):
@@ -324,7 +346,7 @@ def _metrics(spark, sf_dir):
         rasters.laplacian_variance(F.col("a"), 8).alias("laplacian_variance"), rasters.tenengrad(F.col("a"), 8).alias("tenengrad"), rasters.brenner(F.col("a"), 8).alias("brenner"),
         (F.array_max("a") - F.array_min("a")).alias("high_frequency_ratio"), (F.size(F.filter("a", lambda v: v > 0)) / 64).alias("edge_density"), (F.col("vec_id") % 3 != 0).alias("registration_ok"),
     )
-    return quality.initial_score(m)
+    return cut(quality.initial_score(m))  # scenes' sums are joined back to the rows: they are worked out once
 
 
 _METRICS = f"""WITH {P.RASTER_SQL}, c AS (SELECT *, {_conv(rasters.LAPLACE)} AS lc, {_conv(rasters.SOBEL_X)} AS gx, {_conv(rasters.SOBEL_Y)} AS gy FROM raster),

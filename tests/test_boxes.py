@@ -80,3 +80,8 @@ def test_disk_pixels_by_counting(spark):
     for r in df.collect():
         want = sum((c - 40) ** 2 + (v - 35) ** 2 <= 900 for v in range(r.y, min(r.y + r.h, 79) + 1) for c in range(r.x, min(r.x + r.w, 89) + 1))
         assert r.n == want
+
+
+def test_sides_are_held_against_the_full_radius(spark):
+    row = spark.createDataFrame([(430, 430, 140, 140, 500, 500, 90, 100, 1000, 1000)], "x int, y int, w int, h int, cx int, cy int, r int, r_full int, width int, height int")
+    assert B.inside_fov(row, 0.5).count() == 0 and B.inside_fov(row, 0.5, side_radius="r_full").count() == 1

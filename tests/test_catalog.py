@@ -58,3 +58,109 @@ def test_resume_keeps_manual_orphans_only(spark):
     )
     got = sorted((r.file_name, r.label, r.status, r.method) for r in review.resume(boxes, saved).collect())
     assert got == [("f", "cyst", "approved", "m"), ("f", "x", "approved", "manual")]
+
+
+def fold(boxes, edits):
+    """All edits one by one, as a store with one list of boxes for each file would take them."""
+    store = {}
+    for b in boxes:
+        store.setdefault(b[0], []).append({"id": b[2], "status": b[8], "label": b[7], "x": b[3]})
+    for seq, action, file, box, status, label, bbox in sorted(edits):
+        if action == "add":
+            store.setdefault(file, []).append({"id": box, "status": "approved", "label": label or "Noise", "x": bbox[0]})
+        elif action == "delete":
+            store[file] = [b for b in store.get(file, []) if b["id"] != box]
+        elif action == "bulk_update":
+            for f in [file] if file else list(store):
+                for b in store.get(f, []):
+                    b["status"] = status if b["status"] == "pending" else b["status"]
+        else:
+            for b in store.get(file, []):
+                if b["id"] == box:
+                    b["status"] = "pending" if action == "revert" else status or b["status"]
+                    b["label"] = label if label is not None else b["label"]
+                    b["x"] = bbox[0] if bbox else b["x"]
+    return sorted((f, b["id"], b["status"], b["label"], b["x"]) for f, bs in store.items() for b in bs)
+
+
+def test_replay_equals_the_fold_of_random_logs(spark):
+    import random
+
+    r = random.Random(3)
+    boxes = [(f, i, f"b{i}", i, 1, 5, 5, "egg", r.choice(["pending", "approved"]), "m", 0.5) for f in "fg" for i in range(6)]
+    edits, alive = [], set()
+    for seq in range(1, 260):
+        action = r.choice(["update", "update", "revert", "delete", "add", "bulk_update"]) if seq % 3 == 0 else r.choice(["update", "revert"])
+        file, box = r.choice("fgh"), f"b{r.randrange(9)}"
+        if action == "bulk_update":
+            edits.append((seq, action, r.choice([file, None]), None, r.choice(["pending", "approved", "rejected"]), None, None))
+        elif action == "add":
+            box = f"n{r.randrange(12)}"
+            if (file, box) in alive:  # an id is given again only after its box is gone
+                continue
+            alive.add((file, box))
+            edits.append((seq, action, file, box, None, r.choice(["", "cyst"]), [seq, 1, 2, 3]))
+        else:
+            box = r.choice([box, f"n{r.randrange(12)}"])
+            if action == "delete":
+                alive.discard((file, box))
+            edits.append((seq, action, file, box, r.choice([None, "approved", "rejected"]) if action == "update" else None, r.choice([None, "worm"]) if action == "update" else None, [seq, 2, 3, 4] if action == "update" and seq % 7 == 0 else None))
+    df = spark.createDataFrame(edits, "seq long, action string, file_name string, box_id string, status string, label string, bbox array<long>")
+    got = sorted((x.file_name, x.id, x.status, x.label, x.x) for x in review.replay(spark.createDataFrame(boxes, BOX), df).collect())
+    assert got == fold(boxes, edits)
+
+
+def test_two_bulk_actions_and_edits_before_an_add(spark):
+    boxes = spark.createDataFrame([("f", 0, "a", 0, 0, 5, 5, "egg", "pending", "m", 0.5)], BOX)
+    e = [(1, "bulk_update", None, None, "pending", None, None), (2, "bulk_update", "f", None, "approved", None, None), (3, "update", "f", "n", "rejected", None, None), (4, "add", "f", "n", None, "", [1, 1, 5, 5])]
+    edits = spark.createDataFrame(e, "seq long, action string, file_name string, box_id string, status string, label string, bbox array<long>")
+    assert {r.id: r.status for r in review.replay(boxes, edits).collect()} == {"a": "approved", "n": "approved"}
+
+
+def test_drawn_rectangles_become_adds(spark):
+    rows = [(1, "m__My_Egg__1.png", 30.4, 40.0, 10.0, 52.6, True), (2, "x.png", 0.0, 0.0, 4.4, 90.0, False), (3, "x.png", 0.0, 0.0, 9.0, 9.0, False), (4, "x.png", 0.0, 0.0, 9.0, 9.0, True)]
+    out = review.drawn(spark.createDataFrame(rows, "seq long, file_name string, x1 double, y1 double, x2 double, y2 double, maybe boolean")).orderBy("seq").collect()
+    assert [(r.seq, r.label, r.bbox) for r in out] == [(1, "my egg_maybe", [10, 40, 20, 13]), (3, None, [0, 0, 9, 9]), (4, "noise_maybe", [0, 0, 9, 9])]
+
+
+def test_unchanged_files_are_not_opened(spark, tmp_path, monkeypatch):
+    from slidemill import api
+    from slidemill.sources import files
+
+    raw = tmp_path / "data" / "raw" / "Lab" / "Egg" / "me [1]"
+    raw.mkdir(parents=True)
+    for i in range(4):
+        (raw / f"{i}.png").write_bytes(b"content %d" % i)
+    opened, plain = [], files.contents_of
+    monkeypatch.setattr(files, "contents_of", lambda spark, paths: (opened.append(paths.count()), plain(spark, paths))[1])
+    api.build_catalog(spark, str(tmp_path / "data" / "raw"), str(tmp_path / "none"), str(tmp_path / "flat"), str(tmp_path / "index"))
+    assert opened == [4, 4]
+    (raw / "2.png").write_bytes(b"other content")
+    opened.clear()
+    _, summary = api.build_catalog(spark, str(tmp_path / "data" / "raw"), str(tmp_path / "index"), str(tmp_path / "flat"))
+    assert opened == [1] and {r.status: r.files for r in summary.collect()} == {"skipped_unchanged": 3, "updated": 1}
+
+
+def test_documents_of_a_review(spark, tmp_path):
+    import json
+
+    from slidemill import api
+    from slidemill.operators import exports
+    from slidemill.sources import files, sinks
+
+    boxes = spark.createDataFrame(
+        [("b.png", 0, "p", 1, 2, 3, 4, "worm", "approved", "m", 0.5), ("a.png", 0, "q", 1, 2, 3, 4, "", "approved", "m", 0.4567), ("a.png", 1, "r", 1, 2, 3, 4, "noise", "approved", "m", 0.5), ("a.png", 2, "s", 1, 2, 3, 4, "egg", "pending", "m", 0.5)], BOX
+    )
+    images = spark.createDataFrame([("a.png", 10, 20), ("b.png", 30, 40), ("c.png", 50, 60)], "file_name string, width int, height int")
+    coco = json.loads(exports.coco_export_document(images, boxes).first().value)
+    assert [i["file_name"] for i in coco["images"]] == ["a.png", "b.png", "c.png"] and coco["categories"] == [{"id": 1, "name": "parasite"}, {"id": 2, "name": "worm"}]
+    assert [(a["id"], a["image_id"], a["category_id"], a["bbox"], a["area"]) for a in coco["annotations"]] == [(1, 1, 1, [1, 2, 3, 4], 12), (2, 2, 2, [1, 2, 3, 4], 12)]
+    api.save_review(boxes, images, str(tmp_path / "out"))
+    saved = files.read_annotations(spark, str(next((tmp_path / "out" / "annotations").glob("part-*"))))
+    assert sorted((r.file_name, r.label, r.status) for r in saved.collect()) == sorted((r.file_name, r.label, r.status) for r in boxes.collect())
+    assert (tmp_path / "out" / "yolo_labels" / "b.txt").read_text() == "0 0.083333 0.100000 0.100000 0.100000"
+    assert (tmp_path / "out" / "yolo_labels" / "c.txt").read_text() == ""
+    sinks.write_metrics(spark.createDataFrame([("v1", "input", 1.5)], "name string, role string, tenengrad double"), str(tmp_path / "metrics"))
+    head = next((tmp_path / "metrics").glob("part-*.csv")).read_text().splitlines()
+    assert head[0].startswith("name,role,width,height,laplacian_variance") and head[1].startswith("v1,input,")
+    assert tuple(exports.proposal_totals(images, boxes, images.limit(1), boxes.limit(2)).first()) == (2, 1, 4, 3)
