@@ -113,7 +113,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         base += count
     if taken != histogram:
         raise AssertionError("patterns and histogram differ")
-    bucketed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(max(buckets, 4 * parts))))
+    # repeated rows stand in many partitions of the checkpoint, so they too are spread
+    bucketed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.spark_partition_id()), F.lit(max(buckets, 4 * parts))))
     counts = bucketed.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
