@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -33,6 +35,10 @@ def splits_at_blanks(file: dict) -> bool:
     )
 
 
+_MARKS = frozenset("!,.:;?")
+_U4 = struct.Struct("<I").pack
+
+
 def byte_level_table() -> dict[int, int]:
     """The published byte-to-character rule of byte-level BPE: printable Latin-1 stays, the rest follows from 256 on."""
     keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -68,7 +74,7 @@ class WordCoder:
 
         self.tok, self.limit = Tokenizer.from_file(path), limit
         self.by_word = splits_at_blanks(json.loads(self.tok.to_str()))
-        self.pack = (lambda ids: len(ids)) if lengths_only else (lambda ids: b"".join(i.to_bytes(4, "little") for i in ids))
+        self.pack = len if lengths_only else lambda ids: np.array(ids, "<u4").tobytes() if len(ids) > 16 else b"".join(map(_U4, ids))
         self.join = sum if lengths_only else b"".join
         self.words: dict = {}
         self.pieces: dict = {}
@@ -105,20 +111,30 @@ class WordCoder:
             self.words.clear()
         if len(self.pieces) > self.limit:
             self.pieces.clear()
-        plain, split, runs = [], {}, set()
+        plain, split, runs, pieces = [], {}, set(), self.pieces
         for word in words:
+            if word.isalpha():  # most words are one run
+                split[word] = (part := word.lower() if word.isascii() else word,)
+                if part not in pieces:
+                    runs.add(part)
+                continue
+            head, mark = word[:-1], word[-1:]
+            if mark in _MARKS and head.isalpha():  # or one and a mark
+                split[word] = (part := head.lower() if head.isascii() else head, mark)
+                runs.update(p for p in (part, mark) if p not in pieces)
+                continue
             parts = _PIECE.findall(word)
             if "'" in word or "<|" in word or sum(map(len, parts)) != len(word) or not all(p.isascii() or p.isalpha() for p in parts):
                 plain.append(word)
                 continue
             parts = [p.lower() if p.isascii() else p for p in parts]
             split[word] = parts
-            runs.update(p for p in parts if p not in self.pieces)
+            runs.update(p for p in parts if p not in pieces)
         self._alpha([p for p in runs if p.isalpha()])
         self._whole([p for p in runs if not p.isalpha()], self.pieces)
         self._whole(plain, self.words)
         for word, parts in split.items():
-            self.words[word] = self.join([self.pieces[p] for p in parts])
+            self.words[word] = pieces[parts[0]] if len(parts) == 1 else self.join([pieces[p] for p in parts])
 
     def batches(self, texts: list[str], batch_bytes: int = 1 << 21) -> Iterator[tuple[int, list]]:
         """(index of text, codes of the words of one chunk), chunks in order, learnt in batches balanced by bytes."""
@@ -126,7 +142,7 @@ class WordCoder:
         for i, text in enumerate(texts):
             for chunk in safe_chunks(text) if self.by_word else [text]:
                 held.append((i, chunk))
-                size += len(chunk.encode())
+                size += len(chunk) if chunk.isascii() else len(chunk.encode())
                 if size >= batch_bytes:
                     yield from self._coded(held)
                     held, size = [], 0
