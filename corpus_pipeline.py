@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: drop toxic texts, near copies, personal data; mix sources; pack.
 
 ``STAGES`` are applied in order, each over all rows its predecessor kept. All but the last return the columns of
-``documents``; the last returns the packed pieces.
+``documents``, extra ones included; the last returns the packed pieces. An empty table passes through all of them.
 """
 
 from __future__ import annotations
@@ -21,27 +21,37 @@ from slidemill.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the class-conditional models reject go."""
+    """Documents that the class-conditional models reject go.
+
+    Null and empty texts have no evidence and stay; rows of null ids and repeated rows are judged by their texts.
+    """
     return drop_toxic(docs, table(spark, sf_dir, "labels"), threshold=0.5)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at 0.8 or more stays, the one of smallest id."""
+    """One document of each group linked by five-word shingles at 0.8 or more stays, the one of smallest id.
+
+    Null and empty texts link with nothing and stay; of rows that repeat an id (or a null id) and its text one stays;
+    rows of null ids are not compared with others.
+    """
     return keep_one(docs, size=5, num=80, den=100)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by the name of its kind."""
+    """Personal data is replaced by the name of its kind; ``n_chars`` follows. Rows are neither dropped nor added, null texts stay null."""
     return redact(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Nine tenths of the tokens, by the target weights of the sources."""
+    """Nine tenths of the tokens, by the target weights of the sources.
+
+    Null texts have no tokens, null languages and sources are the value ''; rows that repeat an id stay or go together.
+    """
     return keep_mixed(docs, WEIGHTS, share=(9, 10))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 tokens."""
+    """Pieces of sequences of at most 2048 tokens. Null and empty texts are one piece, the end id; repeated rows are packed as often as they stand."""
     return pack(docs, public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
 
 
