@@ -78,12 +78,16 @@ def shingles(text: str | None, size: int, hasher: WordHasher) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER).split()  # bytes split at \x20 and \x09-\x0D only
     if not words:
         return np.empty(0, np.uint64)
-    h = hasher(words)
-    n, held = max(1, len(words) - size + 1), min(size, len(words))
+    return np.unique(shingle_hashes(hasher(words), size))
+
+
+def shingle_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all shingles of a sequence of word hashes, in their order."""
+    n, held = max(1, len(h) - size + 1), min(size, len(h))
     out = np.full(n, held, np.uint64)
     for i in range(held):
         out += h[i : i + n] * _ODD[i % 64]
-    return np.unique(_mix(out))
+    return _mix(out)
 
 
 def levels_of(n: int, num: int, den: int) -> list[tuple[int, int]]:

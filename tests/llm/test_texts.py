@@ -234,7 +234,8 @@ def plain_fingerprint(text, lexicon):
         salt = (line + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
         for i in range(count):
             held = sorted(h for h in t if (mix(h ^ salt) >> 40) % keep == i)
-            out.append(xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little") for h in held)) >> 32 | 1 if held else 0)
+            body = sum(mix(h + mix(at + 1) & (1 << 64) - 1) for at, h in enumerate(held)) & (1 << 64) - 1
+            out.append(mix(body) >> 32 | 1 if held else 0)
     return out
 
 
