@@ -6,7 +6,9 @@ which there are at most ``2 ** len(FEATURES)`` whatever the number of rows.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import random
 from collections.abc import Callable
 
@@ -44,7 +46,7 @@ LOOSE = {
 #: The tests that let a loose pattern loose on a text: cheap, and true wherever the pattern can match.
 TESTS = {
     "email_written": r"[\[(]at[\])]", "phone_plain": r"[0-9][)\x20.-]\x20?[0-9]{3}", "phone_any": r"[0-9][)]?[\x20.-][0-9]{2,4}[\x20.-][0-9]{2}", "ssn": r"[0-9]-[0-9]{2}-[0-9]", "iban": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
-    "secret_pair": r"(?i)(?:pass|pwd|secret|token|key|auth|bearer|credential)[A-Za-z_-]{0,13}[\"']?\x20{0,2}[:=]", "key_run": r"[A-Za-z0-9+/_-]{24}",
+    "secret_pair": r"(?i)(?:pass|pwd|secret|token|key|auth|bearer|credential)[A-Za-z_-]{0,13}[\"']?\x20{0,2}[:=]", "key_run": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24}",
     "person": r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z][a-z]", "address": r"[0-9][A-Za-z]?\x20[A-Z][a-z]+\x20[A-Z]",
 }
 #: The kind under which a loose candidate is reported.
@@ -70,12 +72,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     not leave this narrow stage.
     """
     t = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    t = t.withColumn("digits", F.rlike("text", F.lit(r"[0-9][^A-Za-z]{0,3}[0-9][^A-Za-z]{0,3}[0-9]")) | F.rlike("text", F.lit(r"[0-9]\.[0-9]")))
+    # one sign or digit is quickly looked for, and most texts hold none
+    has = lambda *signs: functools.reduce(operator.or_, (F.contains("text", F.lit(x)) for x in signs))
+    t = t.withColumn("digit", F.rlike("text", F.lit("[0-9]")))
+    t = t.withColumn("digits", F.col("digit") & (F.rlike("text", F.lit(r"[0-9][^A-Za-z]{0,3}[0-9][^A-Za-z]{0,3}[0-9]")) | F.rlike("text", F.lit(r"[0-9]\.[0-9]"))))
+    first = dict.fromkeys(("ip", "card", "phone_plain", "phone_any", "ssn"), F.col("digits")) | dict.fromkeys(("iban", "key_run", "address"), F.col("digit"))
+    first |= {"secret_pair": has(":", "="), "person": has("Mr", "Ms", "Dr", "Prof"), "email_written": has("[at]", "(at)", "[at)", "(at]")}
     tests = {"ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?+[0-9]){15}"} | TESTS
     for kind, (pattern, sign) in (BASE | LOOSE).items():
         ask = F.contains("text", F.lit(sign)) if sign else F.rlike("text", F.lit(tests[kind]))
-        if kind in ("ip", "card", "phone_plain", "phone_any", "ssn"):
-            ask = F.col("digits") & ask
+        ask = first[kind] & ask if kind in first else ask
         t = t.withColumn(f"m_{kind}", F.when(ask, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))
         t = t.withColumn(f"p_{kind}", F.when(F.size(f"m_{kind}") > 0, F.split("text", pattern, -1)))
 
