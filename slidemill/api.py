@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slidemill.operators import catalog, detect, exports, fusion, overlay, review, tiles, tiling
+from slidemill.operators import catalog, detect, exports, fusion, overlay, quality, review, tiles, tiling
 from slidemill.plans.lineage import cut
 from slidemill.sources import files, sinks
 
@@ -100,9 +100,16 @@ def save_review(boxes: DataFrame, images: DataFrame, target: str) -> None:
 
 
 def fuse_folder(spark: SparkSession, folder: str, target: str | None = None, **options) -> DataFrame:
-    """Fuse the images of one folder as one scene; metric rows and the output, written below ``target`` if given."""
+    """Fuse the images of one folder as one scene; metric rows and the output.
+
+    With ``target`` the fused image, the metric rows as CSV and the summary as JSON text are written below it.
+    """
     views = files.image_contents(spark, folder, "fuse").select(F.lit("scene").alias("scene"), F.col("file_name").alias("name"), "content")
     out = fusion.fuse_scene(views, **options)
     if target:
+        out = cut(out)
         sinks.write_pngs(out.select(F.lit("super_resolved.png").alias("name"), "png"), target).count()
+        scored = quality.resolution_scores(out)
+        sinks.write_metrics(scored, f"{target}/metrics")
+        sinks.write_document(quality.summary(scored), f"{target}/summary")
     return out

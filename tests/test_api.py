@@ -33,3 +33,18 @@ def test_overlay_colours_and_edges():
 
     out = draw(np.zeros((20, 20, 3), np.uint8), [(-3, 2, 10, 40, (1, 2, 3))], (10, 10, 5))
     assert tuple(out[2, 3]) == (1, 2, 3) and tuple(out[10, 15]) == (255, 200, 0)
+
+
+def test_fused_folder_writes_metrics_and_summary(spark, tmp_path):
+    import json
+
+    views, out = tmp_path / "views", tmp_path / "out"
+    views.mkdir()
+    for i in range(2):
+        (views / f"v{i}.png").write_bytes(K.encode_png(scene(shift=i)))
+    rows = api.fuse_folder(spark, str(views), str(out), scale=1, iterations=5)
+    assert rows.count() == 3 and (out / "super_resolved.png").exists()
+    lines = [x for f in sorted((out / "metrics").glob("part-*.csv")) for x in f.read_text().splitlines() if not x.startswith("name,")]
+    assert sorted(x.split(",")[1] for x in lines) == ["input", "input", "output"]
+    summary = json.loads(next((out / "summary").glob("part-*")).read_text())
+    assert summary["input_count"] == 2 and len(summary["ranking"]) == 3
