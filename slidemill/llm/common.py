@@ -54,6 +54,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def few(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """Checkpointed rows of ids or counts, marked for broadcast if counted to be few (some 60 bytes each); else Spark shuffles."""
+    rows = checkpoint(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], row["h"]

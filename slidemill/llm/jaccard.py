@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint, connected_components, slices
+from slidemill.llm.common import checkpoint, connected_components, few, slices
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -73,12 +73,84 @@ class WordHasher:
 _ODD = [np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 | 1) for i in range(64)]
 
 
-def shingles(text: str | None, size: int, hasher: WordHasher) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles; fewer words are one shingle, no words none."""
-    words = (text or "").encode().translate(_LOWER).split()  # bytes split at \x20 and \x09-\x0D only
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(shingle_hashes(hasher(words), size))
+_SOLID = np.ones(256, bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
+#: A random number for each byte at each of 64 places of a word.
+_PLACED = _mix(np.arange(1 << 14, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the words of lower-cased bytes: a word's hash mixes the sum of its bytes' random numbers."""
+    b = np.frombuffer(data, np.uint8)
+    solid = np.zeros(len(b) + 2, bool)
+    solid[1:-1] = _SOLID[b]
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    if not len(edge):
+        return np.empty(0, np.uint64), edge
+    sizes = edge[1::2] - edge[::2]
+    first = np.cumsum(sizes) - sizes
+    held = b[solid[1:-1]]
+    place = np.arange(len(held), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+    v = _PLACED[(place & 63) << 8 | held]
+    if sizes.max() > 64:
+        far = place > 63
+        v[far] = _mix(v[far] + (place[far] >> 6).astype(np.uint64))
+    return _mix(np.add.reduceat(v, first)), edge[::2]
+
+
+def hashed(texts: list[str | None], block: int = 1 << 20) -> Iterator[np.ndarray]:
+    """64-bit hashes of each text's words, in order: runs other than ``[\\x20\\x09-\\x0D]``, A-Z lower-cased.
+
+    Short texts are worked off together, long ones in blocks that end at a blank; an array is the caller's to change.
+    """
+    held, size = [], 0
+
+    def flush() -> Iterator[np.ndarray]:
+        h, starts = _hash_words(b"\n".join(held).translate(_LOWER))
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in held])) if held else []
+        at = 0
+        for end in ends:
+            yield h[at:end]
+            at = end
+
+    for text in texts:
+        data = (text or "").encode()
+        if len(data) > block:
+            yield from flush()
+            held, size, at, parts = [], 0, 0, []
+            while at < len(data):
+                end = data.find(b" ", at + block)
+                end = len(data) if end < 0 else end
+                parts.append(_hash_words(data[at:end].translate(_LOWER))[0])
+                at = end
+            yield np.concatenate(parts)
+            continue
+        held.append(data)
+        size += len(data)
+        if size > block:
+            yield from flush()
+            held, size = [], 0
+    yield from flush()
+
+
+def word_hashes(text: str | None, block: int = 1 << 20) -> np.ndarray:
+    return next(hashed([text], block))
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorts ``h`` in place."""
+    if len(h) < 2:
+        return h
+    h.sort()
+    fresh = np.empty(len(h), bool)
+    fresh[0] = True
+    np.not_equal(h[1:], h[:-1], out=fresh[1:])
+    return h[fresh]
+
+
+def shingle_set(h: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text's word hashes; fewer words are one shingle, no words none."""
+    return distinct(shingle_hashes(h, size)) if len(h) else h
 
 
 def shingle_hashes(h: np.ndarray, size: int) -> np.ndarray:
@@ -148,7 +220,7 @@ def signatures(sets: np.ndarray, num: int, den: int, common: np.ndarray | None =
                 out += [marks, _mix(_mix(empty + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5))]
             else:
                 out.append(signatures(sets, num, den))
-    return np.unique(np.concatenate(out))
+    return distinct(np.concatenate(out))
 
 
 def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int = 4) -> np.ndarray:
@@ -156,10 +228,10 @@ def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int
     cells = 1 << CELLS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = WordHasher(), np.zeros(cells, np.uint32)
+        table = np.zeros(cells, np.uint32)
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                table[(shingles(text, size, hasher) >> np.uint64(64 - CELLS)).astype(np.int64)] += 1
+            for h in hashed(batch.column(0).to_pylist()):
+                table[(shingle_set(h, size) >> np.uint64(64 - CELLS)).astype(np.int64)] += 1
         at = np.flatnonzero(table >= 4)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(table[at], table.sum(dtype=np.int64)), pa.int64())], ["cell", "n"])
 
@@ -305,7 +377,7 @@ def _sharing(docs: DataFrame, size: int, num: int, den: int, share: float) -> Da
     below, slice_shingles = np.uint64(int(share * 2**64) - 1), 400_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, equal, rows = WordHasher(), {}, Rows()
+        equal, rows = {}, Rows()
         row = TaskContext.get().partitionId() << 40
         held, owners, slacks = [], [], []
 
@@ -330,8 +402,8 @@ def _sharing(docs: DataFrame, size: int, num: int, den: int, share: float) -> Da
 
         total = 0
         for batch in slices(batches):
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = shingles(text, size, hasher)
+            for d, h in zip(batch.column(0).to_pylist(), hashed(batch.column(1).to_pylist()), strict=True):
+                s = shingle_set(h, size)
                 row += 1
                 rows.put(NODE, row, d, np.array([len(s)]))
                 if d is None or not len(s):
@@ -361,11 +433,11 @@ def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(common_shingles(docs, size)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, common = WordHasher(), {}, np.unpackbits(marks.value).astype(bool)
+        seen, common = {}, np.unpackbits(marks.value).astype(bool)
         for batch in slices(batches):
             rows = Rows()
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = shingles(text, size, hasher)
+            for d, h in zip(batch.column(0).to_pylist(), hashed(batch.column(1).to_pylist()), strict=True):
+                s = shingle_set(h, size)
                 if not len(s):
                     continue
                 sigs = signatures(s, num, den, common).view(np.int64)
@@ -385,17 +457,10 @@ def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 LINKS = "u long, v long"
 
 
-def _few(rows: DataFrame, most: int = 500_000) -> DataFrame:
-    """Checkpointed rows of ids, marked for broadcast if counted to be few (some 60 bytes each); else Spark shuffles."""
-    rows = checkpoint(rows)
-    return F.broadcast(rows) if rows.count() <= most else rows
-
-
 def _search(size: int, num: int, den: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        hasher = WordHasher()
         pdf = pdf.sort_values(["ask", "doc"]).drop_duplicates(["doc", "text"])
-        sets = [shingles(t, size, hasher) for t in pdf.text]
+        sets = [shingle_set(h, size) for h in hashed(pdf.text.tolist())]
         asks = np.flatnonzero(pdf.ask.to_numpy()).tolist()
         ids = pdf.doc.to_numpy()
         found = divide_skip(sets, asks, pdf.label.tolist(), num, den)
@@ -418,7 +483,7 @@ def _survivors(docs: DataFrame, size: int, num: int, den: int, share: float) ->
     nodes = kept.where(F.col("kind") == NODE).select("doc", F.col("val").alias("n"))
     sets = kept.where(F.col("kind") == SET)
     same = sets.groupBy("key", "val").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    far = sets.join(_few(same.drop("rows")), ["key", "val"]).where("doc <> least").select(F.col("doc").alias("u"), F.col("least").alias("v"))
+    far = sets.join(few(same.drop("rows")), ["key", "val"]).where("doc <> least").select(F.col("doc").alias("u"), F.col("least").alias("v"))
     near = kept.where(F.col("kind") == EQUAL).select(F.col("doc").alias("u"), F.col("val").alias("v"))
     equal = checkpoint(near.unionByName(far).distinct())
     has = lambda kind, what: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(what))), F.lit(0))
@@ -447,7 +512,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
     nodes, equal, left = _survivors(base, size, num, den, share)
-    left = _few(left)
+    left = few(left)
     texts = base.join(left.select("doc", "rows"), "doc")
     if left.where("rows > 1").limit(1).count():
         texts = texts.where("rows = 1").select("doc", "text").unionByName(texts.where("rows > 1").select("doc", "text").distinct())
@@ -457,7 +522,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     edges = met.where("doc <> val").select(F.col("doc").alias("u"), F.col("val").alias("v"))
     block = connected_components(edges).withColumnRenamed("component", "block")
     sized = checkpoint(left.join(block, F.col("doc") == F.col("id")).select("doc", "block", "n"))
-    large_blocks = _few(
+    large_blocks = few(
         sized.groupBy("block").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("docs")).where(F.col("s") > chunk_shingles)
         .select("block", F.ceil(F.col("s") / chunk_shingles).cast("int").alias("chunks"), "docs", F.least(F.lit(anchors), F.greatest(F.lit(2), F.floor(F.col("docs") * (chunk_shingles // 4) / F.col("s")))).alias("anchors"))
     )
@@ -466,7 +531,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
     home = F.pmod(F.xxhash64("doc", F.lit(3)), F.col("chunks")).cast("int")
     is_anchor = (F.col("chunks") > 1) & (F.pmod(F.xxhash64("doc", F.lit(5)), F.col("docs")) < F.col("anchors"))
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    placed = _few(members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home)))).select("block", "chunk", "doc"))
+    placed = few(members.withColumn("chunk", F.explode(F.when(is_anchor, every).otherwise(F.array(home)))).select("block", "chunk", "doc"))
     placed = texts.join(placed, "doc").select("block", "chunk", "doc", "text", F.col("doc").alias("label"), F.lit(True).alias("ask"))
     search = _search(size, num, den)
     links = checkpoint(placed.groupBy("block", "chunk").applyInPandas(search, LINKS))
@@ -475,8 +540,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
         comp = connected_components(links.unionByName(equal))
         labelled = checkpoint(large.join(comp, F.col("doc") == F.col("id"), "left").withColumn("label", F.coalesce("component", "doc")).select("block", "doc", "n", "chunks", "label"))
         main = labelled.groupBy("block", "label").count().groupBy("block").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-        rest = checkpoint(labelled.join(_few(main), "block").where("label <> main"))
-        ask_parts = _few(rest.groupBy("block").agg(F.ceil(F.sum("n") / chunk_shingles).cast("int").alias("parts")))
+        rest = checkpoint(labelled.join(few(main), "block").where("label <> main"))
+        ask_parts = few(rest.groupBy("block").agg(F.ceil(F.sum("n") / chunk_shingles).cast("int").alias("parts")))
         spread = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         asks = (
             rest.join(ask_parts, "block")
@@ -491,7 +556,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, num: int = 85, den: int =
             .select("block", "chunk", "part", "doc", "label", F.lit(False).alias("ask"))
         )
         both = asks.unionByName(held).groupBy("block", "chunk", "part", "doc").agg(F.max("label").alias("label"), F.max("ask").alias("ask"))
-        more = texts.join(_few(both), "doc").groupBy("block", "chunk", "part").applyInPandas(search, LINKS)
+        more = texts.join(few(both), "doc").groupBy("block", "chunk", "part").applyInPandas(search, LINKS)
         links = links.unionByName(checkpoint(more))
     component = connected_components(links.unionByName(equal))
     return nodes.join(component, F.col("doc") == F.col("id"), "left").select(
@@ -508,10 +573,10 @@ def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> D
     """
     cols, tag = docs.columns, "_" * (1 + max(map(len, docs.columns)))  # no column has a name that long
     first, i, digest, nth = (f"{x}{tag}" for x in "fidn")
-    gone = _few(jaccard_components(docs, size, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(first)).distinct())
+    gone = few(jaccard_components(docs, size, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(first)).distinct())
     kept = docs.join(gone, docs["doc_id"].cast("long") == F.col(first), "left_anti")
     keyed = kept.withColumns({i: F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), digest: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(1))})
-    again = _few(keyed.groupBy(i, digest).count().where("count > 1").select(i, digest))
+    again = few(keyed.groupBy(i, digest).count().where("count > 1").select(i, digest))
     # only repeated rows are ordered; the others do not move
     best = Window.partitionBy(i, digest).orderBy(F.xxhash64(F.to_json(F.struct(*map(F.col, cols)))))
     one = keyed.join(again, [i, digest], "left_semi").withColumn(nth, F.row_number().over(best)).where(F.col(nth) == 1)

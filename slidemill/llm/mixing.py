@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint
+from slidemill.llm.common import checkpoint, few
 
 LEVELS = ("domain", "lang", "source")
 
@@ -78,12 +78,6 @@ def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), epoch, F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))))
 
 
-def few(rows: DataFrame, most: int = 200_000) -> DataFrame:
-    """Checkpointed rows, marked for broadcast if counted to be few; else Spark shuffles."""
-    rows = checkpoint(rows)
-    return F.broadcast(rows) if rows.count() <= most else rows
-
-
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]], share: tuple[int, int] = (6, 10), max_epochs: int = 2, seed: int = 42, bucket_docs: int = 4096) -> DataFrame:
     """Choose documents to meet target weights: ``doc_id, domain, lang, source, epoch, n_tokens, taken``.
 

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from slidemill.llm import fingerprints, licenses, packing, pii, tokens
+from slidemill.llm import fingerprints, jaccard, licenses, packing, pii, tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -220,13 +220,11 @@ def test_fingerprints(docs, odd, empty):
 
 def plain_fingerprint(text, lexicon):
     """Digests of the sorted terms of each subset, set by set."""
-    import xxhash
-
     x = lambda h: (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
     y = lambda h: (h ^ (h >> 27)) * 0x94D049BB133111EB & (1 << 64) - 1
     mix = lambda h: y(x(h)) ^ (y(x(h)) >> 31)
     words = {w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)) if w}
-    t = {xxhash.xxh3_64_intdigest(w.encode()) for w in words}
+    t = {int(jaccard.word_hashes(w)[0]) for w in words}
     inside = t & lexicon
     t = inside if lexicon and len(inside) >= 0.1 * len(t) else t
     out = []
@@ -243,11 +241,11 @@ def plain_lexicon(texts, low, high, min_docs):
     """Document frequencies by a plain loop, one text of each group of equal sketch."""
     groups = {}
     for t in texts:
-        s = fingerprints.sketch(t, fingerprints.WordHasher())
+        s = fingerprints.sketch(jaccard.word_hashes(t))
         groups[s] = min(groups.get(s, t), t)
     n = Counter()
     for t in groups.values():
-        n.update(fingerprints.terms(t, fingerprints.WordHasher()).tolist())
+        n.update(fingerprints.terms(t).tolist())
     return {h for h, c in n.items() if max(min_docs, low * len(groups)) <= c <= high * len(groups)}
 
 
@@ -291,7 +289,7 @@ def test_a_large_group_of_near_copies_keeps_its_terms(spark):
         rows.append((i, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     words = fingerprints.lexicon(df, 0.0005, 0.15, 2, 1_000_000)
-    held = np.isin(fingerprints.terms(" ".join(base), fingerprints.WordHasher()), words).mean()
+    held = np.isin(fingerprints.terms(" ".join(base)), words).mean()
     assert held > 0.9
     out = fingerprints.fingerprints(df, high=0.15).collect()
     likeness = [x.near_edited for x in out if x.doc_id % 6 == 0]
@@ -341,3 +339,13 @@ def test_redaction_equals_a_plain_loop(spark, docs, odd):
             want[out + r.text[at:]] += 1
         got = Counter(r.text for r in pii.redact(df).collect())
         assert set(want) <= set(got) and sum(got.values()) == df.count()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(["Ab", "aB", "x" * 64, "x" * 65, "x" * 200, "é", "\x0b", "\t", "\x1c", "\xa0"]), st.text(max_size=5)), max_size=12), st.integers(1, 40))
+def test_word_hashes_tell_words_apart(parts, block):
+    text = " ".join(parts).encode("utf-8", "ignore").decode()
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)) if w]
+    h = jaccard.word_hashes(text)
+    assert h.tolist() == jaccard.word_hashes(text, block).tolist() and len(h) == len(words)
+    assert len({w for w in words}) == len(set(h.tolist())) == len(set(zip(words, h.tolist(), strict=True)))
