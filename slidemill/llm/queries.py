@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slidemill.llm import fingerprints, jaccard, licenses, mixing, pii, quality, topk, toxicity
+from slidemill.llm import fingerprints, jaccard, licenses, mixing, pieces, pii, quality, repeats, topk, toxicity
 from slidemill.llm.common import table
 from slidemill.llm.packing import pack
 from slidemill.llm.tokens import token_counts
+from slidemill.llm.trie import prefix_trie
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 # target weights of the mixing query
 WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}, "source": {"src0": 2}}
@@ -56,7 +59,26 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, query_every=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_toxicity, op3_ngram_jaccard, op4_quality, op5_mixing, op6_token_counts, op7_license_scan, op8_fingerprints, op9_packing, op10_exact_top_k)}
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), end=True, decoded=True))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), group=100, heads=6)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeats.digests(repeats.periodic_runs(docs.select("doc_id", repeats.planted(F.col("doc_id"), F.col("text")).alias("text")), least=12))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_toxicity, op3_ngram_jaccard, op4_quality, op5_mixing, op6_token_counts, op7_license_scan, op8_fingerprints, op9_packing, op10_exact_top_k,
+        op11_sentencepiece, op12_prefix_trie, op13_periodic_runs,
+    )
+}
 ORACLES = {
     "op3_ngram_jaccard": jaccard.oracle_sql(),
     "op5_mixing": mixing.oracle_sql(WEIGHTS, (6, 10), 2, 42),
