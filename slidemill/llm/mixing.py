@@ -40,7 +40,7 @@ def share_out(nodes: DataFrame, parent: list[str], name: str, weight: Column, ca
     n = n.withColumn("_r", F.when(F.col("_w") > 0, F.col("_c") / F.col("_w")).otherwise(F.lit(-1.0)))
     run = by.orderBy("_r", name)
     before = F.coalesce(F.sum("_c").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.sum("_w").over(run.rowsBetween(0, Window.unboundedFollowing))
+    after = F.sum("_w").over(by) - F.coalesce(F.sum("_w").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     n = n.withColumn("_b", F.col(budget) - before).withColumn("_a", after)
     n = n.withColumn("_full", (F.col("_w") == 0) | (wide(F.col("_c")) * F.col("_a") <= wide(F.col("_w")) * F.col("_b")))
     n = n.withColumn("_rest", F.col(budget) - F.coalesce(F.sum(F.when(F.col("_full"), F.col("_c"))).over(by), F.lit(0)))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from slidemill.llm.common import checkpoint
 
 BITS = 1 << 24  # of the marks of texts with spans
+BLOCK = 1024  # code points of the pieces in which a text is redacted
 
 #: Generators: kind -> (pattern, cheap test of the text). The first four are the base patterns; each starts only where a
 #: match can start and never gives back what it took, so a scan is linear in the text.
@@ -72,6 +73,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     not leave this narrow stage.
     """
     t = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    t = t.withColumn("digest", F.xxhash64("text"))  # here, below the generator: once for a text, not once for a match
     # one sign or digit is quickly looked for, and most texts hold none
     has = lambda *signs: functools.reduce(operator.or_, (F.contains("text", F.lit(x)) for x in signs))
     t = t.withColumn("digit", F.rlike("text", F.lit("[0-9]")))
@@ -95,7 +97,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.when(F.size(m) > 0, F.transform(F.sequence(F.lit(0), F.size(m) - 1), at)).otherwise(none)
 
     end = F.array(F.struct(*(F.lit(None).cast(k).alias(n) for n, k in (("kind", "string"), ("nth", "int"), ("gap", "int"), ("hit", "string"), ("before", "string"), ("after", "string")))))
-    return t.select("row", "doc_id", F.xxhash64("text").alias("digest"), F.explode(F.concat(*map(found, BASE | LOOSE), end)).alias("c")).select("row", "doc_id", "digest", "c.*")
+    return t.select("row", "doc_id", "digest", F.explode(F.concat(*map(found, BASE | LOOSE), end)).alias("c")).select("row", "doc_id", "digest", "c.*")
 
 
 def luhn(digits: Column) -> Column:
@@ -300,7 +302,8 @@ def find(docs: DataFrame) -> DataFrame:
         rank = F.when(F.col("kind") == kind, at).otherwise(rank)
     c = c.withColumn("base", F.coalesce("base", F.lit(False))).withColumn("kind", reported).withColumn("rank", rank)
     here = Window.partitionBy("row").orderBy("start", F.desc("end"), "rank", F.desc("score"))
-    past, come = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
+    back = Window.partitionBy("row").orderBy(F.desc("start"), "end", F.desc("rank"), "score")  # the same order from its end: frames that grow at one side are one pass
+    past, come = here.rowsBetween(Window.unboundedPreceding, 0), back.rowsBetween(Window.unboundedPreceding, 0)
     c = c.withColumn("under", F.max(F.when(F.col("base"), F.col("end"))).over(past)).withColumn("next", F.min(F.when(F.col("base"), F.col("start"))).over(come))
     off_base = (F.coalesce("under", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
     c = c.where(F.col("kind").isNull() | F.col("base") | off_base)
@@ -323,29 +326,50 @@ def find(docs: DataFrame) -> DataFrame:
     )
 
 
+def by_block(found: DataFrame, i: str, digest: str, name: str) -> DataFrame:
+    """``name``: for each text, once for each id and digest, the spans that reach into its first, second, ... block of code points."""
+    one = found.select(F.coalesce("doc_id", F.lit(0)).alias(i), F.col("digest").alias(digest), "found").dropDuplicates([i, digest])
+    at = lambda c: (F.floor(c / BLOCK)).cast("int")
+    every = one.select(i, digest, F.explode(F.sequence(F.lit(0), at(F.array_max(F.transform("found", lambda s: s["end"])) - 1))).alias("b"), F.lit(None).alias("s"))
+    held = one.select(i, digest, F.explode("found").alias("s")).select(
+        i, digest, F.explode(F.sequence(at(F.col("s.start")), at(F.col("s.end") - 1))).alias("b"), F.struct("s.start", "s.end", "s.kind", "s.past").alias("s")
+    )
+    lists = held.unionByName(every).groupBy(i, digest, "b").agg(F.array_sort(F.collect_list("s")).alias("l"))  # at most as many as a block has code points, for each kind
+    return lists.groupBy(i, digest).agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "l"))), lambda x: x["l"]).alias(name))
+
+
+def redacted_block(text: Column, n: Column, spans: Column) -> Column:
+    """Block ``n`` of a text with the labels of the spans that begin in it, without what any span covers."""
+    low = n.cast("long") * BLOCK
+    here = lambda p: F.greatest(p - low, F.lit(0)).cast("int")
+    label = lambda s: F.concat(F.substring(text, here(s["past"]) + 1, (s["start"] - low).cast("int") - here(s["past"])), F.lit("["), F.upper(s["kind"]), F.lit("]"))
+    piece = lambda s: F.when((s["start"] < s["past"]) | (s["start"] < low), "").otherwise(label(s))
+    rest = F.substring(text, here(F.array_max(F.transform(spans, lambda s: s["end"]))) + 1, F.lit(BLOCK))
+    return F.when(F.coalesce(F.size(spans), F.lit(0)) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), rest)).otherwise(text)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by ``[KIND]``, overlapping spans by that of the first; ``n_chars`` follows.
 
     Columns and rows stay as they are, and so does a text without spans, null ones included; an empty table gives none.
     Spans come back by id and text digest, once for each, so the join neither depends on row order nor multiplies
-    repeated rows. A bitmap of fixed size (a table of at most ``BITS / 64`` rows, so broadcast) tells which rows can
+    repeated rows. A text is cut into blocks in one pass and a span looks at its own blocks only, so work grows with text and
+    spans, not with their product. A bitmap of fixed size (a table of at most ``BITS / 64`` rows, so broadcast) tells which rows can
     have spans: only those are shuffled.
     """
     cols, tag = docs.columns, "_" * (1 + max(map(len, docs.columns)))  # no column has a name that long
     i, digest, at, marks, spans_ = (f"{x}{tag}" for x in "idams")
     key = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(BITS))
     bit = lambda h: F.pmod(h, F.lit(64)).cast("int")
-    order = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["past"].alias("past"))
-    spans = checkpoint(find(docs).where(F.size("found") > 0).select(F.coalesce("doc_id", F.lit(0)).alias(i), F.col("digest").alias(digest), F.array_sort(F.transform("found", order)).alias(spans_)).dropDuplicates([i, digest]))
+    spans = checkpoint(by_block(find(docs).where(F.size("found") > 0), i, digest, spans_))
     hashed = spans.select(key(F.col(i), F.col(digest)).alias("h"))
     there = hashed.groupBy(F.shiftright("h", 6).alias(at)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("h")))).alias(marks))
     marked = docs.withColumns({i: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), digest: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     marked = marked.withColumn(at, F.shiftright(key(F.col(i), F.col(digest)), 6)).join(F.broadcast(there), at, "left")
     can = F.coalesce(F.call_function("shiftright", F.col(marks), bit(key(F.col(i), F.col(digest)))).bitwiseAND(1) == 1, F.lit(False))
     joined = marked.where(can).join(spans, [i, digest], "left")
-    piece = lambda s: F.when(s["start"] < s["past"], "").otherwise(F.concat(F.substring(F.col("text"), (s["past"] + 1).cast("int"), (s["start"] - s["past"]).cast("int")), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    end = F.array_max(F.transform(spans_, lambda s: s["end"]))
-    replaced = F.concat(F.array_join(F.transform(spans_, piece), ""), F.substring(F.col("text"), (end + 1).cast("int"), F.lit(2147483647)))
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    replaced = F.array_join(F.transform(blocks, lambda t, n: redacted_block(t, n, F.get(F.col(spans_), n))), "")
     joined = joined.withColumn("text", F.when(F.col(spans_).isNull(), F.col("text")).otherwise(replaced))
     if "n_chars" in cols:
         joined = joined.withColumn("n_chars", F.when(F.col(spans_).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))

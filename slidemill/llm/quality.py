@@ -125,14 +125,15 @@ def sample(rows: DataFrame, most: int) -> DataFrame:
     return first(0).unionByName(first(1))
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, sample_rows: int = 4000, alpha: float = 1.0) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, threshold: float = 0.7, sample_rows: int = 4000, alpha: float = 1.0, calibration_rows: int = 20) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every whole text, one row for each input row.
 
     Labels are learnt from rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held``; every fifth of
     those only calibrates. Log-count ratios use all the others; the hinge-loss weights are fitted, in one task, on at
     most ``sample_rows`` distinct rows of each label, those of smallest digest, chosen by id before their texts meet. A logistic curve over the calibration rows turns
     the margin into the probability of label 1. Null or empty text has only the bias; null ids and repeated rows
-    stay; without labels of both classes all scores are one half; extra columns are not read.
+    stay; without labels of both classes all scores are one half; with fewer than ``calibration_rows`` rows of a class among
+    those that calibrate, the curve is fitted over all training rows; an empty table gives no rows; extra columns are not read.
     """
     size = 1 << BITS
     train = labelled(docs, labels, "quality").where(fold(folds) != held)
@@ -170,7 +171,7 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
         return [((r["bin"] + 0.5) / BINS, r["y"], r["count"]) for r in seen]
 
     at = points(train.where(part == 0))
-    if min(sum(n for _, y, n in at if y == k) for k in (0, 1)) < 20:
+    if min(sum(n for _, y, n in at if y == k) for k in (0, 1)) < calibration_rows:
         at = points(train)
     slope, shift = fit_logistic(at)
     scored = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(margins, "doc_id long, margin double")
