@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import columns, fields, iou, whole
+from slidemill.plans.lineage import cut, few
 
 
 def area_band(fov_area: Column, min_frac: float = 0.0003, max_frac: float = 0.20) -> tuple[Column, Column]:
@@ -78,29 +82,52 @@ def inside_fov(boxes: DataFrame, least: float = 0.85, side_radius: str = "r") ->
     return boxes.where(F.col("r").isNull() | (fits & (part > least)))
 
 
-def iou_pairs(boxes: DataFrame, cell: int = 128) -> DataFrame:
-    """Overlapping pairs of an image, ``(image_id, a, b, iou)`` with a < b by ``ord``.
-
-    Boxes go to every grid cell they touch and meet only there, so a crowded image is not compared all against all;
-    a pair is taken in the cell of its intersection's first corner, once.
-    """
+def _in_cells(boxes: DataFrame, key: str, cell: int, mark: str) -> DataFrame:
+    """A row for every grid cell that a box touches: key, cell, and its columns under the prefix ``mark``."""
     far = lambda p, s: F.floor((F.col(p) + F.col(s) - 1) / cell).cast("int")
     near = lambda p: F.floor(F.col(p) / cell).cast("int")
-    g = boxes.select("image_id", "ord", *columns().values())
-    g = g.withColumn("gx", F.explode(F.sequence(near("x"), F.greatest(near("x"), far("x", "w"))))).withColumn("gy", F.explode(F.sequence(near("y"), F.greatest(near("y"), far("y", "h")))))
-    a = g.select("image_id", "gx", "gy", F.col("ord").alias("a"), *(F.col(c).alias(f"a_{c}") for c in "xywh"))
-    b = g.select("image_id", "gx", "gy", F.col("ord").alias("b"), *(F.col(c).alias(f"b_{c}") for c in "xywh"))
+    g = boxes.withColumn("gx", F.explode(F.sequence(near("x"), F.greatest(near("x"), far("x", "w"))))).withColumn("gy", F.explode(F.sequence(near("y"), F.greatest(near("y"), far("y", "h")))))
+    return g.select(key, "gx", "gy", *(F.col(c).alias(f"{mark}_{c}") for c in boxes.columns if c != key))
+
+
+def touching(a: DataFrame, b: DataFrame, key: str, cell: int) -> DataFrame:
+    """Pairs of ``a`` and ``b`` of one ``key`` that meet in a grid cell, once: in that of their intersection's first corner.
+
+    All columns, with prefixes ``a_`` and ``b_``. A crowded key is so spread over its cells.
+    """
     own = (F.floor(F.greatest("a_x", "b_x") / cell) == F.col("gx")) & (F.floor(F.greatest("a_y", "b_y") / cell) == F.col("gy"))
-    value = iou(columns("a_"), columns("b_"))
-    return a.join(b, ["image_id", "gx", "gy"]).where((F.col("a") < F.col("b")) & own).withColumn("iou", value).where("iou > 0").select("image_id", "a", "b", "iou")
+    return _in_cells(a, key, cell, "a").join(_in_cells(b, key, cell, "b"), [key, "gx", "gy"]).where(own).drop("gx", "gy")
+
+
+def iou_pairs(boxes: DataFrame, cell: int = 128) -> DataFrame:
+    """Overlapping pairs of an image, ``(image_id, a, b, iou)`` with a < b by ``ord``, found in grid cells."""
+    g = boxes.select("image_id", "ord", *columns().values())
+    met = touching(g, g, "image_id", cell).where("a_ord < b_ord").withColumn("iou", iou(columns("a_"), columns("b_")))
+    return met.where("iou > 0").select("image_id", F.col("a_ord").alias("a"), F.col("b_ord").alias("b"), "iou")
+
 
+def split_crowded(frames: list[DataFrame], key: str, crowd: int) -> tuple[list[DataFrame], list[DataFrame], bool]:
+    """The rows of keys with at most ``crowd`` rows in every frame, the rows of the other keys, and whether there are such."""
+    many = [f.groupBy(key).count().where(F.col("count") > crowd).select(key) for f in frames]
+    crowded = few(reduce(DataFrame.unionByName, many).distinct())
+    if not crowded.limit(1).count():
+        return frames, frames, False
+    return [f.join(crowded, key, "left_anti") for f in frames], [f.join(crowded, key, "left_semi") for f in frames], True
 
-def nms(boxes: DataFrame, num: int = 3, den: int = 10) -> DataFrame:
+
+def nms(boxes: DataFrame, num: int = 3, den: int = 10, crowd: int = 64, cell: int = 128) -> DataFrame:
     """Greedy suppression in each image: by falling confidence, then ``ord``, dropping what overlaps a kept box more than num/den.
 
     The threshold is compared in integers. A suppressed box never suppresses, so keeping a box exactly if no kept one
-    overlaps it too much is the same as the loop over all pairs. Returns the kept rows.
+    overlaps it too much is the same as the loop over all pairs. Images of at most ``crowd`` boxes are folded each in its row; a
+    crowded one is settled in rounds over its overlapping pairs, so it is no single task. Both give the same rows: the kept ones.
     """
+    (small,), (large,), some = split_crowded([boxes], "image_id", crowd)
+    folded = _nms_fold(small, num, den)
+    return folded.unionByName(_nms_rounds(large, num, den, cell).select(folded.columns)) if some else folded
+
+
+def _nms_fold(boxes: DataFrame, num: int, den: int) -> DataFrame:
     keep = [c for c in boxes.columns if c not in ("image_id",)]
     item = F.struct((-F.col("confidence")).alias("_c"), F.col("ord").alias("_o"), *keep)
     area = lambda s: s["w"] * s["h"]
@@ -115,30 +142,122 @@ def nms(boxes: DataFrame, num: int = 3, den: int = 10) -> DataFrame:
     return grouped.select("image_id", F.explode(folded).alias("b")).select("image_id", *(F.col(f"b.{c}") for c in keep))
 
 
-def best_iou_match(working: DataFrame, saved: DataFrame, least: float = 0.5) -> DataFrame:
+def _nms_rounds(boxes: DataFrame, num: int, den: int, cell: int, rounds: int = 24) -> DataFrame:
+    """Suppression over pairs: in each round the boxes without an undecided better neighbour are kept and their neighbours dropped.
+
+    Of boxes that cover one another exactly only the best can stay, so the others go before pairs are made. A chain in which
+    every box waits for the one before it takes a round for each two boxes; what is undecided after ``rounds`` rounds is settled image
+    by image, along its pairs, each looked at once.
+    """
+    rank = F.struct((-F.col("confidence")).alias("c"), F.col("ord").alias("o"))
+    boxes = cut(boxes.withColumn("_rank", rank))
+    best = boxes
+    if num < den:
+        top = boxes.groupBy("image_id", "x", "y", "w", "h").agg(F.min("_rank").alias("_top"))
+        best = boxes.join(top, ["image_id", "x", "y", "w", "h"]).where((F.col("_rank") == F.col("_top")) | (F.col("w") * F.col("h") <= 0)).drop("_top")
+    g = best.select("image_id", "ord", "x", "y", "w", "h", "_rank")
+    side = lambda p, s: F.greatest(F.lit(0), F.least(F.col(f"a_{p}") + F.col(f"a_{s}"), F.col(f"b_{p}") + F.col(f"b_{s}")) - F.greatest(f"a_{p}", f"b_{p}"))
+    inter = side("x", "w") * side("y", "h")
+    close = den * F.col("i") > num * (F.col("a_w") * F.col("a_h") + F.col("b_w") * F.col("b_h") - F.col("i"))
+    pairs = touching(g, g, "image_id", cell).where("a__rank < b__rank").withColumn("i", inter).where(close)
+    pairs = cut(pairs.select("image_id", F.col("a_ord").alias("better"), F.col("b_ord").alias("worse")))
+    gone = None  # boxes dropped so far; every other box stays
+    for _ in range(rounds):
+        if not pairs.limit(1).count():
+            break
+        waits = pairs.select("image_id", F.col("worse").alias("better")).distinct()
+        first = pairs.join(waits, ["image_id", "better"], "left_anti")
+        drop = cut(first.select("image_id", F.col("worse").alias("ord")).distinct())
+        gone = drop if gone is None else gone.unionByName(drop)
+        for end in ("better", "worse"):
+            pairs = pairs.join(drop.withColumnRenamed("ord", end), ["image_id", end], "left_anti")
+        pairs = cut(pairs)
+    else:
+        ranked = pairs.join(g.select("image_id", F.col("ord").alias("worse"), F.col("_rank").alias("r")), ["image_id", "worse"]).select("image_id", "r", "better", "worse")
+        rest = ranked.repartition("image_id").sortWithinPartitions("image_id", "r").select("image_id", "better", "worse")
+        drop = rest.mapInPandas(_along_pairs, "image_id " + boxes.schema["image_id"].dataType.simpleString() + ", ord " + boxes.schema["ord"].dataType.simpleString())
+        gone = drop if gone is None else gone.unionByName(drop)
+    kept = best.drop("_rank")
+    return kept if gone is None else kept.join(gone, ["image_id", "ord"], "left_anti")
+
+
+def _along_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Dropped boxes of pairs that come image by image, in the order of their worse box."""
+    image, dropped = None, set()
+    for frame in frames:
+        out = []
+        for i, better, worse in zip(frame.image_id, frame.better, frame.worse, strict=True):
+            if i != image:
+                image, dropped = i, set()
+            if better not in dropped and worse not in dropped:
+                dropped.add(worse)
+                out.append((i, worse))
+        yield pd.DataFrame(out, columns=["image_id", "ord"])
+
+
+def best_iou_match(working: DataFrame, saved: DataFrame, least: float = 0.5, crowd: int = 64, cell: int = 128) -> DataFrame:
     """Greedy matching in each file: every working box, in order, takes the unused saved box of strictly largest IoU.
 
     ``working`` and ``saved`` have ``file_name, ord, x, y, w, h``. Returns ``file_name, ord, saved_ord`` of accepted
-    matches (IoU above ``least``); the first saved box wins ties.
+    matches (IoU above ``least``); the first saved box wins ties. Files of at most ``crowd`` boxes on either side are folded each in
+    its row, crowded ones are matched in rounds over pairs from grid cells; both give the same rows.
     """
+    sides = [d.select("file_name", "ord", "x", "y", "w", "h") for d in (working, saved)]
+    small, large, some = split_crowded(sides, "file_name", crowd)
+    folded = _match_fold(*small, least)
+    return folded.unionByName(_match_rounds(*large, least, cell).select(folded.columns)) if some else folded
+
+
+def _match_fold(working: DataFrame, saved: DataFrame, least: float) -> DataFrame:
+    """Each working box's saved boxes above ``least``, best first; then, in order, the first that is not taken."""
     pack = lambda df, name: df.groupBy("file_name").agg(F.array_sort(F.collect_list(F.struct("ord", "x", "y", "w", "h"))).alias(name))
     both = pack(working, "ws").join(pack(saved, "ss"), "file_name")
-    nothing = F.struct(F.lit(0.0).alias("v"), F.lit(None).cast("long").alias("o"))
+    # pairs are scored and sorted once, all in one row of at most a crowd
+    scored = lambda b: F.filter(F.transform("ss", lambda s: F.struct((-iou(fields(b), fields(s))).alias("v"), s["ord"].cast("long").alias("o"))), lambda t: t["v"] < -least)
+    wants = F.filter(F.transform("ws", lambda b: F.struct(b["ord"].cast("long").alias("ord"), F.array_sort(scored(b)).alias("fits"))), lambda w: F.size(w["fits"]) > 0)
+    both = both.select("file_name", wants.alias("wants")).where(F.size("wants") > 0)
+    start = F.array().cast("array<struct<ord:bigint,saved_ord:bigint>>")
+    free = lambda found, w: F.get(F.filter(w["fits"], lambda t: ~F.exists(found, lambda f: f["saved_ord"] == t["o"])), F.lit(0))["o"]
 
-    def best(used: Column, b: Column) -> Column:
-        def better(m: Column, s: Column) -> Column:
-            v = iou(fields(b), fields(s))
-            return F.when(~F.array_contains(used, s["ord"].cast("long")) & (v > m["v"]), F.struct(v.alias("v"), s["ord"].cast("long").alias("o"))).otherwise(m)
+    def step(found: Column, w: Column) -> Column:
+        take = lambda o: F.when(o.isNull(), found).otherwise(F.concat(found, F.array(F.struct(w["ord"].alias("ord"), o.alias("saved_ord")))))
+        return F.get(F.transform(F.array(free(found, w)), take), F.lit(0))
 
-        return F.aggregate("ss", nothing, better)
+    return both.select("file_name", F.explode(F.aggregate("wants", start, step)).alias("m")).select("file_name", "m.ord", "m.saved_ord")
 
-    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<ord:bigint,saved_ord:bigint>>").alias("found"))
 
-    def step(a: Column, b: Column) -> Column:
-        take = lambda m: F.when(
-            m["v"] > least,
-            F.struct(F.concat(a["used"], F.array(m["o"])).alias("used"), F.concat(a["found"], F.array(F.struct(b["ord"].cast("long").alias("ord"), m["o"].alias("saved_ord")))).alias("found")),
-        ).otherwise(a)
-        return F.get(F.transform(F.array(best(a["used"], b)), take), F.lit(0))
+def _match_rounds(working: DataFrame, saved: DataFrame, least: float, cell: int, rounds: int = 24) -> DataFrame:
+    """Matching over pairs above ``least``: a working box takes its best saved box once no earlier one still unmatched could take it.
 
-    return both.select("file_name", F.explode(F.aggregate("ws", start, step)["found"]).alias("m")).select("file_name", "m.ord", "m.saved_ord")
+    Both then leave all pairs. Files with pairs left after ``rounds`` rounds are settled along their pairs, each looked at once.
+    """
+    met = touching(working, saved, "file_name", cell).withColumn("v", iou(columns("a_"), columns("b_"))).where(F.col("v") > least)
+    pairs = cut(met.select("file_name", F.col("a_ord").cast("long").alias("ord"), F.col("b_ord").cast("long").alias("saved_ord"), "v"))
+    found = pairs.select("file_name", "ord", "saved_ord").limit(0)
+    for _ in range(rounds):
+        if not pairs.limit(1).count():
+            return found
+        best = pairs.groupBy("file_name", "ord").agg(F.min(F.struct((-F.col("v")).alias("v"), F.col("saved_ord").alias("s")))["s"].alias("saved_ord"))
+        first = pairs.groupBy("file_name", "saved_ord").agg(F.min("ord").alias("ord"))
+        take = cut(best.join(first, ["file_name", "ord", "saved_ord"]).select("file_name", "ord", "saved_ord"))
+        found = found.unionByName(take)
+        for end in ("ord", "saved_ord"):
+            pairs = pairs.join(take.select("file_name", end), ["file_name", end], "left_anti")
+        pairs = cut(pairs)
+    rest = pairs.repartition("file_name").sortWithinPartitions("file_name", "ord", F.desc("v"), "saved_ord").select("file_name", "ord", "saved_ord")
+    return found.unionByName(rest.mapInPandas(_in_turn, "file_name string, ord bigint, saved_ord bigint"))
+
+
+def _in_turn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Matches of pairs that come file by file, in the order of the working boxes, best first."""
+    file, taken, last = None, set(), None
+    for frame in frames:
+        out = []
+        for f, o, s in zip(frame.file_name, frame.ord, frame.saved_ord, strict=True):
+            if f != file:
+                file, taken, last = f, set(), None
+            if o != last and s not in taken:
+                taken.add(s)
+                last = o
+                out.append((f, o, s))
+        yield pd.DataFrame(out, columns=["file_name", "ord", "saved_ord"])

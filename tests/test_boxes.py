@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from slidemill.operators import boxes as B
@@ -20,17 +21,35 @@ def some(n=120, seed=3):
     return [(i % 4, i, r.randrange(300), r.randrange(300), r.randrange(10, 90), r.randrange(10, 90), r.choice([0.4, 0.5, 0.7])) for i in range(n)]
 
 
-def test_nms_equals_the_loop(spark):
-    rows = some()
-    got = {(r.image_id, r.ord) for r in B.nms(spark.createDataFrame(rows, COLS)).collect()}
+def greedy(rows):
     want = set()
-    for image in range(4):
+    for image in {r[0] for r in rows}:
         kept = []
         for b in sorted((r for r in rows if r[0] == image), key=lambda r: (-r[6], r[1])):
             if all(iou(b[2:6], k[2:6]) <= 0.3 for k in kept):
                 kept.append(b)
         want |= {(k[0], k[1]) for k in kept}
-    assert got == want
+    return want
+
+
+@pytest.mark.parametrize("crowd", [0, 20, 64])
+def test_nms_equals_the_loop(spark, crowd):
+    rows = some() + [(9, i, 5 * i, 0, 60, 40, 0.5) for i in range(15)] + [(8, i, 10, 10, 20, 20, 0.1 * (i % 3)) for i in range(9)] + [(8, 20, 10, 10, 0, 5, 0.9), (8, 21, 10, 10, 0, 5, 0.9)]
+    got = [(r.image_id, r.ord) for r in B.nms(spark.createDataFrame(rows, COLS), crowd=crowd).collect()]
+    assert len(got) == len(set(got)) and set(got) == greedy(rows)
+
+
+def test_a_chain_longer_than_the_rounds(spark):
+    rows = [(11, i, 5 * i, 0, 10, 10, 0.9 - i / 1000) for i in range(120)] + some(60)
+    got = {(r.image_id, r.ord) for r in B._nms_rounds(spark.createDataFrame(rows, COLS), 3, 10, 50, rounds=2).collect()}
+    assert got == greedy(rows)
+
+
+def test_a_crowded_image_is_no_single_task(spark):
+    r = random.Random(8)
+    rows = [(1, i, r.randrange(3000), r.randrange(3000), r.randrange(10, 60), r.randrange(10, 60), r.random()) for i in range(4000)]
+    df = B._nms_rounds(spark.createDataFrame(rows, COLS), 3, 10, 128)
+    assert {(x.image_id, x.ord) for x in df.collect()} == greedy(rows)
 
 
 def test_touching_and_equal_to_threshold_are_kept(spark):
@@ -47,23 +66,32 @@ def test_iou_pairs_equal_all_pairs(spark):
     assert got == want
 
 
-def test_greedy_match_equals_the_loop(spark):
+def greedy_match(working, saved):
+    want = set()
+    for name in {w[0] for w in working}:
+        used = set()
+        for w in sorted(x for x in working if x[0] == name):
+            best, at = 0.0, -1
+            for s in sorted(x for x in saved if x[0] == name):
+                if s[1] not in used and iou(w[2:], s[2:]) > best:
+                    best, at = iou(w[2:], s[2:]), s[1]
+            if best > 0.5:
+                used.add(at)
+                want.add((name, w[1], at))
+    return want
+
+
+@pytest.mark.parametrize(("crowd", "rounds"), [(64, 24), (0, 24), (0, 1)])
+def test_greedy_match_equals_the_loop(spark, crowd, rounds, monkeypatch):
+    monkeypatch.setattr(B._match_rounds, "__defaults__", (rounds,))
     r = random.Random(5)
-    box = lambda: [r.randrange(60), r.randrange(60), r.randrange(20, 60), r.randrange(20, 60)]
-    working = [("f", i, *box()) for i in range(25)]
-    saved = [("f", i, *box()) for i in range(20)]
+    box = lambda: [r.randrange(30), r.randrange(30), r.randrange(20, 60), r.randrange(20, 60)]
+    working = [(f, i, *box()) for f in "fgh" for i in range(45)] + [("only working", 1, 0, 0, 5, 5)]
+    saved = [(f, i, *box()) for f in "fgh" for i in range(40)] + [("only saved", 1, 0, 0, 5, 5)]
+    saved += [("f", 100 + i, *working[i][2:]) for i in range(5)] * 1
     cols = "file_name string, ord long, x long, y long, w long, h long"
-    got = {(x.ord, x.saved_ord) for x in B.best_iou_match(spark.createDataFrame(working, cols), spark.createDataFrame(saved, cols)).collect()}
-    used, want = set(), set()
-    for w in working:
-        best, at = 0.0, -1
-        for s in saved:
-            if s[1] not in used and iou(w[2:], s[2:]) > best:
-                best, at = iou(w[2:], s[2:]), s[1]
-        if best > 0.5:
-            used.add(at)
-            want.add((w[1], at))
-    assert got == want and want
+    got = {tuple(x) for x in B.best_iou_match(spark.createDataFrame(working, cols), spark.createDataFrame(saved, cols), crowd=crowd).collect()}
+    assert got == greedy_match(working, saved) and len(got) > 20
 
 
 def test_limits_padding_and_aspect(spark):
