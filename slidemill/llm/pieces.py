@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 import struct
@@ -17,6 +18,7 @@ SPACE = "▁"
 #: Fixed values of the model file's format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
+BITS, LEFT, GONE = 20, 40, -(1 << 30)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -64,19 +66,27 @@ class PieceCoder:
 
     No piece holds a space sign behind another sign (looked up when the file is read), so what stands between a run of
     space signs and the next one is a unit of its own: no merge crosses its edges. Units of at most ``longest`` signs
-    are remembered, up to ``limit`` of them; then the memory is emptied. A file of another kind (no merges, no bytes for
+    are remembered, about ``limit`` of them; then the memory is emptied. A file of another kind (no merges, no bytes for
     unknown signs, user-defined or unused pieces, space signs at the end of words) is refused with ``ValueError``.
     """
 
-    def __init__(self, path: str, limit: int = 300_000, longest: int = 64):
+    def __init__(self, path: str, limit: int = 400_000, longest: int = 64):
         from sentencepiece import SentencePieceProcessor
 
         pieces, trainer = read_model(path)
         if trainer.get(3) != MERGES or not trainer.get(35) or trainer.get(24) or any(kind in (USER_DEFINED, UNUSED) for _, _, kind in pieces):
             raise ValueError("only merge-type vocabularies with bytes for unknown signs, without user-defined or unused pieces")
         self.library = SentencePieceProcessor(model_file=path)
-        self.cost = {p: -score for p, score, kind in pieces if kind == NORMAL}
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == NORMAL}
+        # signs that stand in pieces without being one get numbers behind all ids, so that they too can be merged
+        self.signs = {c: i for i, c in enumerate(sorted({c for p in self.ids for c in p} - self.ids.keys()), len(pieces))}
+        symbols = self.ids | self.signs
+        self.first_sign = len(pieces)
+        #: the piece that two symbols form, by ``left << BITS | right``; and each piece's place by score, the best first
+        self.pairs = {symbols[p[:k]] << BITS | symbols[p[k:]]: i for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols}
+        places = {score: n << LEFT for n, score in enumerate(sorted({score for _, score, kind in pieces if kind == NORMAL}, reverse=True))}
+        self.place = [places.get(score, 0) for _, score, _ in pieces]
+        self.symbol = {c: i for c, i in symbols.items() if len(c) == 1}.get
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         plain = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if plain else r"(?s:.+)").findall
@@ -85,52 +95,86 @@ class PieceCoder:
         self.spaced = {i for p, i in self.ids.items() if p[0] == SPACE}
         self.end = self.library.eos_id()
         self.prefix = self.library.normalize("a") == SPACE + "a"
+        self.near = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.doubt: set[str] = set()
+        self.as_library: list[bool] = []
         self.limit, self.longest = limit, longest
 
+    def spell(self, unit: str) -> bytes:
+        """The ids of a unit, cut further between signs that stand side by side in no piece: no merge crosses these either."""
+        near, out, at = self.near, [], 0
+        for i in range(1, len(unit) + 1):
+            if i == len(unit) or unit[i - 1 : i + 1] not in near:
+                part = unit[at:i]
+                if (ids := self.parts.get(part)) is None:
+                    ids = np.array(self.segment(part), "<i4").tobytes()
+                    if len(part) <= self.longest:
+                        self.parts[part] = ids
+                out.append(ids)
+                at = i
+        return out[0] if len(out) == 1 else b"".join(out)
+
     def segment(self, unit: str) -> list[int]:
-        """Ids of one unit: of all adjacent pairs that form a piece the one of best score, leftmost among equals, is merged first."""
-        part = list(unit)
-        n, cost = len(part), self.cost
+        """Ids of one piece of a text: of all adjacent pairs that form a piece the one of best score, leftmost among equals, is merged first.
+
+        The agenda holds a pair as one number, its piece's place by score above the position of its left symbol.
+        """
+        part = [self.symbol(c, -1) for c in unit]
+        n, pair, place = len(part), self.pairs.get, self.place
         before, behind = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = [(cost[p], i, i + 1, p) for i in range(n - 1) if (p := part[i] + part[i + 1]) in cost]
+        agenda = [place[m] | i for i in range(n - 1) if (m := pair(part[i] << BITS | part[i + 1])) is not None]
         heapq.heapify(agenda)
         while agenda:
-            _, left, right, piece = heapq.heappop(agenda)
-            # an entry is stale if either side went into another merge, or grew by one
-            if not part[left] or not part[right] or len(part[left]) + len(part[right]) != len(piece):
+            entry = heapq.heappop(agenda)
+            left = entry & (1 << LEFT) - 1
+            right = behind[left]
+            # stale if the left side went into another merge, or either grew: then the two form another piece, or none
+            if part[left] == GONE or right >= n or (m := pair(part[left] << BITS | part[right])) is None or place[m] | left != entry:
                 continue
-            part[left], part[right] = piece, ""
+            part[left], part[right] = m, GONE
             behind[left] = after = behind[right]
             if after < n:
                 before[after] = left
-                if (p := piece + part[after]) in cost:
-                    heapq.heappush(agenda, (cost[p], left, after, p))
-            if (first := before[left]) >= 0 and (p := part[first] + piece) in cost:
-                heapq.heappush(agenda, (cost[p], first, left, p))
-        out: list[int] = []
-        for p in part:
-            if p:
-                i = self.ids.get(p)
-                out.extend((i,) if i is not None else map(self.byte.__getitem__, p.encode()))
+                if (k := pair(m << BITS | part[after])) is not None:
+                    heapq.heappush(agenda, place[k] | left)
+            if (first := before[left]) >= 0 and (k := pair(part[first] << BITS | m)) is not None:
+                heapq.heappush(agenda, place[k] | first)
+        out = [i for i in part if i != GONE]
+        if min(out) >= 0 and max(out) < self.first_sign:
+            return out
+        out = []
+        for c, i in zip(unit, part, strict=True):  # what was never merged stands at its own sign
+            if i != GONE:
+                out.extend((i,) if 0 <= i < self.first_sign else map(self.byte.__getitem__, c.encode()))
         return out
 
     def encode(self, texts: list[str], end: bool = True) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
+        """Little-endian 32-bit ids of every text; see ``as_library`` for the texts of the last call."""
         held = [self.units(self.library.normalize(t)) if t else [] for t in texts]
         new = {u for units in held for u in units}
         new.difference_update(self.known)
+        if len(self.parts) > self.limit:
+            self.parts.clear()
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
             new = {u for units in held for u in units}
-        known = {}
-        for u in new:
-            known[u] = np.array(self.segment(u), "<i4").tobytes()
-            if len(u) <= self.longest:
-                self.known[u] = known[u]
+        order = list(new)
+        ids = list(map(self.spell, order))
+        known = dict(zip(order, ids, strict=True))
+        self.known.update((u, i) for u, i in known.items() if len(u) <= self.longest)
+        # the library's word on the new units of this batch; it puts its own space sign before each
+        said = self.library.encode([u[1:].replace(SPACE, " ") if self.prefix else u for u in order], num_threads=1)
+        self.doubt.update(u for u, mine, theirs in zip(order, ids, said, strict=True) if mine != np.array(theirs, "<i4").tobytes())
         get = lambda u: self.known.get(u) or known[u]
         tail = np.array([self.end] * end, "<i4").tobytes()
-        return [b"".join(map(get, units)) + tail for units in held]
+        out = [b"".join(map(get, units)) + tail for units in held]
+        self.as_library = [True] * len(texts)
+        if self.doubt:  # a unit that the library splits otherwise when it stands alone: its texts are asked for as a whole
+            for i in [i for i, units in enumerate(held) if not self.doubt.isdisjoint(units)]:
+                self.as_library[i] = out[i] == np.array(self.library.encode(texts[i], add_eos=end), "<i4").tobytes()
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: a last control piece says nothing, the space put before the first word goes, bytes join into signs.
@@ -150,6 +194,12 @@ class PieceCoder:
             return self.library.decode(ids)
 
 
+@functools.lru_cache(1)
+def coder_of(path: str) -> PieceCoder:
+    """One coder for a worker process: what it has learnt serves its later tasks."""
+    return PieceCoder(path)
+
+
 def _steps(text: pa.Array, size: int = 1 << 22) -> Iterator[list[str]]:
     """The texts in runs of about as many bytes."""
     held, total = [], 0
@@ -171,24 +221,24 @@ def _lists(parts: list[bytes]) -> pa.Array:
 def encode(docs: DataFrame, model_path: str, end: bool = True, decoded: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every whole text: ``(doc_id, ids, as_library)``, with ``decoded`` also ``decoded``, the text of those ids.
 
-    One row per input row, in a narrow Arrow map without shuffle. The ids come from ``PieceCoder``; each Arrow batch is
-    encoded (and decoded) by the sentencepiece library as well, and ``as_library`` says whether both agree. Null text
+    One row per input row, in a narrow Arrow map without shuffle. The ids come from ``PieceCoder``. In each Arrow batch the
+    sentencepiece library encodes the units not met before (and decodes all ids) as well; ``as_library`` says whether both agree. Null text
     counts as empty, which is the end id alone; null ids stay null; repeated rows repeat; a text without blanks is one
     unit, worked out in n log n steps. Other columns are not read; an empty table gives an empty result.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model_path)
+        coder = coder_of(model_path)
         for batch in batches:
             at = 0
             for texts in _steps(pc.fill_null(batch.column(1), "")):
                 ids = coder.encode(texts, end)
-                theirs = coder.library.encode(texts, add_eos=end, num_threads=1)
-                same = [a == np.array(b, "<i4").tobytes() for a, b in zip(ids, theirs, strict=True)]
+                same = coder.as_library
                 columns = [batch.column(0).slice(at, len(texts)), _lists(ids)]
                 if decoded:
-                    back = [coder.decode(b if ok else np.frombuffer(a, "<i4").tolist()) for a, b, ok in zip(ids, theirs, same, strict=True)]
-                    same = [ok and a == b for ok, a, b in zip(same, back, coder.library.decode(theirs, num_threads=1), strict=True)]
+                    listed = [np.frombuffer(i, "<i4").tolist() for i in ids]
+                    back = list(map(coder.decode, listed))
+                    same = [ok and a == b for ok, a, b in zip(same, back, coder.library.decode(listed, num_threads=1), strict=True)]
                     columns.append(pa.array(back, pa.string()))
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(same)], ["doc_id", "ids", *["decoded"] * decoded, "as_library"])
                 at += len(texts)
@@ -201,7 +251,7 @@ def decode(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: st
     """``(doc_id, text)`` of rows of ids. Null lists, and lists without ids, give the empty text; null ids within a list are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model_path)
+        coder = coder_of(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
