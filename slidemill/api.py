@@ -89,14 +89,17 @@ def review_state(images: DataFrame, annotations: DataFrame, edits: DataFrame | N
 
 
 def save_review(boxes: DataFrame, images: DataFrame, target: str) -> None:
-    """The state of a review as new documents below ``target``: the annotations, the COCO export and the YOLO texts.
+    """The state of a review as new documents below ``target``: the annotations, the COCO export, the YOLO export (classes and texts in one
+    document, and each text as a file).
 
     The boxes of ``review_state`` so replace the log that made them: a later review starts from ``annotations``.
     """
     boxes = cut(boxes)
     sinks.write_document(exports.annotations_document(images, boxes, "slidemill"), f"{target}/annotations")
     sinks.write_document(exports.coco_export_document(images, boxes), f"{target}/coco")
-    sinks.write_texts(exports.yolo_lines(images, exports.yolo_export(images, boxes)), f"{target}/yolo_labels").count()
+    lines = cut(exports.yolo_lines(exports.held_files(images, boxes), exports.yolo_export(images, boxes)))
+    sinks.write_document(exports.yolo_document(exports.yolo_classes(boxes), lines), f"{target}/yolo")
+    sinks.write_texts(lines, f"{target}/yolo_labels").count()
 
 
 def fuse_folder(spark: SparkSession, folder: str, target: str | None = None, **options) -> DataFrame:

@@ -118,7 +118,7 @@ def split_crowded(frames: list[DataFrame], key: str, crowd: int) -> tuple[list[D
 def nms(boxes: DataFrame, num: int = 3, den: int = 10, crowd: int = 64, cell: int = 128) -> DataFrame:
     """Greedy suppression in each image: by falling confidence, then ``ord``, dropping what overlaps a kept box more than num/den.
 
-    The threshold is compared in integers. A suppressed box never suppresses, so keeping a box exactly if no kept one
+    ``ord`` tells the boxes of an image apart. The threshold is compared in integers. A suppressed box never suppresses, so keeping a box exactly if no kept one
     overlaps it too much is the same as the loop over all pairs. Images of at most ``crowd`` boxes are folded each in its row; a
     crowded one is settled in rounds over its overlapping pairs, so it is no single task. Both give the same rows: the kept ones.
     """

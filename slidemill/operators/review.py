@@ -27,71 +27,80 @@ def initial_boxes(images: DataFrame, annotations: DataFrame) -> DataFrame:
 def next_bulk(points: DataFrame, bulks: DataFrame, by: list[str], name: str) -> DataFrame:
     """``points`` (``by``, ``at``) with ``name``: the first bulk action (``seq, status``) of their group after ``at``, or null.
 
-    Points and actions of a group are ordered together once; none is compared with all others.
+    Points and actions are dealt together to ranges of group and ``seq``, whose bounds Spark samples, so neither a hot group nor
+    an outlying ``seq`` is one task. In a range each point takes the action behind it in one pass from the end; where the range has
+    none left, that of a later range, from a table of one row for each group and range. Without ``by`` all are one group.
     """
     both = points.withColumns({"_seq": F.col("at"), "_set": F.lit(None).cast(ACTION), "_point": F.lit(True)}).unionByName(
         bulks.select(*by, F.col("seq").alias("_seq"), F.struct("seq", "status").cast(ACTION).alias("_set"), F.lit(False).alias("_point")), allowMissingColumns=True
     )
+    both = cut(both.repartitionByRange(*by, "_seq", "_point").withColumn("_r", F.spark_partition_id()))
     # of an action and a point of one number the action comes first, so it is not after the point
-    later = Window.partitionBy(*by).orderBy("_seq", "_point").rowsBetween(1, Window.unboundedFollowing)
-    return both.withColumn(name, F.first("_set", ignorenulls=True).over(later)).where("_point").drop("_seq", "_set", "_point")
+    behind = Window.partitionBy(*by, "_r").orderBy(F.desc("_seq"), F.desc("_point")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = both.groupBy(*by, "_r").agg(F.min("_set").alias("_first"))
+    later = Window.partitionBy(*by or [F.lit(0)]).orderBy(F.desc("_r")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(*by, "_r", F.last("_first", ignorenulls=True).over(later).alias("_after"))
+    here = both.withColumn(name, F.last("_set", ignorenulls=True).over(behind)).where("_point").join(ranges, [*by, "_r"], "left")
+    return here.withColumn(name, F.coalesce(name, "_after")).drop("_seq", "_set", "_point", "_r", "_after")
 
 
-def next_overall_bulk(points: DataFrame, bulks: DataFrame, name: str, ranges: int = 4096) -> DataFrame:
-    """The same for actions on all files: points and actions meet in ranges of ``seq``, at most ``ranges`` of them.
+def last_edits(edits: DataFrame) -> DataFrame:
+    """Of each box ``file_name, id`` the last edit of every field, each with its own ``seq``, and the last delete.
 
-    A range without a later action takes the first one of a later range; points before all actions take the first.
+    The largest ``seq`` of a field wins whatever the order of arrival, so this is one grouped maximum: over a log, over any
+    split of it into batches, and over a stream (update mode).
     """
-    ends = bulks.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
-    if ends["lo"] is None:
-        return points.withColumn(name, F.lit(None).cast(ACTION))
-    width = max(1, -(-(ends["hi"] - ends["lo"] + 1) // ranges))
-    place = lambda c: F.floor((F.col(c) - ends["lo"]) / width).cast("long")
-    firsts = bulks.withColumn("_r", place("seq")).groupBy("_r").agg(F.min(F.struct("seq", "status")).alias("_first"))
-    known = {r["_r"]: tuple(r["_first"]) for r in firsts.collect()}
-    after, seen = [None] * (max(known) + 2), None
-    for r in range(max(known), -1, -1):
-        after[r], seen = seen, known.get(r, seen)
-    early = points.where(F.col("at") < ends["lo"]).withColumn(name, F.struct(F.lit(seen[0]).alias("seq"), F.lit(seen[1]).alias("status")).cast(ACTION))
-    rest = next_bulk(points.where(F.col("at") >= ends["lo"]).withColumn("_r", place("at")), bulks.withColumn("_r", place("seq")), ["_r"], name)
-    table = points.sparkSession.createDataFrame(list(enumerate(after)), f"_r long, _after {ACTION}")
-    rest = rest.join(F.broadcast(table), "_r", "left").withColumn(name, F.coalesce(name, "_after")).drop("_r", "_after")
-    return early.unionByName(rest.select(early.columns))
+    own = edits.where("action in ('update', 'revert', 'delete')").withColumn("status", F.when(F.col("action") == "revert", "pending").otherwise(F.col("status")))
+    own = own.select("file_name", F.col("box_id").alias("id"), "seq", "action", F.col("status").alias("_status"), F.col("label").alias("_label"), "bbox")
+    return own.groupBy("file_name", "id").agg(
+        F.max(F.when(F.col("_status").isNotNull(), F.struct("seq", "_status"))).alias("s"),
+        F.max(F.when(F.col("_label").isNotNull(), F.struct("seq", "_label"))).alias("l"),
+        F.max(F.when(F.col("bbox").isNotNull(), F.struct("seq", "bbox"))).alias("b"),
+        F.max(F.when(F.col("action") == "delete", F.col("seq"))).alias("gone"),
+    )
+
+
+def added_boxes(edits: DataFrame) -> DataFrame:
+    """Boxes of ``add`` edits: approved, manual, with the default label if they name none; ``born`` is the edit's ``seq``."""
+    return edits.where("action = 'add'").select(
+        "file_name", (F.lit(1_000_000_000) + F.col("seq")).alias("ord"), F.coalesce("box_id", F.substring(F.sha2(F.concat_ws("|", "file_name", F.col("seq").cast("string")), 256), 1, 8)).alias("id"),
+        *(F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate("xywh")), F.coalesce(F.nullif("label", F.lit("")), default_label(F.col("file_name"))).alias("label"),
+        F.lit("approved").alias("status"), F.lit("manual").alias("method"), F.lit(1.0).alias("confidence"), F.col("seq").alias("born"),
+    )
+
+
+def bulk_actions(edits: DataFrame) -> DataFrame:
+    """``seq, file_name, status`` of the bulk actions that change something; one of all files has a null or empty file name."""
+    return edits.where("action = 'bulk_update' and status <> 'pending'").select("seq", F.nullif("file_name", F.lit("")).alias("file_name"), "status")
 
 
 def replay(boxes: DataFrame, edits: DataFrame) -> DataFrame:
     """Boxes after all edits (``seq, action, file_name, box_id, status, label, bbox``), folded by ``seq``.
 
     Actions: ``update`` (any of status, label, bbox), ``add`` (approved manual box, default label if none), ``delete``,
-    ``bulk_update`` (pending boxes of a file, of all files if it is null) and ``revert`` (to pending). An edit of a box
+    ``bulk_update`` (pending boxes of a file, of all files if it is null or empty) and ``revert`` (to pending). An edit of a box
     that does not exist (yet, or any more) is ignored. Each status edit makes earlier ones irrelevant, so a box needs
     only its last one and, if that leaves it pending, the first later bulk action that sets another status; nothing is
     replayed across boxes.
     """
-    added = edits.where("action = 'add'").select(
-        "file_name", (F.lit(1_000_000_000) + F.col("seq")).alias("ord"), F.coalesce("box_id", F.substring(F.sha2(F.concat_ws("|", "file_name", F.col("seq").cast("string")), 256), 1, 8)).alias("id"),
-        *(F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate("xywh")), F.coalesce(F.nullif("label", F.lit("")), default_label(F.col("file_name"))).alias("label"),
-        F.lit("approved").alias("status"), F.lit("manual").alias("method"), F.lit(1.0).alias("confidence"), F.col("seq").alias("born"),
-    )
+    return settle(boxes, added_boxes(edits), last_edits(edits), bulk_actions(edits))
+
+
+def settle(boxes: DataFrame, added: DataFrame, last: DataFrame, bulks: DataFrame) -> DataFrame:
+    """The boxes that ``replay`` gives, from a log taken apart by ``added_boxes``, ``last_edits`` and ``bulk_actions``."""
     every = boxes.withColumn("born", F.lit(-1).cast("long")).unionByName(added)
-    own = edits.where("action in ('update', 'revert', 'delete')").withColumn("status", F.when(F.col("action") == "revert", "pending").otherwise(F.col("status")))
-    own = own.select("file_name", F.col("box_id").alias("id"), "seq", "action", F.col("status").alias("_status"), F.col("label").alias("_label"), "bbox")
-    last = every.select("file_name", "id", "born").join(own, ["file_name", "id"]).where("seq > born").groupBy("file_name", "id", "born").agg(
-        F.max(F.when(F.col("_status").isNotNull(), F.struct("seq", "_status"))).alias("s"),
-        F.max(F.when(F.col("_label").isNotNull(), F.struct("seq", "_label"))).alias("l"),
-        F.max(F.when(F.col("bbox").isNotNull(), F.struct("seq", "bbox"))).alias("b"),
-        F.max(F.col("action") == "delete").alias("gone"),
-    )
-    f = every.join(last, ["file_name", "id", "born"], "left").where("gone is null or not gone")
+    f = every.join(last, ["file_name", "id"], "left").where("gone is null or gone <= born")
+    later = lambda c: F.when(F.col(f"{c}.seq") > F.col("born"), F.col(c))
+    f = f.withColumns({c: later(c) for c in "slb"})
     f = f.withColumn("at", F.coalesce("s.seq", "born")).withColumn("status", F.coalesce("s._status", "status"))
     f = f.select("file_name", "ord", "id", *(F.coalesce(F.get("b.bbox", F.lit(i)), F.col(c)).alias(c) for i, c in enumerate("xywh")), F.coalesce("l._label", "label").alias("label"), "status", "method", "confidence", "at")
-    bulk = cut(edits.where("action = 'bulk_update' and status <> 'pending'").select("seq", "file_name", "status"))
+    bulk = cut(bulks)
     if not bulk.limit(1).count():
         return f.drop("at")
     f = cut(f)
     pending = f.where("status = 'pending'")
     pending = next_bulk(pending, bulk.where("file_name is not null"), ["file_name"], "one")
-    pending = next_overall_bulk(pending, bulk.where("file_name is null"), "all")
+    pending = next_bulk(pending, bulk.where("file_name is null").drop("file_name"), [], "all")
     first = F.array_min(F.filter(F.array("one", "all"), lambda e: e.isNotNull()))
     pending = pending.withColumn("status", F.coalesce(first["status"], F.col("status"))).drop("one", "all", "at")
     return f.where("status is null or status <> 'pending'").drop("at").unionByName(pending)

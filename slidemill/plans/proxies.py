@@ -55,6 +55,15 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.withColumn("id", box_id(F.col("file_name"), F.col("ord")))
 
 
+def crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boxes as those of a hundred wide images."""
+    key = F.col("image_id")
+    return boxes(spark, sf_dir).select(
+        (key % 100).alias("image_id"), F.concat(F.lit("crowd_"), (key % 100).cast("string"), F.lit(".png")).alias("file_name"), (key * 1000 + F.col("ord")).alias("ord"),
+        (F.col("x") + key * 37 % 1800).alias("x"), (F.col("y") + key * 53 % 1900).alias("y"), "w", "h", "confidence",
+    )
+
+
 def file_of(key):
     return F.concat(F.lit("lab__sp_"), (key % 5).cast("string"), F.lit("__"), key.cast("string"), F.lit(".png"))
 
@@ -120,6 +129,7 @@ BOX_SQL = f"""box AS (SELECT *, substr(sha256(file_name || '|' || ord), 1, 8) AS
   CASE l_linenumber % 4 WHEN 0 THEN 0.7e0 WHEN 1 THEN 0.6e0 WHEN 2 THEN 0.5e0 ELSE 0.4e0 END AS confidence, {_METHOD} AS method,
   CASE l_linenumber % 3 WHEN 0 THEN 'approved' WHEN 1 THEN 'rejected' ELSE 'pending' END AS status,
   CASE WHEN l_returnflag = 'A' THEN 'ascaris' WHEN l_returnflag = 'N' THEN CASE WHEN l_linenumber % 2 = 0 THEN 'noise' ELSE 'Noise' END ELSE '' END AS label, {FILE_OF('l_orderkey')} AS file_name FROM lineitem))"""
+CROWD_SQL = f"{BOX_SQL}, crowd AS (SELECT image_id % 100 AS image_id, 'crowd_' || (image_id % 100) || '.png' AS file_name, image_id * 1000 + ord AS ord, x + image_id * 37 % 1800 AS x, y + image_id * 53 % 1900 AS y, w, h, confidence FROM box)"
 IMG_SQL = f"img AS (SELECT o_orderkey AS image_id, {FILE_OF('o_orderkey')} AS file_name, 1024 + o_orderkey % 900 AS width, 1024 + o_custkey % 700 AS height FROM orders)"
 ALL_EDITS_SQL = """e AS (SELECT event_id AS seq,
   CASE WHEN event_type = 'signup' THEN 'bulk_update' WHEN event_type = 'view' THEN 'revert' WHEN event_type = 'click' AND event_id % 29 = 0 THEN 'delete' WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'add' ELSE 'update' END AS action,

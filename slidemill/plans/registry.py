@@ -121,6 +121,14 @@ def nms_kept(spark, sf_dir):
     return B.nms(b, 3, 10).select("image_id", "ord")
 
 
+@query(f"""WITH {P.CROWD_SQL}, g AS (SELECT image_id, list([{{'x': x, 'y': y, 'w': w, 'h': h, 'ord': ord}}] ORDER BY confidence DESC, ord) AS bs FROM crowd GROUP BY image_id),
+k AS (SELECT image_id, list_reduce(bs, lambda k, c: CASE WHEN len(list_filter(k, lambda q: {_CLOSE} * 1 > 3 * (q.w * q.h + c[1].w * c[1].h - {_CLOSE} // 10))) > 0 THEN k ELSE list_concat(k, c) END) AS kept FROM g)
+SELECT image_id, b.ord AS ord FROM (SELECT image_id, unnest(kept) AS b FROM k)""")
+def nms_crowded(spark, sf_dir):
+    """A hundred images with all boxes: each is settled in rounds over its pairs."""
+    return B.nms(P.crowded(spark, sf_dir).drop("file_name"), 3, 10).select("image_id", "ord")
+
+
 # ---- tiles ----
 
 
@@ -191,6 +199,18 @@ def export_coco(spark, sf_dir):
     return exports.coco_export(P.images(spark, sf_dir), P.boxes(spark, sf_dir)).withColumn("category_id", F.col("category_id").cast("long")).drop("iscrowd")
 
 
+@query(f"""WITH {P.IMG_SQL}, {P.BOX_SQL}, i AS (SELECT * FROM img WHERE image_id % 5 <> 0), b AS (SELECT * FROM box WHERE image_id % 7 <> 0),
+f AS (SELECT row_number() OVER (ORDER BY file_name) AS image_id, file_name, width, height FROM (SELECT coalesce(i.file_name, n.file_name) AS file_name, coalesce(width, 0) AS width, coalesce(height, 0) AS height
+  FROM i FULL JOIN (SELECT DISTINCT file_name FROM b) n ON n.file_name = i.file_name))
+SELECT f.image_id AS image_id, f.file_name AS file_name, width, height, CASE WHEN ord IS NOT NULL THEN row_number() OVER (ORDER BY ord IS NULL, f.image_id, ord) END AS id, x, y, w, h, w * h AS area, round(confidence, 3) AS score, method AS detection_method, status, label
+FROM f LEFT JOIN b ON b.file_name = f.file_name""")
+def annotations_export(spark, sf_dir):
+    """A whole review: images without boxes have their row, files that only boxes name have one of size 0."""
+    images, rows = exports.annotations_export(P.images(spark, sf_dir).where("image_id % 5 <> 0"), P.boxes(spark, sf_dir).where("image_id % 7 <> 0"))
+    out = images.withColumnRenamed("id", "image_id").join(rows, "image_id", "left")
+    return out.select("image_id", "file_name", "width", "height", "id", "x", "y", "w", "h", "area", "score", "detection_method", "status", "label")
+
+
 _CLASSES = "l AS (SELECT DISTINCT label FROM box WHERE status = 'approved' AND label NOT IN ('', 'noise')), k AS (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS class, label FROM l)"
 
 
@@ -278,6 +298,19 @@ def resume_match(spark, sf_dir):
     return review.resume(b, _saved(b)).select("file_name", "ord", "status", "label", "method")
 
 
+@query(f"""WITH RECURSIVE {P.CROWD_SQL}, saved AS (SELECT file_name, ord, x + ord % 3 * 4 AS x, y, w, h FROM crowd WHERE ord % 4 <> 3),
+p AS (SELECT b.file_name, b.ord, t.ord AS o, {_INTER} AS i, b.w * b.h + t.w * t.h AS s FROM crowd b JOIN saved t ON t.file_name = b.file_name AND t.x < b.x + b.w AND b.x < t.x + t.w AND t.y < b.y + b.h AND b.y < t.y + t.h),
+c AS (SELECT file_name, ord, row_number() OVER (PARTITION BY file_name ORDER BY ord) AS turn, list(o ORDER BY i / (s - i) DESC, o) AS fits FROM p WHERE 2 * i > s - i GROUP BY file_name, ord),
+r AS (SELECT DISTINCT file_name, CAST(0 AS BIGINT) AS turn, CAST(0 AS BIGINT) AS ord, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS took FROM c
+  UNION ALL SELECT file_name, turn, ord, CASE WHEN took IS NULL THEN used ELSE list_append(used, took) END, took FROM (
+    SELECT c.file_name, c.turn, c.ord, r.used, list_filter(c.fits, lambda t: NOT list_contains(r.used, t))[1] AS took FROM r JOIN c ON c.file_name = r.file_name AND c.turn = r.turn + 1))
+SELECT file_name, ord, took AS saved_ord FROM r WHERE took IS NOT NULL""")
+def match_crowded(spark, sf_dir):
+    """Greedy matching in a hundred files with all boxes, in rounds over pairs."""
+    b = P.crowded(spark, sf_dir)
+    return B.best_iou_match(b, b.where("ord % 4 <> 3").withColumn("x", F.col("x") + F.col("ord") % 3 * 4))
+
+
 @query(f"WITH {P.BOX_SQL} SELECT file_name, array_to_string(list_sort(list_distinct(list(label))), '|') AS labels FROM box GROUP BY file_name")
 def label_visibility(spark, sf_dir):
     return review.visible_labels(P.boxes(spark, sf_dir))

@@ -119,31 +119,22 @@ def test_raw_tree_catalogue_csv_and_copies(spark, tmp_path):
     assert {r.status for r in again.collect()} == {"skipped_unchanged"}
 
 
+def text_of(doc):
+    return "\n".join(r.value for r in doc.orderBy("section", "k").collect())
+
+
 def test_coco_and_yolo_documents(spark):
     images = spark.createDataFrame([("a__egg__1.png", 100, 50), ("b.png", 100, 50)], "file_name string, width int, height int")
     cols = "file_name string, ord long, x long, y long, w long, h long, label string, status string, method string, confidence double"
     boxes = spark.createDataFrame([("a__egg__1.png", 0, 10, 10, 20, 10, "", "approved", "m", 0.5), ("a__egg__1.png", 1, 0, 0, 5, 5, "noise", "approved", "m", 0.5), ("b.png", 0, 0, 0, 5, 5, "Noise", "approved", "m", 0.5)], cols)
     ids = exports.coco_images(images)
-    doc = json.loads(exports.coco_document(ids, exports.coco_annotations(ids, boxes), "d", "g").first().value)
+    doc = json.loads(text_of(exports.coco_document(ids, exports.coco_annotations(ids, boxes), "d", "g")))
     assert [a["bbox"] for a in doc["annotations"]] == [[10, 10, 20, 10], [0, 0, 5, 5], [0, 0, 5, 5]] and [i["id"] for i in doc["images"]] == [1, 2]
     rows = exports.yolo_export(images, boxes)
-    doc = json.loads(exports.yolo_document(exports.yolo_classes(boxes), exports.yolo_lines(images, rows)).first().value)
+    doc = json.loads(text_of(exports.yolo_document(exports.yolo_classes(boxes), exports.yolo_lines(images, rows))))
     assert doc == {"classes": ["Noise"], "labels": {"a__egg__1.txt": "0 0.200000 0.300000 0.200000 0.200000", "b.txt": "0 0.025000 0.050000 0.050000 0.100000"}}
 
 
-def test_live_edits(spark, tmp_path):
-    from slidemill.streaming import live
-
-    src = tmp_path / "log"
-    src.mkdir()
-    rows = [{"seq": 1, "action": "update", "file_name": "f", "box_id": "a", "status": "approved"}, {"seq": 3, "action": "delete", "file_name": "f", "box_id": "b"}, {"seq": 2, "action": "update", "file_name": "f", "box_id": "a", "label": "cyst"}]
-    (src / "1.json").write_text("\n".join(map(json.dumps, rows)))
-    q = live.fold_edits(live.edit_log(spark, str(src))).writeStream.outputMode("update").format("memory").queryName("edits_now").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    got = {(r.box_id): (r.status, r.label, r.gone) for r in spark.table("edits_now").collect()}
-    assert got == {"a": ("approved", "cyst", False), "b": (None, None, True)}
-
-
 def bmp(bgr):
     """A 24-bit bitmap file."""
     h, w = bgr.shape[:2]
