@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 
@@ -33,6 +36,26 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def trim() -> None:
+    """Give memory back that a finished task has freed: a worker process is kept, and its next task may belong to another operator."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has the call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def trimmed(work):
+    """An Arrow function that ends with ``trim``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def bitmap(keys: DataFrame, bits: int = 1 << 26) -> np.ndarray:
     """Marks of the ``key`` values (long) in a table of fixed size, whatever their number; see ``marked``."""
     at = F.pmod(F.col("key"), F.lit(bits))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint, connected_components, few, slices
+from slidemill.llm.common import checkpoint, connected_components, few, slices, trimmed
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -235,7 +235,7 @@ def common_shingles(docs: DataFrame, size: int, least: int = 24, above_mean: int
         at = np.flatnonzero(table >= 4)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(table[at], table.sum(dtype=np.int64)), pa.int64())], ["cell", "n"])
 
-    sums = docs.select(F.col("text").cast("string")).mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    sums = docs.select(F.col("text").cast("string")).mapInArrow(trimmed(count), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     # one row for each cell at most, whatever the input; one of them holds the total
     found = sums.where(F.col("n") >= least).toArrow()
     cell, n = found["cell"].to_numpy(), found["n"].to_numpy()
@@ -425,7 +425,7 @@ def _sharing(docs: DataFrame, size: int, num: int, den: int, share: float) -> Da
                 equal.clear()
         yield flush()
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(trimmed(run), SCHEMA)
 
 
 def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -451,7 +451,7 @@ def _candidates(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             if len(seen) > 300_000:  # bounded memory: forgetting only sends a signature along again
                 seen.clear()
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(trimmed(run), SCHEMA)
 
 
 LINKS = "u long, v long"

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint
+from slidemill.llm.common import checkpoint, trimmed
 from slidemill.llm.tokens import WordCoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 1) ->
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(cut), PIECES)
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:

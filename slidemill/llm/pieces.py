@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.llm.common import trimmed
+
 SPACE = "▁"
 #: Fixed values of the model file's format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -244,7 +246,7 @@ def encode(docs: DataFrame, model_path: str, end: bool = True, decoded: bool = F
                 at += len(texts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, f"doc_id long, ids array<int>, {'decoded string, ' * decoded}as_library boolean")
+    return rows.mapInArrow(trimmed(work), f"doc_id long, ids array<int>, {'decoded string, ' * decoded}as_library boolean")
 
 
 def decode(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -258,7 +260,7 @@ def decode(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: st
                 texts = [coder.decode([i for i in ids if i is not None]) if ids else "" for ids in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(work, "doc_id long, text string")
+    return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(trimmed(work), "doc_id long, text string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import fit_logistic, fold, labelled, slices
+from slidemill.llm.common import fit_logistic, fold, labelled, slices, trimmed
 from slidemill.llm.jaccard import _mix
 
 BITS = 17  # hashed n-grams: 131,072, whatever the input
@@ -111,7 +111,7 @@ def log_count_ratios(rows: DataFrame, alpha: float = 1.0) -> np.ndarray:
         y, b = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(b, pa.int32()), pa.array(seen[y, b], pa.int64())], ["y", "bucket", "n"])
 
-    sums = rows.select("text", "y").mapInArrow(count, "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    sums = rows.select("text", "y").mapInArrow(trimmed(count), "y int, bucket int, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n")).toArrow()
     seen = np.full((2, size), alpha)
     seen[sums["y"].to_numpy(), sums["bucket"].to_numpy()] += sums["n"].to_numpy()
     seen /= seen.sum(1, keepdims=True)
@@ -167,13 +167,13 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, t
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out)], [*batch.schema.names[1:], "margin"])
 
     def points(rows: DataFrame) -> list[tuple[float, int, int]]:
-        seen = rows.select("text", "y").mapInArrow(margins, "y int, margin double").groupBy("y", F.floor(F.col("margin") * BINS).alias("bin")).count().collect()
+        seen = rows.select("text", "y").mapInArrow(trimmed(margins), "y int, margin double").groupBy("y", F.floor(F.col("margin") * BINS).alias("bin")).count().collect()
         return [((r["bin"] + 0.5) / BINS, r["y"], r["count"]) for r in seen]
 
     at = points(train.where(part == 0))
     if min(sum(n for _, y, n in at if y == k) for k in (0, 1)) < calibration_rows:
         at = points(train)
     slope, shift = fit_logistic(at)
-    scored = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(margins, "doc_id long, margin double")
+    scored = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(trimmed(margins), "doc_id long, margin double")
     score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("margin") + F.lit(shift))))
     return scored.withColumn("score", score).select("doc_id", (fold(folds) == held).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))

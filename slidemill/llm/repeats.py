@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.llm.common import trimmed
+
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 LEAST, TIMES = 12, 2
 
@@ -134,7 +136,7 @@ def periodic_runs(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(runs, kind), pa.array(rest, pa.string())], ["doc_id", "runs", "collapsed"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, f"doc_id long, runs {RUNS}, collapsed string")
+    return rows.mapInArrow(trimmed(work), f"doc_id long, runs {RUNS}, collapsed string")
 
 
 def planted(doc_id: Column, text: Column) -> Column:

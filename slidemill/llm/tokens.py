@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slidemill.llm.common import trimmed
+
 #: Runs of ASCII letters and of anything beyond ASCII, single digits, runs of printable ASCII signs.
 _PIECE = re.compile(r"[A-Za-z\x80-\U0010ffff]+|[0-9]|[!-/:-@\[-`{-~]+")
 
@@ -190,5 +192,5 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.cast(pc.binary_length(text), pa.int64()), n, pc.greater(n, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
+        trimmed(count), "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
     )
