@@ -30,18 +30,11 @@ def build_catalog(spark: SparkSession, raw_root: str, prior_csv: str, flat_folde
     """
     good, _ = files.raw_files(spark, raw_root, strict)
     prior = files.read_catalog(spark, prior_csv)
-    try:
-        there = files.image_files(spark, flat_folder, "db").select(F.col("file_name").alias("canonical_name"))
-        there.schema  # noqa: B018  resolves the path
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        there = prior.select("canonical_name").limit(0)
+    there = files.image_files(spark, flat_folder, "db").select(F.col("file_name").alias("canonical_name"))
     listed = cut(good.drop("content"))
-    hashes = lambda paths: files.contents_of(spark, paths).select("raw_path", F.sha2("content", 256).alias("image_id"))
-    run = cut(catalog.status_rows(listed, prior, there, rehash_all, keep_duplicates, flat_folder.rstrip("/"), hashes))
+    run = cut(catalog.status_rows(listed, prior, there, rehash_all, keep_duplicates, flat_folder.rstrip("/"), files.hash_files))
     if out_csv:
-        sinks.copy_new(run, files.contents_of(spark, run.where("status in ('new', 'updated')")), flat_folder).count()
+        sinks.copy_new(run, flat_folder)
         sinks.write_catalog(catalog.upsert(prior, run), out_csv)
     return catalog.upsert(prior, run), catalog.run_summary(run)
 

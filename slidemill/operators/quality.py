@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import percent_delta, quality_score
+from slidemill.operators.exports import dense_ids
+from slidemill.plans.lineage import few
 from slidemill.schemas import METRICS
 
 # Weight of each metric and whether its logarithm is taken.
@@ -31,7 +33,10 @@ def resolution_scores(rows: DataFrame, scene: str = "scene") -> DataFrame:
 
 
 def rank(rows: DataFrame, by: str = "resolution_score", scene: str = "scene", tie: str = "name") -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(scene).orderBy(F.desc(by), tie)))
+    """``rank`` in each scene, from 1. All rows are numbered in one order, range by range, and a scene's first number is taken off: no scene is one window."""
+    numbered = dense_ids(rows, [scene, F.desc(by), tie], "_n")
+    first = few(numbered.groupBy(scene).agg(F.min("_n").alias("_first")))
+    return numbered.join(first, scene).withColumn("rank", (F.col("_n") - F.col("_first") + 1).cast("int")).drop("_n", "_first")
 
 
 def top_k(rows: DataFrame, k: int | None, by: str = "quality", tie: str = "name") -> DataFrame:
@@ -47,8 +52,9 @@ def percent_vs_mean(rows: DataFrame, metrics=METRICS, scene: str = "scene") -> D
 
 
 def best_input(rows: DataFrame, scene: str = "scene") -> DataFrame:
-    nth = F.row_number().over(Window.partitionBy(scene).orderBy(F.desc("resolution_score"), "name"))
-    return rows.where("role = 'input'").withColumn("_n", nth).where("_n = 1").drop("_n")
+    """The input of best score (then first name) of each scene, by a partial minimum."""
+    order, row = F.struct((-F.col("resolution_score")).alias("s"), "name"), F.struct(*rows.columns)
+    return rows.where("role = 'input'").groupBy(F.col(scene).alias("_scene")).agg(F.min_by(row, order).alias("r")).select("r.*")
 
 
 def fusion_weights(rows: DataFrame, scene: str = "scene") -> DataFrame:

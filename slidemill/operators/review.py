@@ -176,15 +176,22 @@ def visible_labels(boxes: DataFrame) -> DataFrame:
     return boxes.groupBy("file_name").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("label", F.lit("")))), "|").alias("labels"))
 
 
-def hit_test(boxes: DataFrame, points: DataFrame, hidden: DataFrame | None = None) -> DataFrame:
-    """For each point ``(file_name, px, py[, selected])`` the last box that holds it; boxes of hidden labels only if selected."""
+def hit_test(boxes: DataFrame, points: DataFrame, hidden: DataFrame | None = None, cell: int = 256) -> DataFrame:
+    """For each point ``(file_name, px, py[, selected])`` the last box that holds it; boxes of hidden labels only if selected.
+
+    A box goes to every grid cell it touches, a point to its own, and only what shares a cell meets.
+    """
     p = points if "selected" in points.columns else points.withColumn("selected", F.lit(None).cast("string"))
     b = boxes.withColumn("_hidden", F.lit(False))
     if hidden is not None:
         b = boxes.join(hidden.select("file_name", "label").distinct().withColumn("_h", F.lit(True)), ["file_name", "label"], "left").withColumn("_hidden", F.coalesce("_h", F.lit(False)))
+    at = lambda c: F.floor(c / cell).cast("long")
+    b = b.where("w >= 0 and h >= 0").select("file_name", "ord", "id", "x", "y", "w", "h", "_hidden", F.explode(F.sequence(at(F.col("x")), at(F.col("x") + F.col("w")))).alias("_gx"))
+    b = b.withColumn("_gy", F.explode(F.sequence(at(F.col("y")), at(F.col("y") + F.col("h")))))
+    p = p.withColumns({"_gx": at(F.col("px")), "_gy": at(F.col("py"))})
     inside = (F.col("px") >= F.col("x")) & (F.col("px") <= F.col("x") + F.col("w")) & (F.col("py") >= F.col("y")) & (F.col("py") <= F.col("y") + F.col("h"))
     seen = ~F.col("_hidden") | (F.col("id") == F.col("selected"))
-    return p.join(b, "file_name").where(inside & F.coalesce(seen, F.lit(False))).groupBy("file_name", "px", "py").agg(F.max_by("id", "ord").alias("id"), F.max("ord").alias("ord"))
+    return p.join(b, ["file_name", "_gx", "_gy"]).where(inside & F.coalesce(seen, F.lit(False))).groupBy("file_name", "px", "py").agg(F.max_by("id", "ord").alias("id"), F.max("ord").alias("ord"))
 
 
 def next_pending(boxes: DataFrame, current: DataFrame, wrap: bool = True) -> DataFrame:

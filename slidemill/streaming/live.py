@@ -10,6 +10,7 @@ from slidemill.functions.scalars import file_name, has_extension, suffix, triple
 from slidemill.operators import catalog, review
 from slidemill.plans.lineage import cut
 from slidemill.schemas import CATALOG, CATALOG_COLUMNS, EDIT, EXTENSIONS
+from slidemill.sources.tables import replace, stored
 
 
 def new_files(spark: SparkSession, folder: str, command: str = "db") -> DataFrame:
@@ -35,23 +36,6 @@ def fold_edits(edits: DataFrame) -> DataFrame:
 # ---- a review as a table of batches ----
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table of batches, empty before the first."""
-    try:
-        df = spark.read.schema(schema).parquet(path)
-        df.schema  # noqa: B018  resolves the path
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
-    return df
-
-
-def _replace(df: DataFrame, path: str, by: list[str]) -> None:
-    """Write rows, overwriting just the partitions ``by`` that they have; files appear when the whole job commits."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
-
 LOG = EDIT.replace("array<int>", "array<bigint>") + ", span bigint, batch bigint"
 #: Edits of one folder of the log: a reader of the tail skips the folders before it.
 SPAN = 1_000_000
@@ -62,14 +46,14 @@ def record(edits: DataFrame, store: str, checkpoint: str, **trigger) -> Streamin
 
     def keep(batch: DataFrame, number: int) -> None:
         rows = batch.withColumns({"bbox": F.col("bbox").cast("array<bigint>"), "span": F.expr(f"seq div {SPAN}"), "batch": F.lit(number).cast("long")})
-        _replace(rows, f"{store}/log", ["span", "batch"])
+        replace(rows, f"{store}/log", ["span", "batch"])
 
     return edits.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()
 
 
 def log_after(spark: SparkSession, store: str, seq: int, files: list[str] | None = None) -> DataFrame:
     """Recorded edits behind ``seq``; whole spans before it are not listed for reading. With ``files`` only theirs and bulk actions of all."""
-    log = _stored(spark, f"{store}/log", LOG).where((F.col("span") >= (seq // SPAN)) & (F.col("seq") > seq)).drop("span", "batch")
+    log = stored(spark, f"{store}/log", LOG).where((F.col("span") >= (seq // SPAN)) & (F.col("seq") > seq)).drop("span", "batch")
     return log if files is None else log.where(F.col("file_name").isin(files) | F.col("file_name").isNull() | (F.col("file_name") == ""))
 
 
@@ -78,7 +62,7 @@ SNAPSHOT = "file_name string, ord bigint, id string, x bigint, y bigint, w bigin
 
 def _upto(spark: SparkSession, store: str) -> int | None:
     """The ``seq`` of the newest whole snapshot: its row in ``heads`` is written after its boxes."""
-    return _stored(spark, f"{store}/heads", "upto bigint").agg(F.max("upto")).first()[0]
+    return stored(spark, f"{store}/heads", "upto bigint").agg(F.max("upto")).first()[0]
 
 
 def current(spark: SparkSession, boxes: DataFrame, store: str, files: list[str] | None = None) -> DataFrame:
@@ -87,7 +71,7 @@ def current(spark: SparkSession, boxes: DataFrame, store: str, files: list[str]
     With ``files`` only those are read: snapshots are sorted by file, so the others are skipped by their statistics.
     """
     upto = _upto(spark, store)
-    held = boxes.select(review.BOX_COLUMNS) if upto is None else _stored(spark, f"{store}/snapshots", SNAPSHOT).where(F.col("upto") == upto).drop("upto")
+    held = boxes.select(review.BOX_COLUMNS) if upto is None else stored(spark, f"{store}/snapshots", SNAPSHOT).where(F.col("upto") == upto).drop("upto")
     held = held if files is None else held.where(F.col("file_name").isin(files))
     return review.replay(held, log_after(spark, store, -1 if upto is None else upto, files))
 
@@ -101,10 +85,10 @@ def compact(spark: SparkSession, boxes: DataFrame, store: str, upto: int) -> Dat
     before = _upto(spark, store)
     if before is not None and before >= upto:
         return current(spark, boxes, store)
-    held = boxes.select(review.BOX_COLUMNS) if before is None else _stored(spark, f"{store}/snapshots", SNAPSHOT).where(F.col("upto") == before).drop("upto")
+    held = boxes.select(review.BOX_COLUMNS) if before is None else stored(spark, f"{store}/snapshots", SNAPSHOT).where(F.col("upto") == before).drop("upto")
     now = review.replay(held, log_after(spark, store, -1 if before is None else before).where(F.col("seq") <= upto))
     rows = now.withColumns({c: F.col(c).cast("long") for c in ("ord", "x", "y", "w", "h")} | {"upto": F.lit(upto).cast("long")})
-    _replace(rows.repartitionByRange("file_name", "ord").sortWithinPartitions("file_name", "ord"), f"{store}/snapshots", ["upto"])
+    replace(rows.repartitionByRange("file_name", "ord").sortWithinPartitions("file_name", "ord"), f"{store}/snapshots", ["upto"])
     spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(f"{store}/heads")
     return current(spark, boxes, store)
 
@@ -116,7 +100,7 @@ CATALOG_LOG = CATALOG + ", batch bigint"
 
 def catalogue(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
     """The catalogue of an ingested folder: of each path the row of its last batch (before ``before``, if given)."""
-    rows = _stored(spark, store, CATALOG_LOG)
+    rows = stored(spark, store, CATALOG_LOG)
     rows = rows if before is None else rows.where(F.col("batch") < before)
     newest = rows.groupBy("raw_path").agg(F.max_by(F.struct(*(c for c in CATALOG_COLUMNS if c != "raw_path")), "batch").alias("r"))
     return newest.select("raw_path", "r.*").select(CATALOG_COLUMNS)
@@ -138,6 +122,6 @@ def ingest(spark: SparkSession, raw_root: str, store: str, checkpoint: str, flat
         prior = catalogue(spark, store, number)
         hashes = lambda paths: paths.join(f.select("raw_path", F.col("content").alias("image_id")), "raw_path")
         run = catalog.status_rows(f, prior, prior.select("canonical_name"), flat_root=flat_root, hashes=hashes)
-        _replace(run.where("status <> 'skipped_unchanged'").withColumn("batch", F.lit(number).cast("long")), store, ["batch"])
+        replace(run.where("status <> 'skipped_unchanged'").withColumn("batch", F.lit(number).cast("long")), store, ["batch"])
 
     return new_files(spark, raw_root).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True}).start()

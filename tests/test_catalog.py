@@ -131,10 +131,10 @@ def test_unchanged_files_are_not_opened(spark, tmp_path, monkeypatch):
     raw.mkdir(parents=True)
     for i in range(4):
         (raw / f"{i}.png").write_bytes(b"content %d" % i)
-    opened, plain = [], files.contents_of
-    monkeypatch.setattr(files, "contents_of", lambda spark, paths: (opened.append(paths.count()), plain(spark, paths))[1])
+    opened, plain = [], files.hash_files
+    monkeypatch.setattr(files, "hash_files", lambda paths: (opened.append(paths.count()), plain(paths))[1])
     api.build_catalog(spark, str(tmp_path / "data" / "raw"), str(tmp_path / "none"), str(tmp_path / "flat"), str(tmp_path / "index"))
-    assert opened == [4, 4]
+    assert opened == [4]
     (raw / "2.png").write_bytes(b"other content")
     opened.clear()
     _, summary = api.build_catalog(spark, str(tmp_path / "data" / "raw"), str(tmp_path / "index"), str(tmp_path / "flat"))
@@ -164,3 +164,91 @@ def test_documents_of_a_review(spark, tmp_path):
     head = next((tmp_path / "metrics").glob("part-*.csv")).read_text().splitlines()
     assert head[0].startswith("name,role,width,height,laplacian_variance") and head[1].startswith("v1,input,")
     assert tuple(exports.proposal_totals(images, boxes, images.limit(1), boxes.limit(2)).first()) == (2, 1, 4, 3)
+
+
+def test_a_changed_file_rewrites_its_parasite_only(spark, tmp_path):
+    from slidemill.sources import tables
+
+    cols = "raw_path string, microscope string, parasite string, user string, raw_filename string, ext string, size_bytes long, mtime_epoch long, content string"
+    files = [(f"/r/{p}{i}", "m", p, "u", f"{p}{i}.png", ".png", 1, 1, f"{p}{i}") for p in ("1", "egg", "worm") for i in range(3)]
+    none = spark.createDataFrame([], "canonical_name string")
+    step = lambda rows: catalog.status_rows(spark.createDataFrame(rows, cols), tables.catalog_table(spark, store), none)
+    store = str(tmp_path / "c")
+    assert tables.update_catalog(spark, store, step(files)).count() == 9
+    changed = [(*f[:6], 2, 2, "other") if f[0] == "/r/egg1" else f for f in files]
+    # a run lost before its heads are written leaves the old version
+    heads = tables.stored(spark, f"{store}/heads", tables.HEADS).count()
+    tables.replace(spark.createDataFrame([("x", "m", "egg", "u", "/r/lost", "l", ".png", 1, 1, "c", "f", "new", 2)], tables.CATALOG_ROWS), f"{store}/rows", ["parasite", "version"])
+    assert tables.catalog_table(spark, store).count() == 9
+    out = {r.raw_path: (r.size_bytes, r.status) for r in tables.update_catalog(spark, store, step(changed)).collect()}
+    assert len(out) == 9 and out["/r/egg1"] == (2, "updated") and out["/r/egg0"] == (1, "new")
+    assert tables.stored(spark, f"{store}/heads", tables.HEADS).count() == heads + 1
+    assert sorted(p.parent.name + "/" + p.name for p in (tmp_path / "c" / "rows").glob("parasite=*/version=*")) == ["parasite=1/version=1", "parasite=egg/version=1", "parasite=egg/version=2", "parasite=worm/version=1"]
+
+
+def test_a_failed_task_leaves_no_file(spark, tmp_path):
+    import pytest
+
+    from slidemill.sources import sinks
+
+    (tmp_path / "there").write_bytes(b"x" * 3_000_000)
+    rows = [(str(tmp_path / "there"), "a.png", None), (str(tmp_path / "missing"), "b.png", None), ("text", "c.txt", bytearray(b"c"))]
+    df = spark.createDataFrame(rows, "raw_path string, name string, content binary")
+    with pytest.raises(Exception, match="missing"):
+        sinks.put_files(df, str(tmp_path / "out"))
+    assert not [p for p in (tmp_path / "out").rglob("*") if p.is_file()]
+    assert sorted(r.copied for r in sinks.put_files(df.where("name <> 'b.png'"), str(tmp_path / "out")).collect()) == [True, True]
+    assert sorted(r.copied for r in sinks.put_files(df.where("name <> 'b.png'"), str(tmp_path / "out")).collect()) == [False, False]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a.png", "c.txt"] and (tmp_path / "out" / "a.png").stat().st_size == 3_000_000
+
+
+def test_table_functions_equal_the_operators(spark, sf):
+    import pytest
+
+    from slidemill.functions import tables
+    from slidemill.operators import boxes as B
+    from slidemill.operators import tiles
+
+    tables.register(spark)
+    b = P.boxes(spark, sf).select("image_id", "ord", "x", "y", "w", "h", "confidence")
+    b.createOrReplaceTempView("some_boxes")
+    got = spark.sql("SELECT image_id, ord FROM suppress(TABLE(some_boxes) PARTITION BY image_id ORDER BY (confidence DESC, ord), 3, 10)")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, B.nms(b).select("image_id", "ord").collect()))
+    images = P.images(spark, sf)
+    images.createOrReplaceTempView("some_images")
+    got = spark.sql("SELECT image_id, t.r0, t.c0 FROM some_images, LATERAL tile_grid(CAST(width AS INT), CAST(height AS INT), 512, 256) t")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, tiles.grid(images, 512, 256).select("image_id", "r0", "c0").collect()))
+    with pytest.raises(Exception, match="boxes lack"):
+        spark.sql("SELECT * FROM suppress(TABLE(some_images) PARTITION BY image_id)").collect()
+
+
+def test_rank_of_one_scene_of_all_rows(spark):
+    from slidemill.operators import quality
+
+    rows = [("s", f"n{i:03}", (i * 37 % 50) / 10) for i in range(300)] + [("t", "only", 1.0)]
+    got = {(r.scene, r.name): r.rank for r in quality.rank(spark.createDataFrame(rows, "scene string, name string, resolution_score double").repartition(7)).collect()}
+    want = {(s, n): i for i, (s, n, _) in enumerate(sorted((r for r in rows if r[0] == "s"), key=lambda r: (-r[2], r[1])), 1)}
+    assert got == want | {("t", "only"): 1}
+
+
+def test_hit_test_equals_all_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    boxes = [("f", i, f"b{i}", r.randrange(-50, 900), r.randrange(900), r.randrange(400), r.randrange(400), r.choice(["egg", "noise"]), "approved", "m", 0.5) for i in range(80)]
+    points = [("f", r.randrange(1000) + r.choice([0.0, 0.5]), float(r.randrange(1000)), r.choice([None, "b7"])) for _ in range(60)] + [("g", 1.0, 1.0, None), ("f", float(boxes[3][3] + boxes[3][5]), float(boxes[3][4] + boxes[3][6]), None)]
+    hidden = spark.createDataFrame([("f", "noise")], "file_name string, label string")
+    got = {(x.px, x.py): x.id for x in review.hit_test(spark.createDataFrame(boxes, BOX), spark.createDataFrame(points, "file_name string, px double, py double, selected string").dropDuplicates(["px", "py"]), hidden, cell=100).collect()}
+    seen = spark.createDataFrame(points, "file_name string, px double, py double, selected string").dropDuplicates(["px", "py"]).collect()
+    want = {}
+    for p in seen:
+        held = [b for b in boxes if p.file_name == "f" and b[3] <= p.px <= b[3] + b[5] and b[4] <= p.py <= b[4] + b[6] and (b[7] != "noise" or b[2] == p.selected)]
+        if held:
+            want[p.px, p.py] = max(held, key=lambda b: b[1])[2]
+    assert got == want and want
+
+
+def test_a_missing_folder_has_no_images(spark, tmp_path):
+    from slidemill.sources import files
+
+    assert files.image_files(spark, str(tmp_path / "none"), "db").count() == 0

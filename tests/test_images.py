@@ -112,7 +112,7 @@ def test_raw_tree_catalogue_csv_and_copies(spark, tmp_path):
     prior = files.read_catalog(spark, str(tmp_path / "none.csv"))
     run = catalog.status_rows(good, prior, prior.select("canonical_name"))
     assert sorted(r.status for r in run.collect()) == ["duplicate", "new", "new"]
-    assert sorted(r.copied for r in sinks.copy_new(run, good, str(tmp_path / "flat")).collect()) == [True, True]
+    assert sorted(r.copied for r in sinks.copy_new(run, str(tmp_path / "flat")).collect()) == [True, True]
     sinks.write_catalog(catalog.upsert(prior, run), str(tmp_path / "index"))
     stored = files.read_catalog(spark, str(tmp_path / "index"))
     again = catalog.status_rows(good, stored, stored.select("canonical_name"))
