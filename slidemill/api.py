@@ -73,12 +73,13 @@ def propose_boxes(spark: SparkSession, folder: str, prior_json: str | None = Non
     return images, annotations
 
 
-def review_state(images: DataFrame, annotations: DataFrame, edits: DataFrame | None = None, saved: DataFrame | None = None) -> DataFrame:
-    """Current boxes: proposals, resumed from a saved review, with the edit log replayed."""
+def review_state(images: DataFrame, annotations: DataFrame, edits: DataFrame | None = None, saved: DataFrame | None = None, file_name: str | None = None) -> DataFrame:
+    """Current boxes (of one file, if given): proposals, resumed from a saved review, with the edit log replayed."""
     boxes = review.initial_boxes(images, annotations)
     if saved is not None:
         boxes = review.resume(boxes, saved)
-    return boxes if edits is None else review.replay(boxes, edits)
+    boxes = boxes if edits is None else review.replay(boxes, edits)
+    return boxes if file_name is None else review.boxes_of(boxes, file_name)
 
 
 def save_review(boxes: DataFrame, images: DataFrame, target: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,8 @@ from slidemill.functions import scalars as S
 from slidemill.operators import boxes as B
 from slidemill.operators import catalog, exports, quality, rasters, review, tiles
 from slidemill.plans import proxies as P
-from slidemill.plans.lineage import cut
+from slidemill.plans.lineage import cut, shared_folder
+from slidemill.sources import files, sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +63,16 @@ def catalog_upsert(spark, sf_dir):
     return out.select("raw_path", "image_id", "size_bytes", "mtime_epoch", "canonical_name", "status")
 
 
+@query(ORACLES["catalog_upsert"])
+def catalog_in_place(spark, sf_dir):
+    """The catalogue kept as a table: the earlier one, then the run, which writes the changed parasites again."""
+    store = f"{shared_folder(spark)}/catalogue-{uuid.uuid4().hex}"
+    tables.update_catalog(spark, store, P.prior(P.files(spark, sf_dir)))
+    f = P.files(spark, sf_dir)
+    out = tables.update_catalog(spark, store, catalog.status_rows(f.drop("doc_id"), tables.catalog_table(spark, store), P.listing(f)))
+    return out.select("raw_path", "image_id", "size_bytes", "mtime_epoch", "canonical_name", "status")
+
+
 @query(f"WITH {P.FILE_SQL} SELECT raw_path, {P.CANON('h')} AS canonical_name FROM file")
 def canonical_names(spark, sf_dir):
     return P.files(spark, sf_dir).select("raw_path", S.canonical_name(F.col("microscope"), F.col("parasite"), F.col("user"), F.sha2("content", 256), F.col("ext")).alias("canonical_name"))
@@ -260,6 +272,23 @@ def review_replay_all(spark, sf_dir):
     return review.replay(P.edit_boxes(spark, sf_dir), P.all_edits(spark, sf_dir)).select("id", "status", "label")
 
 
+@query(ORACLES["review_replay_all"])
+def review_tail(spark, sf_dir):
+    """A snapshot in the middle of the log, and the edits behind it."""
+    edits = P.all_edits(spark, sf_dir)
+    middle = edits.agg((F.min("seq") + F.max("seq")) / 2).first()[0] or 0
+    snapshot = cut(review.replay(P.edit_boxes(spark, sf_dir), edits.where(F.col("seq") <= middle)))
+    return review.replay(snapshot, edits.where(F.col("seq") > middle)).select("id", "status", "label")
+
+
+@query(f"WITH {P.IMG_SQL}, {P.BOX_SQL} SELECT file_name, x, y, w, h, label, status, method FROM box")
+def review_document(spark, sf_dir):
+    """The review written as one document in parts, and read again."""
+    path = f"{shared_folder(spark)}/review-{uuid.uuid4().hex}"
+    sinks.write_document(exports.annotations_document(P.images(spark, sf_dir), P.boxes(spark, sf_dir), "slidemill"), path)
+    return files.read_annotations(spark, path).select("file_name", *(F.col(c).cast("long").alias(c) for c in "xywh"), "label", "status", "method")
+
+
 @query(f"WITH {P.BOX_SQL} SELECT file_name, ord, CASE WHEN status = 'pending' THEN 'approved' ELSE status END AS status FROM box")
 def bulk_update(spark, sf_dir):
     return review.bulk_update(P.boxes(spark, sf_dir), "approved")[0].select("file_name", "ord", "status")
@@ -410,6 +439,13 @@ def quality_rank(spark, sf_dir):
     return quality.rank(scored).select("scene", "name", "rank")
 
 
+@query(_METRICS + " SELECT name, CAST(row_number() OVER (ORDER BY round(quality, 9) DESC, name) AS INTEGER) AS rank FROM m")
+def quality_rank_all(spark, sf_dir):
+    """All images as one scene."""
+    m = _metrics(spark, sf_dir).withColumns({"resolution_score": F.round("quality", 9), "scene": F.lit("all")})
+    return quality.rank(m).select("name", "rank")
+
+
 @query(_METRICS + """, a AS (SELECT scene, avg(lap) AS lap, avg(ten) AS ten FROM m WHERE role = 'input' GROUP BY scene)
 SELECT m.scene AS scene, round(CASE WHEN abs(a.lap) > 1e-8 THEN 100.0e0 * (m.lap - a.lap) / a.lap END, 6) AS pct_laplacian_variance, round(CASE WHEN abs(a.ten) > 1e-8 THEN 100.0e0 * (m.ten - a.ten) / a.ten END, 6) AS pct_tenengrad
 FROM m JOIN a ON a.scene = m.scene WHERE role = 'output'""")

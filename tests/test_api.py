@@ -23,6 +23,8 @@ def test_commands_over_folders(spark, tmp_path):
     assert once.count() == 2 and same.count() == annotations.count()
     boxes = api.review_state(*api.files.read_proposals(spark, str(proposals)))
     assert {r.label for r in boxes.collect()} == {"egg"} and boxes.count() == annotations.count()
+    one = boxes.first().file_name
+    assert {r.id for r in api.review_state(*api.files.read_proposals(spark, str(proposals)), file_name=one).collect()} == {r.id for r in boxes.collect() if r.file_name == one}
     approved, _ = review.bulk_update(boxes, "approved")
     assert exports.coco_export(images, approved).count() == boxes.count()
     assert api.tile_images(spark, str(flat), parasite="nothing").count() == 0
