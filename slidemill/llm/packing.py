@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import checkpoint, trimmed
+from slidemill.llm.common import checkpoint, slices, trim, trimmed
 from slidemill.llm.tokens import WordCoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -22,8 +22,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 1) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCoder(tokenizer_path, lengths_only=False)
+        trim()  # the file's text and its parsed form are no longer needed
         tail, step = end_id.to_bytes(4, "little"), 4 * size
-        for batch in batches:
+        for batch in slices(batches):
             doc_ids = batch.column(0).to_pylist()
             rows: list[tuple] = []
             at, ids = -1, bytearray()

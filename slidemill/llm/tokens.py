@@ -33,6 +33,7 @@ def splits_at_blanks(file: dict) -> bool:
         [(n["type"], (n.get("pattern") or {}).get("Regex")) for n in normal.get("normalizers", [])] == NORMAL
         and first.get("type") == "Split" and first.get("pattern") == {"Regex": SPLIT} and first.get("behavior") == "Removed" and first.get("invert") is True
         and second.get("type") == "ByteLevel" and not second.get("add_prefix_space") and second.get("use_regex") is False
+        and all(t["content"].startswith("<|") and not re.search(r"\s", t["content"]) for t in file.get("added_tokens") or [])  # such words go to the library whole
         and len(split["pretokenizers"]) == 2 and model.get("type") == "BPE" and not any(file.get(k) for k in ("truncation", "padding", "post_processor"))
     )
 
@@ -65,7 +66,7 @@ class WordCoder:
     """Token ids (or their number) of blank-separated words, remembered for words seen before.
 
     That is for files that drop white space (``splits_at_blanks``); with any other file whole texts go to the library, in
-    batches of about as many bytes. Words are split further only where the tokenizer's own pattern always splits (between an all-letter run and
+    batches of about as many bytes. For their number, words are encoded in such batches as they are. For ids, words are split further, only where the tokenizer's own pattern always splits (between an all-letter run and
     printable ASCII signs or digits); anything else goes to the library whole. Memory stays bounded: both
     memories are emptied when they hold ``limit`` entries.
     """
@@ -113,6 +114,9 @@ class WordCoder:
             self.words.clear()
         if len(self.pieces) > self.limit:
             self.pieces.clear()
+        if self.join is sum:  # lengths alone: distinct words in batches
+            self._whole(list(words), self.words)
+            return
         plain, split, runs, pieces = [], {}, set(), self.pieces
         for word in words:
             if word.isalpha():  # most words are one run

@@ -1,5 +1,6 @@
 """Operators on single texts, against brute force: PII, licences, tokens, packing, fingerprints."""
 
+from pathlib import Path
 import hashlib
 import os
 import re
@@ -349,3 +350,20 @@ def test_word_hashes_tell_words_apart(parts, block):
     h = jaccard.word_hashes(text)
     assert h.tolist() == jaccard.word_hashes(text, block).tolist() and len(h) == len(words)
     assert len({w for w in words}) == len(set(h.tolist())) == len(set(zip(words, h.tolist(), strict=True)))
+
+
+def test_token_counts_of_a_file_with_an_added_word(spark, tmp_path):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = json.loads(Path(public_tokenizers.path("word_bpe_49k.json")).read_text())
+    file["added_tokens"].append({"id": 49408, "content": "zebra", "single_word": False, "lstrip": False, "rstrip": False, "normalized": True, "special": False})
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file))
+    texts = ["a zebra, zebras and xzebrax", "zebra zebra", "", "no horse"]
+    tok = Tokenizer.from_file(str(other))
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), str(other)).collect()}
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert not tokens.splits_at_blanks(file)
