@@ -1,7 +1,8 @@
 """A training corpus from ``documents``: drop toxic texts, near copies, personal data; mix sources; pack.
 
 ``STAGES`` are applied in order, each over all rows its predecessor kept. All but the last return the columns of
-``documents``, extra ones included; the last returns the packed pieces. An empty table passes through all of them.
+``documents``, extra ones included; the last returns the packed pieces. An empty table passes through all of them. The stages
+set the session's Arrow batches to ``BATCH_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -20,11 +21,20 @@ from slidemill.llm.queries import TOKENIZER, WEIGHTS
 from slidemill.llm.toxicity import drop_toxic
 
 
+#: Rows of a batch that Spark hands to Python. Documents are long: the default of ten thousand makes batches of tens of MB on both sides.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go.
 
     Null and empty texts have no evidence and stay; rows of null ids and repeated rows are judged by their texts.
     """
+    small_batches(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"), threshold=0.5)
 
 
@@ -34,11 +44,13 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts link with nothing and stay; of rows that repeat an id (or a null id) and its text one stays;
     rows of null ids are not compared with others.
     """
+    small_batches(spark)
     return keep_one(docs, size=5, num=80, den=100)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind; ``n_chars`` follows. Rows are neither dropped nor added, null texts stay null."""
+    small_batches(spark)
     return redact(docs)
 
 
@@ -47,11 +59,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts have no tokens, null languages and sources are the value ''; rows that repeat an id stay or go together.
     """
+    small_batches(spark)
     return keep_mixed(docs, WEIGHTS, share=(9, 10))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens. Null and empty texts are one piece, the end id; repeated rows are packed as often as they stand."""
+    small_batches(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
 
 
