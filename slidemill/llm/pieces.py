@@ -63,6 +63,11 @@ def read_model(path: str) -> tuple[list[tuple[str, float, int]], dict[int, int |
     return pieces, trainer
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class PieceCoder:
     """Ids of texts, and texts of ids, for one model file.
 
@@ -72,7 +77,7 @@ class PieceCoder:
     unknown signs, user-defined or unused pieces, space signs at the end of words) is refused with ``ValueError``.
     """
 
-    def __init__(self, path: str, limit: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, limit: int = 600_000, longest: int = 64):
         from sentencepiece import SentencePieceProcessor
 
         pieces, trainer = read_model(path)
@@ -98,9 +103,11 @@ class PieceCoder:
         self.end = self.library.eos_id()
         self.prefix = self.library.normalize("a") == SPACE + "a"
         self.near = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.known: dict[str, bytes] = {}
+        self.sign, self.mark = next((p, i) for p, i in self.ids.items() if len(p) == 1 and p.isalpha() and p.isascii())
+        self.known: dict[str, tuple[bytes, str]] = {}
         self.parts: dict[str, bytes] = {}
         self.doubt: set[str] = set()
+        self.decoded: list[str] = []
         self.as_library: list[bool] = []
         self.limit, self.longest = limit, longest
 
@@ -111,7 +118,7 @@ class PieceCoder:
             if i == len(unit) or unit[i - 1 : i + 1] not in near:
                 part = unit[at:i]
                 if (ids := self.parts.get(part)) is None:
-                    ids = np.array(self.segment(part), "<i4").tobytes()
+                    ids = packed(self.segment(part))
                     if len(part) <= self.longest:
                         self.parts[part] = ids
                 out.append(ids)
@@ -152,8 +159,21 @@ class PieceCoder:
                 out.extend((i,) if 0 <= i < self.first_sign else map(self.byte.__getitem__, c.encode()))
         return out
 
+    def learn(self, new: list[str]) -> dict[str, tuple[bytes, str]]:
+        """Ids and text of units not met before, held against the library's word on them in one call each way."""
+        ids = list(map(self.spell, new))
+        lists = [memoryview(i).cast("i").tolist() for i in ids]
+        # each unit is decoded behind a sign of its own kind, so that its space sign stays
+        texts = [self.decode([self.mark, *i])[1:] for i in lists]
+        theirs = self.library.encode([u[1:].replace(SPACE, " ") if self.prefix else u for u in new], num_threads=1)
+        self.doubt.update(u for u, i, j in zip(new, lists, theirs, strict=True) if i != j)
+        # all of them in one list, each behind the sign
+        if self.library.decode([i for ids_ in lists for i in (self.mark, *ids_)]) != "".join(self.sign + t for t in texts):
+            self.doubt.update(u for u, i, t in zip(new, lists, texts, strict=True) if self.library.decode([self.mark, *i])[1:] != t)
+        return dict(zip(new, zip(ids, texts, strict=True), strict=True))
+
     def encode(self, texts: list[str], end: bool = True) -> list[bytes]:
-        """Little-endian 32-bit ids of every text; see ``as_library`` for the texts of the last call."""
+        """Little-endian 32-bit ids of every text. ``decoded`` then holds the texts of those ids, ``as_library`` whether the library agrees."""
         held = [self.units(self.library.normalize(t)) if t else [] for t in texts]
         new = {u for units in held for u in units}
         new.difference_update(self.known)
@@ -162,20 +182,21 @@ class PieceCoder:
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
             new = {u for units in held for u in units}
-        order = list(new)
-        ids = list(map(self.spell, order))
-        known = dict(zip(order, ids, strict=True))
-        self.known.update((u, i) for u, i in known.items() if len(u) <= self.longest)
-        # the library's word on the new units of this batch; it puts its own space sign before each
-        said = self.library.encode([u[1:].replace(SPACE, " ") if self.prefix else u for u in order], num_threads=1)
-        self.doubt.update(u for u, mine, theirs in zip(order, ids, said, strict=True) if mine != np.array(theirs, "<i4").tobytes())
-        get = lambda u: self.known.get(u) or known[u]
-        tail = np.array([self.end] * end, "<i4").tobytes()
-        out = [b"".join(map(get, units)) + tail for units in held]
-        self.as_library = [True] * len(texts)
-        if self.doubt:  # a unit that the library splits otherwise when it stands alone: its texts are asked for as a whole
-            for i in [i for i, units in enumerate(held) if not self.doubt.isdisjoint(units)]:
-                self.as_library[i] = out[i] == np.array(self.library.encode(texts[i], add_eos=end), "<i4").tobytes()
+        fresh = self.learn(list(new))
+        known = self.known
+        known.update((u, v) for u, v in fresh.items() if len(u) <= self.longest)
+        rare = {u: v for u, v in fresh.items() if len(u) > self.longest}
+        get = (lambda u: known.get(u) or rare[u]) if rare else known.__getitem__
+        tail = packed([self.end] * end)
+        out, self.decoded, self.as_library = [], [], [True] * len(texts)
+        for i, units in enumerate(held):
+            ids, said = zip(*map(get, units), strict=True) if units else ((), ())
+            out.append(b"".join(ids) + tail)
+            said = "".join(said)
+            self.decoded.append(said[1:] if self.prefix else said)
+            if self.doubt and not self.doubt.isdisjoint(units):  # the library sees such a unit otherwise when it stands alone: it is asked for the whole text
+                whole = self.library.encode(texts[i], add_eos=end)
+                self.as_library[i] = out[-1] == packed(whole) and self.library.decode(whole) == self.decoded[-1]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -224,7 +245,7 @@ def encode(docs: DataFrame, model_path: str, end: bool = True, decoded: bool = F
     """Ids of every whole text: ``(doc_id, ids, as_library)``, with ``decoded`` also ``decoded``, the text of those ids.
 
     One row per input row, in a narrow Arrow map without shuffle. The ids come from ``PieceCoder``. In each Arrow batch the
-    sentencepiece library encodes the units not met before (and decodes all ids) as well; ``as_library`` says whether both agree. Null text
+    sentencepiece library encodes the units not met before, and decodes their ids, as well; ``as_library`` says whether both agree. Null text
     counts as empty, which is the end id alone; null ids stay null; repeated rows repeat; a text without blanks is one
     unit, worked out in n log n steps. Other columns are not read; an empty table gives an empty result.
     """
@@ -235,14 +256,10 @@ def encode(docs: DataFrame, model_path: str, end: bool = True, decoded: bool = F
             at = 0
             for texts in _steps(pc.fill_null(batch.column(1), "")):
                 ids = coder.encode(texts, end)
-                same = coder.as_library
                 columns = [batch.column(0).slice(at, len(texts)), _lists(ids)]
                 if decoded:
-                    listed = [np.frombuffer(i, "<i4").tolist() for i in ids]
-                    back = list(map(coder.decode, listed))
-                    same = [ok and a == b for ok, a, b in zip(same, back, coder.library.decode(listed, num_threads=1), strict=True)]
-                    columns.append(pa.array(back, pa.string()))
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(same)], ["doc_id", "ids", *["decoded"] * decoded, "as_library"])
+                    columns.append(pa.array(coder.decoded, pa.string()))
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(coder.as_library)], ["doc_id", "ids", *["decoded"] * decoded, "as_library"])
                 at += len(texts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
