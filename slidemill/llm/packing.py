@@ -17,11 +17,11 @@ from slidemill.llm.tokens import WordCoder
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 1) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 1, remembered: int = 300_000) -> DataFrame:
     """Tokenise whole texts, append ``end_id`` and cut behind every ``size`` ids: ``(doc_id, start, length, ids_crc32, doc_tokens)``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(tokenizer_path, lengths_only=False)
+        coder = WordCoder(tokenizer_path, lengths_only=False, limit=remembered)
         trim()  # the file's text and its parsed form are no longer needed
         tail, step = end_id.to_bytes(4, "little"), 4 * size
         for batch in slices(batches):
@@ -88,7 +88,7 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int,
     return [(count, parts) for _, _, count, parts in [*done, *sorted(open_)]]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, buckets: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, buckets: int = 64, remembered: int = 300_000) -> DataFrame:
     """Pack all documents into sequences of at most ``size`` tokens.
 
     Returns one row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``. A document is
@@ -97,10 +97,11 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     per hash bucket first, so a length that a third of all pieces share is never one window, and slots are joined
     back by length and rank range (a pattern's repeats of a length are one slot of consecutive ranks).
     Null or empty text is the single piece ``[end_id]``; null ids stay null; repeated rows are packed as often as
-    they stand; an empty table gives no rows. Extra columns are not read.
+    they stand; an empty table gives no rows. Extra columns are not read. A task keeps the ids of about ``remembered`` words in
+    memory: fewer cost time, not rows.
     """
     spark = docs.sparkSession
-    cut = checkpoint(pieces(docs, tokenizer_path, size, end_id))
+    cut = checkpoint(pieces(docs, tokenizer_path, size, end_id, remembered))
     parts = max(1, min(100_000, cut.rdd.getNumPartitions()))
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots, base = [], 0
