@@ -66,7 +66,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens. Null and empty texts are one piece, the end id; repeated rows are packed as often as they stand."""
     small_batches(spark)
-    return pack(docs, public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
+    return pack(docs, public_tokenizers.path(TOKENIZER), size=2048, end_id=1, remembered=100_000)
 
 
 STAGES = [("toxicity", toxicity), ("ngram_jaccard", ngram_jaccard), ("pii", pii), ("mixing", mixing), ("packing", packing)]
