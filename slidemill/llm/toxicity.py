@@ -13,11 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slidemill.llm.common import bitmap, checkpoint, fit_logistic, fold, labelled, marked, slices, trim, trimmed
+from slidemill.llm.common import bitmap, checkpoint, fold, labelled, marked, slices, trim, trimmed
 from slidemill.llm.jaccard import WordHasher, _Known, _mix
 
 WORD = re.compile(r"[^\W_]+")
-BINS = 1000  # of the calibrated value, for each unit
+BINS = 1000  # of the calibrated root, for each unit
 LIMIT = 0.5  # beyond it values count as this
 STEM = 4  # letters of the class that a longer word backs off to
 EASE = 10  # words without evidence that every text is taken to hold besides its own
@@ -234,6 +234,33 @@ class Scorer:
         return float((np.sign(v) * np.maximum(np.abs(v) - self.dead, 0)).sum() / (len(words) + EASE))
 
 
+def fit_curve(points: list[tuple], ridge: float = 1e-3, rounds: int = 200) -> list[float]:
+    """Slopes and intercept of a logistic curve over counted points ``(x, ..., y, rows)``, by damped Newton steps.
+
+    The ridge is one for all rows together, so it fades as they grow: a share for each row keeps the curve too flat for
+    the values of long texts, which lie close to those of ordinary ones.
+    """
+    *x, y, n = (np.array(c, float) for c in zip(*points, strict=True))
+    x = np.array(x)
+    mid = x @ n / n.sum()
+    spread = np.sqrt((x - mid[:, None]) ** 2 @ n / n.sum())
+    spread = np.where(spread > 1e-9, spread, np.inf)
+    z = np.vstack([(x - mid[:, None]) / spread[:, None], np.ones(len(n))])
+    w, prior = np.zeros(len(z)), np.append(np.full(len(x), ridge), 1e-6)
+    loss = lambda w: float((n * (np.logaddexp(0, w @ z) - y * (w @ z))).sum() + (prior * w * w).sum() / 2)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(w @ z, -40, 40)))
+        step = np.linalg.solve((z * (n * np.maximum(p * (1 - p), 1e-9))) @ z.T + np.diag(prior), z @ (n * (p - y)) + prior * w)
+        size = 1.0
+        while size > 1e-4 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if abs(size * step).max() < 1e-9:
+            break
+    slopes = w[:-1] / spread
+    return [*slopes.tolist(), float(w[-1] - slopes @ mid)]
+
+
 def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_docs: int = 3, min_pair: int = 3, favour: float = 0.5, discount: float = 3.0, dead: float = 1.0, shared: int = 2_000_000, calibration_rows: int = 20) -> Callable[[DataFrame, str], DataFrame]:
     """Fit on the labelled rows outside fold ``held``; the result adds the score of ``text`` to a table as a column."""
     spark = docs.sparkSession
@@ -286,17 +313,18 @@ def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mi
         return joined.withColumn(name, value_with(text, F.col(f"p{tag}")["key"], F.col(f"p{tag}")["ratio"])).select(*rows.columns, name)
 
     limited = lambda c: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), c))
+    root = lambda c: F.signum(c) * F.sqrt(F.abs(limited(c)))
 
     def curve(rows: DataFrame) -> list[tuple[float, int, int]]:
-        seen = add_value(rows, "value").groupBy("y", F.floor(limited(F.col("value")) * BINS).alias("bin")).count().collect()
+        seen = add_value(rows, "value").groupBy("y", F.floor(root(F.col("value")) * BINS).alias("bin")).count().collect()
         return sorted(((r["bin"] + 0.5) / BINS, r["y"], r["count"]) for r in seen)
 
     points = curve(train.where(part == 0))
     if sum(n for _, y, n in points if y) < calibration_rows:
         points = curve(train)
     held_rows = [sum(n for _, y, n in points if y == k) for k in (0, 1)]
-    slope, shift = fit_logistic(points) if all(held_rows) else (1.0, math.log((held_rows[1] + 0.5) / (held_rows[0] + 1.5)))
-    return lambda rows, name: add_value(rows, name).withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * limited(F.col(name)) + F.lit(shift)))))
+    slope, shift = fit_curve(points) if all(held_rows) else (1.0, math.log((held_rows[1] + 0.5) / (held_rows[0] + 1.5)))
+    return lambda rows, name: add_value(rows, name).withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * root(F.col(name)) + F.lit(shift)))))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, threshold: float = 0.5, **model) -> DataFrame:
@@ -305,7 +333,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     Labels are learnt from rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held``; every fifth of
     those (by another digest) only calibrates. A text's value is the difference of its two log-likelihoods over all its
     words, divided by their number (and ``EASE`` more). A word counts with what its log ratio exceeds ``dead`` by:
-    smaller ratios tell language and topic. A logistic curve turns the value into the score. Expressions that neither
+    smaller ratios tell language and topic. A logistic curve over the value's root turns it into the score. Expressions that neither
     class knows back off to shared counts in both and cancel.
 
     Every word and class of ``min_docs`` toxic documents and every pair of ``min_pair`` keeps its own counts, however

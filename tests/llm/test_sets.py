@@ -305,6 +305,22 @@ def test_toxicity_values_equal_plain_kneser_ney(spark, docs, labels):
     assert s.value(toxicity.words_of("rotten scum1")) > 0.05
 
 
+def test_long_texts_of_few_toxic_words_are_found(spark):
+    # as in the driver's tables: a few texts full of insults, most with one or two among hundreds of words
+    r = random.Random(11)
+    rows = []
+    for i in range(1500):
+        words, toxic = [f"w{min(int(r.paretovariate(0.6)), 4000)}x" for _ in range(r.choice((60, 150, 300)))], i % 8 == 0
+        for _ in range((25 if i % 48 == 0 else 2) if toxic else 0):
+            words[r.randrange(len(words))] = r.choice(("scum", "trash", "moron", "loser"))
+        rows.append((i, " ".join(words), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    out = {x.doc_id: x for x in toxicity.toxicity(df, df).collect()}
+    own = [out[i] for i, _, _ in rows if out[i].held_out]
+    assert sum(x.predicted for x in own if x.doc_id % 8 == 0) >= 0.9 * sum(x.doc_id % 8 == 0 for x in own)
+    assert sum(x.predicted for x in own if x.doc_id % 8) <= 3
+
+
 def test_rare_toxic_words_keep_their_counts_in_a_large_corpus(spark):
     # about 456,000 (document, word) pairs
     r = random.Random(7)
