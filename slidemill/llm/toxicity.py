@@ -18,6 +18,7 @@ from slidemill.llm.jaccard import WordHasher, _Known, _mix
 
 WORD = re.compile(r"[^\W_]+")
 BINS = 1000  # of the calibrated root, for each unit
+WEAK_BINS = 200  # of the calibrated mean of small ratios, for each unit
 LIMIT = 0.5  # beyond it values count as this
 STEM = 4  # letters of the class that a longer word backs off to
 EASE = 10  # words without evidence that every text is taken to hold besides its own
@@ -113,19 +114,60 @@ def class_totals(train: DataFrame, words: DataFrame) -> tuple[DataFrame, list[in
     return words.join(sums.where("total = 0").drop("total"), "key"), of("d0"), of("d1")
 
 
-def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float, discount: float) -> DataFrame:
+def own_words(train: DataFrame, discount: float) -> tuple[DataFrame, list[int]]:
+    """``key, class, is_class`` of all words and classes that either class's texts hold more often than its discount; the words of each class.
+
+    A word stands behind no more distinct words than it has places, so every other word has no count of its own left in
+    either class, and both models give it the same backoff.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, stems = WordHasher(), StemHasher()
+        for batch in slices(batches):
+            cols: list[list] = [[], [], [], []]  # key, class, whether the key is one, y
+            totals = np.zeros(2, np.int64)
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                totals[y] += len(words)
+                if words:
+                    h, s = hasher(words), stems(words)
+                    of = s[s > 0]
+                    for col, part in zip(cols, ((h, of), (s, np.zeros_like(of)), (np.zeros(len(h), np.int8), np.ones(len(of), np.int8)), (np.full(len(h) + len(of), y, np.int8),)), strict=True):
+                        col.extend(part)
+            key, above, kind, y = (np.concatenate(c) if c else np.empty(0, t) for c, t in zip(cols, (np.uint64, np.uint64, np.int8, np.int8), strict=True))
+            key, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+            n = [np.append(np.bincount(inverse[y == c], minlength=len(key)), totals[c]) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, (np.append(key.view(np.int64), 0), np.append(above[first].view(np.int64), 0), np.append(kind[first], np.int8(2)), *n))], ["key", "class", "kind", "n0", "n1"]
+            )
+
+    seen = train.select("text", "y").mapInArrow(trimmed(count), "key long, class long, kind byte, n0 long, n1 long")
+    sums = seen.groupBy("key", "class", "kind").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = checkpoint(sums.where((F.col("kind") == 2) | (F.greatest("n0", "n1") > discount)))  # no class's discount is smaller
+    total = sums.where("kind = 2").first()
+    tokens = [int(total[f"n{y}"]) if total else 0 for y in (0, 1)]
+    beyond = [F.col(f"n{y}") > discount * tokens[y] / max(min(tokens), 1) for y in (0, 1)]
+    return sums.where((F.col("kind") < 2) & (beyond[0] | beyond[1])).select("key", "class", (F.col("kind") == 1).alias("is_class")), tokens
+
+
+def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float | None, discount: float) -> DataFrame:
     """``key, ratio, n``: log P(expression | toxic) - log P(expression | ordinary) of words, word classes and word pairs.
 
-    Words come first: those of ``min_docs`` toxic documents whose rate there is ``exp(favour)`` times that of ordinary
-    documents or more. All others are left to backoff by both classes and cancel. A word's Kneser-Ney count is the
-    number of distinct words before it. Each class keeps its count less a discount; discounts are the same share of
-    both classes, so that neither knows rare words better for being larger. What is left goes to the word's class (its
-    first letters) in the same way, and then to counts shared by both. A pair of at least ``min_pair`` toxic documents
-    has its own discounted counts over its shared ones, less what the word before tells by itself.
+    Both models know all words and pairs of both classes. A word's Kneser-Ney count is the number of distinct words
+    before it. Each class keeps its count less a discount; discounts are the same share of both classes, so that
+    neither knows rare words better for being larger. What is left goes to the word's class (its first letters) in the
+    same way, and then to counts shared by both. A pair has its own discounted counts over its shared ones, less what
+    the word before tells by itself. Expressions of which neither class keeps a count cancel and are not in the table.
+
+    With a ``favour``, only words count that speak for toxic texts: those of ``min_docs`` toxic documents whose rate there is
+    ``exp(favour)`` times that of ordinary documents or more, and pairs of ``min_pair`` toxic documents.
     """
-    words, docs, tokens = class_totals(train, toxic_words(train, min_docs))
-    rate = F.ln((F.col("d1") / max(docs[1], 1)) / ((F.col("d0") + 0.5) / max(docs[0], 1)))
-    words = checkpoint(words.where(rate > favour).select("key", "class", "is_class"))
+    if favour is None:
+        words, tokens = own_words(train, discount)
+    else:
+        words, docs, tokens = class_totals(train, toxic_words(train, min_docs))
+        rate = F.ln((F.col("d1") / max(docs[1], 1)) / ((F.col("d0") + 0.5) / max(docs[0], 1)))
+        words = checkpoint(words.where(rate > favour).select("key", "class", "is_class"))
     marks = train.sparkSession.sparkContext.broadcast(bitmap(words))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,11 +195,19 @@ def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float, d
 
     of = lambda y, what: F.coalesce(F.sum(F.when(F.col("y") == y, what)), F.lit(0))
     seen = train.select("text", "y").mapInArrow(trimmed(count), "key long, prev long, y byte, n long")
-    pairs = checkpoint(seen.groupBy("key", "prev").agg(of(0, F.col("n")).alias("n0"), of(1, F.col("n")).alias("n1")))
-    contexts = pairs.groupBy("key").agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1"))
-    known = checkpoint(words.join(contexts, "key"))
     total, least = max(sum(tokens), 1), max(min(tokens), 1)
     kept = lambda y: F.greatest(F.col(f"n{y}") - discount * tokens[y] / least, F.lit(0.0)) / max(tokens[y], 1)
+    has_own = F.col("n1") >= min_pair if favour is not None else (kept(0) > 0) | (kept(1) > 0)
+    # most pairs only count as one word more before their second: they are folded before anything is written
+    pairs = (
+        seen.groupBy("key", "prev").agg(of(0, F.col("n")).alias("n0"), of(1, F.col("n")).alias("n1"))
+        .groupBy("key", F.when(has_own, F.col("prev")).alias("prev"), has_own.alias("own"))
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count_if(F.col("n0") > 0).alias("c0"), F.count_if(F.col("n1") > 0).alias("c1"))
+    )
+    pairs = checkpoint(pairs)
+    known = checkpoint(words.join(pairs.groupBy("key").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1")), "key"))
+    if favour is None:
+        known = known.where((kept(0) > 0) | (kept(1) > 0))
     both = (F.col("n0") + F.col("n1")) / total
     spare = known.where("not is_class").agg(F.coalesce(F.sum(kept(0)), F.lit(0.0)) + F.coalesce(F.sum(kept(1)), F.lit(0.0))).first()[0]
     spare = min(max(1 - spare / 2, 1e-3), 1.0)
@@ -170,7 +220,7 @@ def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float, d
     own = own.select("key", ratio(F.col("p")).alias("ratio"), (F.col("n0") + F.col("n1")).alias("n"))
     joint = [kept(y) + spare * both for y in (0, 1)]
     found = (
-        pairs.where(F.col("n1") >= min_pair).join(own.select("key"), "key").join(own.select(F.col("key").alias("prev"), F.col("ratio").alias("told")), "prev", "left")
+        pairs.where("own").join(own.select("key"), "key").join(own.select(F.col("key").alias("prev"), F.col("ratio").alias("told")), "prev", "left")
         .select("key", "prev", (F.ln(joint[1]) - F.ln(joint[0]) - F.coalesce("told", F.lit(0.0))).alias("ratio"), (F.col("n0") + F.col("n1")).alias("n"))
     )
 
@@ -219,9 +269,13 @@ class Scorer:
         return np.unique(np.concatenate([h, s[s > 0], pair_keys(_before(h), h)]))
 
     def value(self, words: list[str], more: tuple | None = None) -> float:
-        """Mean over all words of the log ratio beyond ``dead``, of the pair if known, else of the word, else of its class."""
+        """The first of the text's ``parts``."""
+        return self.parts(words, more)[0]
+
+    def parts(self, words: list[str], more: tuple | None = None) -> tuple[float, float]:
+        """Mean over all words of the log ratio (of the pair if known, else of the word, else of its class) in two parts: what goes beyond ``dead``, and the rest."""
         if not words:
-            return 0.0
+            return 0.0, 0.0
         h = self.hasher(words)
         v = self.look_up(h, more)
         known = np.flatnonzero(~np.isnan(v))
@@ -231,7 +285,8 @@ class Scorer:
         rest = np.flatnonzero(np.isnan(v))
         if len(rest):
             v[rest] = np.nan_to_num(self.look_up(self.stems([words[i] for i in rest.tolist()]), more), nan=0.0)
-        return float((np.sign(v) * np.maximum(np.abs(v) - self.dead, 0)).sum() / (len(words) + EASE))
+        beyond = np.sign(v) * np.maximum(np.abs(v) - self.dead, 0)
+        return float(beyond.sum() / (len(words) + EASE)), float((v - beyond).sum() / (len(words) + EASE))
 
 
 def fit_curve(points: list[tuple], ridge: float = 1e-3, rounds: int = 200) -> list[float]:
@@ -261,7 +316,7 @@ def fit_curve(points: list[tuple], ridge: float = 1e-3, rounds: int = 200) -> li
     return [*slopes.tolist(), float(w[-1] - slopes @ mid)]
 
 
-def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_docs: int = 3, min_pair: int = 3, favour: float = 0.5, discount: float = 3.0, dead: float = 1.0, shared: int = 2_000_000, calibration_rows: int = 20) -> Callable[[DataFrame, str], DataFrame]:
+def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, min_docs: int = 3, min_pair: int = 3, favour: float | None = None, discount: float = 8.0, dead: float = 1.0, shared: int = 2_000_000, calibration_rows: int = 20) -> Callable[[DataFrame, str], DataFrame]:
     """Fit on the labelled rows outside fold ``held``; the result adds the score of ``text`` to a table as a column."""
     spark = docs.sparkSession
     train = labelled(docs, labels, "toxic").where(fold(folds) != held)
@@ -270,23 +325,26 @@ def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mi
     model = spark.sparkContext.broadcast((*table, dead))
     away = spark.sparkContext.broadcast(bitmap(rest)) if rest is not None else None
 
-    @F.pandas_udf("double")
-    def value(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    two = "strong double, weak double"
+    frame = lambda found: pd.DataFrame(found, columns=["strong", "weak"], dtype="float64")
+
+    @F.pandas_udf(two)
+    def value(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         s = Scorer(*model.value)
         for batch in texts:
-            yield pd.Series([s.value(words_of(x)) for x in batch], dtype="float64")
+            yield frame([s.parts(words_of(x)) for x in batch])
         s = None
         trim()
 
-    @F.pandas_udf("double")
-    def value_with(columns: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf(two)
+    def value_with(columns: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         s = Scorer(*model.value)
         for batch in columns:
             out = []
             for x, k, r in zip(*batch, strict=True):
                 order = None if k is None else np.argsort(np.asarray(k, np.int64))
-                out.append(s.value(words_of(x), None if k is None else (np.asarray(k, np.int64)[order], np.asarray(r, np.float64)[order])))
-            yield pd.Series(out, dtype="float64")
+                out.append(s.parts(words_of(x), None if k is None else (np.asarray(k, np.int64)[order], np.asarray(r, np.float64)[order])))
+            yield frame(out)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Scorer(*model.value)
@@ -315,16 +373,17 @@ def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mi
     limited = lambda c: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), c))
     root = lambda c: F.signum(c) * F.sqrt(F.abs(limited(c)))
 
-    def curve(rows: DataFrame) -> list[tuple[float, int, int]]:
-        seen = add_value(rows, "value").groupBy("y", F.floor(root(F.col("value")) * BINS).alias("bin")).count().collect()
-        return sorted(((r["bin"] + 0.5) / BINS, r["y"], r["count"]) for r in seen)
+    def curve(rows: DataFrame) -> list[tuple[float, float, int, int]]:
+        bins = F.floor(root(F.col("value.strong")) * BINS).alias("bin"), F.floor(limited(F.col("value.weak")) * WEAK_BINS).alias("weak")
+        seen = add_value(rows, "value").groupBy("y", *bins).count().collect()
+        return sorted(((r["bin"] + 0.5) / BINS, (r["weak"] + 0.5) / WEAK_BINS, r["y"], r["count"]) for r in seen)
 
     points = curve(train.where(part == 0))
-    if sum(n for _, y, n in points if y) < calibration_rows:
+    if sum(n for *_, y, n in points if y) < calibration_rows:
         points = curve(train)
-    held_rows = [sum(n for _, y, n in points if y == k) for k in (0, 1)]
-    slope, shift = fit_curve(points) if all(held_rows) else (1.0, math.log((held_rows[1] + 0.5) / (held_rows[0] + 1.5)))
-    return lambda rows, name: add_value(rows, name).withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * root(F.col(name)) + F.lit(shift)))))
+    held_rows = [sum(n for *_, y, n in points if y == k) for k in (0, 1)]
+    slope, weak, shift = fit_curve(points) if all(held_rows) else (1.0, 0.0, math.log((held_rows[1] + 0.5) / (held_rows[0] + 1.5)))
+    return lambda rows, name: add_value(rows, name).withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * root(F.col(name)["strong"]) + F.lit(weak) * limited(F.col(name)["weak"]) + F.lit(shift)))))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, threshold: float = 0.5, **model) -> DataFrame:
@@ -332,15 +391,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
 
     Labels are learnt from rows whose fold (crc32 of the id as text, modulo ``folds``) is not ``held``; every fifth of
     those (by another digest) only calibrates. A text's value is the difference of its two log-likelihoods over all its
-    words, divided by their number (and ``EASE`` more). A word counts with what its log ratio exceeds ``dead`` by:
-    smaller ratios tell language and topic. A logistic curve over the value's root turns it into the score. Expressions that neither
-    class knows back off to shared counts in both and cancel.
+    words, divided by their number (and ``EASE`` more). It is kept in two parts: what each word's log ratio exceeds
+    ``dead`` by, and the rest, as small ratios tell language and topic as well. A logistic curve over the root of the
+    first part and the second turns both into the score; its two slopes are fitted to the rows that calibrate.
+    Expressions of which neither class keeps a count back off to shared counts in both and cancel.
 
-    Every word and class of ``min_docs`` toxic documents and every pair of ``min_pair`` keeps its own counts, however
-    large the input. They form a table: its ``shared`` most frequent rows (16 bytes each) go to all tasks, all others
-    are joined to the texts' own expressions by shuffle, and the result is the same.
+    Every word, class and pair with more than ``discount`` counts in the class of fewer words (and as large a share in the
+    other) keeps its own counts in both, however large the input. They form a table: its ``shared`` most frequent rows (16
+    bytes each) go to all tasks, all others are joined to the texts' own expressions by shuffle, and the result is the same.
 
-    Null or empty text has value 0; null ids and repeated rows stay; without labels of both classes the curve has
+    Null or empty text has value 0 in both parts; null ids and repeated rows stay; without labels of both classes the curve has
     slope 1 and the one class's odds (ordinary without any label). With fewer than ``calibration_rows`` toxic rows among those
     that calibrate, the curve is fitted over all training rows; an empty table gives no rows; extra columns are not read.
     """

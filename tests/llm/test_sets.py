@@ -321,6 +321,26 @@ def test_long_texts_of_few_toxic_words_are_found(spark):
     assert sum(x.predicted for x in own if x.doc_id % 8) <= 3
 
 
+def test_both_models_score_all_words(spark):
+    # "fine" speaks for ordinary texts, "the" for neither
+    rows = [(i, f"the k{i}a scum k{i}b the" if i % 4 == 0 else f"the k{i}a fine k{i}b the", int(i % 4 == 0)) for i in range(400)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, y int").repartition(3)
+    table = toxicity.expressions(train, 3, 3, None, 3.0)
+    keys, ratios, rest = toxicity.split(table, 10**6)
+    assert rest is None and len(keys) == len(set(keys.tolist())) == table.count()
+    of = lambda w: ratios[keys == toxicity.WordHasher()([w]).view(np.int64)[0]].tolist()
+    (fine,), (the,), (scum,) = map(of, ("fine", "the", "scum"))
+    # by hand: distinct words before it, less three and nine (100 toxic texts, 300 others, five words each), over the words of the class
+    tokens, before = (1500, 500), {"fine": (300, 0), "the": (301, 101), "scum": (0, 100)}
+    kept = {w: [max(n - 3 * t / 500, 0) / t for n, t in zip(c, tokens)] for w, c in before.items()}
+    spare = 1 - sum(map(sum, kept.values())) / 2
+    want = {w: np.log((k[1] + spare * sum(before[w]) / 2000) / (k[0] + spare * sum(before[w]) / 2000)) for w, k in kept.items()}
+    assert [fine, the, scum] == pytest.approx([want["fine"], want["the"], want["scum"]])
+    assert fine < -1 and scum > 1 and abs(the) < 0.1
+    strong, weak = toxicity.Scorer(keys, ratios, 1.0).parts(["fine", "unheard"])
+    assert strong + weak == pytest.approx(fine / (2 + toxicity.EASE)) and strong < 0 and weak < 0
+
+
 def test_rare_toxic_words_keep_their_counts_in_a_large_corpus(spark):
     # about 456,000 (document, word) pairs
     r = random.Random(7)
