@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import operator
 import os
 import re
 import struct
@@ -79,6 +80,7 @@ class WordCoder:
         self.by_word = splits_at_blanks(json.loads(self.tok.to_str()))
         self.pack = len if lengths_only else lambda ids: np.array(ids, "<u4").tobytes() if len(ids) > 16 else b"".join(map(_U4, ids))
         self.join = sum if lengths_only else b"".join
+        self.code = [1 if lengths_only else _U4(i) for i in range(1 + max(self.tok.get_vocab().values(), default=0))]
         self.words: dict = {}
         self.pieces: dict = {}
         self.bytes_to_chars = byte_level_table()
@@ -86,14 +88,14 @@ class WordCoder:
     def _alpha(self, runs: list[str]) -> None:
         """Runs of letters: the library's normaliser over the joined batch, then its model run by run."""
         joined = self.tok.normalizer.normalize_str("\n".join(runs)).split(" ") if runs else []
-        whole, tokenize = [], self.tok.model.tokenize
+        whole, tokenize, join, code = [], self.tok.model.tokenize, self.join, self.code
         if len(joined) != len(runs):
             whole = runs
         else:
             for run, norm in zip(runs, joined, strict=True):
                 if norm.isalpha():
                     chars = norm if norm.isascii() else norm.encode().decode("latin-1").translate(self.bytes_to_chars)
-                    self.pieces[run] = self.pack([t.id for t in tokenize(chars)])
+                    self.pieces[run] = join([code[t.id] for t in tokenize(chars)])
                 else:
                     whole.append(run)
         self._whole(whole, self.pieces)
@@ -117,30 +119,33 @@ class WordCoder:
         if self.join is sum:  # lengths alone: distinct words in batches
             self._whole(list(words), self.words)
             return
-        plain, split, runs, pieces = [], {}, set(), self.pieces
+        plain, split, pieces = [], {}, self.pieces
+        alone, ends = ([], []), ([], [], [])  # most words are one run, or one and a mark: words and their parts, list by list
         for word in words:
-            if word.isalpha():  # most words are one run
-                split[word] = (part := word.lower() if word.isascii() else word,)
-                if part not in pieces:
-                    runs.add(part)
+            if word.isalpha():
+                alone[0].append(word)
+                alone[1].append(word.lower() if word.isascii() else word)
                 continue
             head, mark = word[:-1], word[-1:]
-            if mark in _MARKS and head.isalpha():  # or one and a mark
-                split[word] = (part := head.lower() if head.isascii() else head, mark)
-                runs.update(p for p in (part, mark) if p not in pieces)
+            if mark in _MARKS and head.isalpha():
+                ends[0].append(word)
+                ends[1].append(head.lower() if head.isascii() else head)
+                ends[2].append(mark)
                 continue
             parts = _PIECE.findall(word)
             if "'" in word or "<|" in word or sum(map(len, parts)) != len(word) or not all(p.isascii() or p.isalpha() for p in parts):
                 plain.append(word)
                 continue
-            parts = [p.lower() if p.isascii() else p for p in parts]
-            split[word] = parts
-            runs.update(p for p in parts if p not in pieces)
+            split[word] = [p.lower() if p.isascii() else p for p in parts]
+        runs = set(alone[1]).union(ends[1], ends[2], *split.values())
+        runs.difference_update(pieces)
         self._alpha([p for p in runs if p.isalpha()])
-        self._whole([p for p in runs if not p.isalpha()], self.pieces)
+        self._whole([p for p in runs if not p.isalpha()], pieces)
         self._whole(plain, self.words)
-        for word, parts in split.items():
-            self.words[word] = pieces[parts[0]] if len(parts) == 1 else self.join([pieces[p] for p in parts])
+        code = pieces.__getitem__
+        self.words.update(zip(alone[0], map(code, alone[1]), strict=True))
+        self.words.update(zip(ends[0], map(operator.add, map(code, ends[1]), map(code, ends[2])), strict=True))
+        self.words.update((word, self.join(map(code, parts))) for word, parts in split.items())
 
     def batches(self, texts: list[str], batch_bytes: int = 1 << 21) -> Iterator[tuple[int, list]]:
         """(index of text, codes of the words of one chunk), chunks in order, learnt in batches balanced by bytes."""
