@@ -83,12 +83,11 @@ def sketch(h: np.ndarray) -> int:
     return int(shingle_hashes(h, 4).min().view(np.int64)) if len(h) else 0
 
 
-def one_of_each(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Texts whose sketch no other has, the least text of every other sketch, and the number of both.
+def by_sketch(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``text`` of those whose sketch no other has, ``sketch, text`` of all others, and the number of sketches.
 
     Digests of texts whose sketch several have are marked in a bitmap of fixed size. Only marked texts are sketched
-    again and grouped by sketch, by a partial minimum; a mark set by another digest costs a text that detour and
-    nothing else.
+    again; a mark set by another digest costs a text that detour and nothing else.
     """
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,11 +109,14 @@ def one_of_each(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
         return keyed.mapInArrow(trimmed(pick), "sketch long, text string")
 
-    return side(False).select("text"), side(True).groupBy("sketch").agg(F.min("text").alias("text")).select("text"), seen.select("sketch").distinct().count()
+    return side(False).select("text"), side(True), seen.select("sketch").distinct().count()
 
 
-def lexicon(docs: DataFrame, low: float, high: float, min_docs: int, limit: int) -> np.ndarray:
-    """Hashes of the terms whose share of all texts lies in the band, sorted; near copies (one sketch) count as one text.
+def lexicon(docs: DataFrame, low: float, high: float, min_docs: int, limit: int, every_copy: bool = False) -> np.ndarray:
+    """Hashes of the terms whose share of all texts lies in the band, sorted.
+
+    Near copies (texts of one sketch) count as one text. With ``every_copy`` that is one which holds the terms of all of
+    them, so every text is counted; else it is the least of them.
 
     A band from share ``low`` holds at most (mean distinct terms of a text) / ``low`` terms, however many texts there
     are. The band is never moved: more than ``limit`` terms are an error.
@@ -138,8 +140,19 @@ def lexicon(docs: DataFrame, low: float, high: float, min_docs: int, limit: int)
         if total:
             yield flush()
 
-    single, copied, n_docs = one_of_each(docs)
-    df = single.mapInArrow(trimmed(count), "term long, n long").unionByName(copied.mapInArrow(trimmed(count), "term long, n long")).groupBy("term").agg(F.sum("n").alias("n"))
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [distinct(h) for h in hashed(batch.column(1).to_pylist())]
+            term = np.concatenate(found) if found else np.empty(0, np.uint64)
+            group = np.repeat(batch.column(0).to_numpy(), list(map(len, found)))
+            _, first = np.unique(_mix(_mix(group.view(np.uint64)) + term), return_index=True)  # most copies in a slice bring nothing new
+            yield pa.RecordBatch.from_arrays([pa.array(group[first]), pa.array(term[first].view(np.int64))], ["sketch", "term"])
+
+    single, copied, n_docs = by_sketch(docs)
+    if not every_copy:
+        copied = copied.groupBy("sketch").agg(F.min("text").alias("text"))
+    groups = copied.mapInArrow(trimmed(held), "sketch long, term long").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    df = single.mapInArrow(trimmed(count), "term long, n long").unionByName(groups).groupBy("term").agg(F.sum("n").alias("n"))
     kept = checkpoint(df.where((F.col("n") >= max(min_docs, low * n_docs)) & (F.col("n") <= high * n_docs)))
     if kept.count() > limit:
         raise ValueError(f"more than {limit} terms in the band from {low}: raise low, or limit if the tasks can hold 8 bytes for each")
@@ -188,12 +201,12 @@ OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edit
 ROWS = OUT + ", times long"
 
 
-def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05, min_docs: int = 2, limit: int = 16_000_000, rows_per_bucket: int = 5_000) -> DataFrame:
+def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05, min_docs: int = 2, limit: int = 16_000_000, rows_per_bucket: int = 5_000, every_copy: bool = False) -> DataFrame:
     """I-Match fingerprints of every whole text: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``, one row for each input row.
 
-    Document frequencies are counted over all documents, near copies (texts of equal sketch) once; terms whose share
-    of those lies in ``[low, high]`` (and in at least ``min_docs``) form the lexicon. A text with less than
+    Document frequencies are counted over all documents, near copies (texts of equal sketch) once: the least of them, with
+    ``every_copy`` the terms of all of them; terms whose share of sketches lies in ``[low, high]`` (and in at least ``min_docs``) form the lexicon. A text with less than
     ``LEAST_SHARE`` of its terms in it is known by all its terms. A fingerprint hashes the text's sorted distinct lexicon terms
     once for the whole lexicon and once for each randomised subset; the sparse subsets survive partial edits. The edited
     text replaces the last ``n_chars // 2`` code points by the first as many of the next document in falling ``doc_id``
@@ -206,7 +219,7 @@ def fingerprints(docs: DataFrame, low: float = 0.0005, high: float = 0.05, min_d
     tasks holds 8-byte hashes, at most (mean distinct terms of a text) / ``low``.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon(base, low, high, min_docs, limit))
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon(base, low, high, min_docs, limit, every_copy))
     rows = once(base)
     bounds, firsts = ranges(rows, rows_per_bucket)
     used = [b for b, k in enumerate(firsts) if k is not None]

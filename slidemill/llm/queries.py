@@ -48,7 +48,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"), every_copy=True)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

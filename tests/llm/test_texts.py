@@ -297,6 +297,22 @@ def test_a_large_group_of_near_copies_keeps_its_terms(spark):
     assert np.mean(likeness) > 0.1
 
 
+def test_every_text_of_a_sketch_is_counted(spark):
+    # the texts of a group share one passage, and with it their sketch, but each has words of its own
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, f"z{i % 5}", f"y{i}"]) for i in range(20)] + [f"other text {i} of z{i % 5} words" for i in range(20)]
+    groups = {}
+    for t in texts:
+        groups.setdefault(fingerprints.sketch(jaccard.word_hashes(t)), set()).update(fingerprints.terms(t).tolist())
+    assert len(groups) < 30
+    n = Counter(h for held in groups.values() for h in held)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = set(fingerprints.lexicon(df, 0.0, 1.0, 1, 1_000_000, every_copy=True).tolist())
+    assert got == set(n) and {int(jaccard.word_hashes(f"y{i}")[0]) for i in range(20)} <= got
+    low = 5 / len(groups)
+    assert set(fingerprints.lexicon(df, low, 1.0, 1, 1_000_000, every_copy=True).tolist()) == {h for h, c in n.items() if c >= low * len(groups)}
+
+
 def test_pii_rejected_candidates_suppress_nothing(spark, monkeypatch):
     monkeypatch.setattr(pii, "accepted", lambda *_: F.lit(True))
     text = "a@b.co (at) x.123-45-6789 end"  # the written address overlaps the plain one and reaches into the number
