@@ -4,6 +4,7 @@ from pathlib import Path
 import hashlib
 import os
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -149,6 +150,43 @@ def test_word_codes_equal_the_library(parts, gaps):
 CODER, TOK = tokens.WordCoder(PATH, lengths_only=False), library()
 
 
+def invented(n, seed, signs="abcdefghijklmnopqrstuvwxyzäöéñ"):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(list(signs), rng.integers(2, 12))) for _ in range(n)]
+
+
+def test_word_codes_stay_the_library_s_while_words_are_forgotten():
+    coder = tokens.WordCoder(PATH, lengths_only=False, limit=150)
+    common = ["The", "house,", "Élan", "ΣΑΣ", "İstanbul", "x1.5", "don't", "a\u0301b", "漢字", "привет!", "ß-ÄÖ", "", "<|endoftext|>", "</w>", "ﬁn", "½"]
+    for seed in range(12):
+        words = [w for pair in zip(invented(90, seed), invented(90, seed + 50, "ABCxyzß.,-1"), common * 6, strict=False) for w in pair]
+        texts = [" ".join(words[:100]), "\n".join(words[100:]), "", " ".join(words)]
+        got = {i: b"".join(c) for i, c in coder.batches(texts)}
+        assert [np.frombuffer(got[i], "<u4").tolist() for i in range(4)] == [e.ids for e in TOK.encode_batch(texts, add_special_tokens=False)]
+    assert max(len(coder.words.keys), len(coder.runs.keys)) < 150 + 400
+    assert list(coder.batches([])) == []
+
+
+def test_runs_are_told_apart_without_marks_of_word_ends():
+    coder = tokens.WordCoder(PATH, lengths_only=False)
+    coder.closes[:] = False
+    text = "One two, three 4 äöü привет"
+    assert np.frombuffer(b"".join(b"".join(c) for _, c in coder.batches([text])), "<u4").tolist() == TOK.encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_take_no_calls_of_their_own():
+    words = sorted(set(invented(20_000, 7)))
+    texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+    coder, calls = tokens.WordCoder(PATH, lengths_only=False), Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        ours = [b"".join(c) for _, c in coder.batches(texts)]
+    finally:
+        sys.setprofile(None)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours] == [e.ids for e in TOK.encode_batch(texts, add_special_tokens=False)]
+    assert calls["call"] + calls["c_call"] < len(words) / 4  # twelve a word when runs were spelt one by one
+
+
 def test_long_texts_split_at_blanks_only():
     text = ("ab cd\n" * 1000) + "x" * 500
     chunks = list(tokens.safe_chunks(text, 100))
