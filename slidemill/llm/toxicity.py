@@ -115,7 +115,7 @@ def class_totals(train: DataFrame, words: DataFrame) -> tuple[DataFrame, list[in
 
 
 def own_words(train: DataFrame, discount: float) -> tuple[DataFrame, list[int]]:
-    """``key, class, is_class`` of all words and classes that either class's texts hold more often than its discount; the words of each class.
+    """``key, class, is_class, n`` of all words and classes that either class's texts hold more often than its discount; the words of each class.
 
     A word stands behind no more distinct words than it has places, so every other word has no count of its own left in
     either class, and both models give it the same backoff.
@@ -147,10 +147,42 @@ def own_words(train: DataFrame, discount: float) -> tuple[DataFrame, list[int]]:
     total = sums.where("kind = 2").first()
     tokens = [int(total[f"n{y}"]) if total else 0 for y in (0, 1)]
     beyond = [F.col(f"n{y}") > discount * tokens[y] / max(min(tokens), 1) for y in (0, 1)]
-    return sums.where((F.col("kind") < 2) & (beyond[0] | beyond[1])).select("key", "class", (F.col("kind") == 1).alias("is_class")), tokens
+    return sums.where((F.col("kind") < 2) & (beyond[0] | beyond[1])).select("key", "class", (F.col("kind") == 1).alias("is_class"), (F.col("n0") + F.col("n1")).alias("n")), tokens
 
 
-def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float | None, discount: float) -> DataFrame:
+def hot_keys(counted: DataFrame, share: int = 4096) -> np.ndarray:
+    """The keys, sorted, that have more than one in ``share`` of all counts ``n``, so fewer than ``share``."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return np.sort(counted.where(F.col("n") * share > total).select("key").toArrow()["key"].to_numpy().astype(np.int64)).view(np.uint64)
+
+
+def _folded(parts: list[tuple]) -> tuple:
+    """Distinct pairs ``key, prev, n0, n1`` of all parts, counts added up."""
+    key, prev, n0, n1 = map(np.concatenate, zip(*parts, strict=True))
+    pair = pair_keys(prev, key)
+    order = np.argsort(pair)
+    pair = pair[order]
+    first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+    return key[order[first]], prev[order[first]], *(np.add.reduceat(n[order], first, dtype=np.int32) for n in (n0, n1))
+
+
+def _by_key(pairs: tuple, hot: np.ndarray) -> pa.RecordBatch:
+    """One row ``key, part, prev, n0, n1`` for each key, the last three lists; a hot key has up to 64 rows, by ``prev``.
+
+    Pairs of equal counts stand together, so that a compressed shuffle hardly carries more than the words before.
+    """
+    key, prev, n0, n1 = pairs
+    part = np.where(np.isin(key, hot), prev >> np.uint64(58), np.uint64(0))
+    small = lambda n: np.minimum(n, 255).astype(np.uint64)
+    order = np.argsort(pair_keys(part, key) & ~np.uint64(0xFFFF) | small(n0) << np.uint64(8) | small(n1))
+    key, part = key[order], part[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
+    ends = pa.array(np.append(first, len(key)), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(c[order])) for c in (prev.view(np.int64), n0, n1)]
+    return pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(part[first].astype(np.int8)), *lists], ["key", "part", "prev", "n0", "n1"])
+
+
+def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float | None, discount: float, held: int = 1_500_000, share: int = 4096) -> DataFrame:
     """``key, ratio, n``: log P(expression | toxic) - log P(expression | ordinary) of words, word classes and word pairs.
 
     Both models know all words and pairs of both classes. A word's Kneser-Ney count is the number of distinct words
@@ -161,19 +193,23 @@ def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float |
 
     With a ``favour``, only words count that speak for toxic texts: those of ``min_docs`` toxic documents whose rate there is
     ``exp(favour)`` times that of ordinary documents or more, and pairs of ``min_pair`` toxic documents.
+
+    Pairs are shuffled as lists of the words before a key, each key once for about ``held`` pairs of a task; keys of more
+    than one in ``share`` of all counts are dealt over many tasks.
     """
     if favour is None:
         words, tokens = own_words(train, discount)
     else:
         words, docs, tokens = class_totals(train, toxic_words(train, min_docs))
         rate = F.ln((F.col("d1") / max(docs[1], 1)) / ((F.col("d0") + 0.5) / max(docs[0], 1)))
-        words = checkpoint(words.where(rate > favour).select("key", "class", "is_class"))
-    marks = train.sparkSession.sparkContext.broadcast(bitmap(words))
+        words = checkpoint(words.where(rate > favour).select("key", "class", "is_class", (F.col("d0") + F.col("d1")).alias("n")))
+    marks = train.sparkSession.sparkContext.broadcast((bitmap(words), hot_keys(words, share)))
+    words = words.drop("n")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, stems = WordHasher(), StemHasher()
+        hasher, stems, parts, size = WordHasher(), StemHasher(), [], 0
+        known, hot = marks.value
         for batch in slices(batches):
-            cols: list[list] = [[], [], []]
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
                 if not words:
@@ -181,27 +217,29 @@ def expressions(train: DataFrame, min_docs: int, min_pair: int, favour: float |
                 h = hasher(words)
                 s, before = stems(words), _before(h)
                 key, prev = np.concatenate([h, s]), np.concatenate([before, before])
-                at = marked(marks.value, key)
-                pair, first = np.unique(pair_keys(prev[at], key[at]), return_index=True)  # once for each document
-                cols[0].append(key[at][first])
-                cols[1].append(prev[at][first])
-                cols[2].append(np.full(len(pair), y, np.uint64))
-            if not cols[0]:
-                continue
-            key, prev, y = map(np.concatenate, cols)
-            _, first, inverse = np.unique(pair_keys(prev, key) ^ y, return_index=True, return_inverse=True)
-            n = np.bincount(inverse, minlength=len(first))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, (key[first].view(np.int64), prev[first].view(np.int64), y[first].astype(np.int8), n))], ["key", "prev", "y", "n"])
-
-    of = lambda y, what: F.coalesce(F.sum(F.when(F.col("y") == y, what)), F.lit(0))
-    seen = train.select("text", "y").mapInArrow(trimmed(count), "key long, prev long, y byte, n long")
+                at = marked(known, key)
+                key, prev = key[at], prev[at]
+                _, first = np.unique(pair_keys(prev, key), return_index=True)  # once for each document
+                parts.append((key[first], prev[first], np.full(len(first), 1 - y, np.int32), np.full(len(first), y, np.int32)))
+                size += len(first)
+                if size > held:
+                    parts = [_folded(parts)]
+                    size = len(parts[0][0])
+                    if size > held // 2:
+                        yield _by_key(parts[0], hot)
+                        parts, size = [], 0
+        if size:
+            yield _by_key(_folded(parts), hot)
+
+    seen = train.select("text", "y").mapInArrow(trimmed(count), "key long, part byte, prev array<long>, n0 array<int>, n1 array<int>")
+    seen = seen.repartition("key", "part").select("key", "part", F.inline(F.arrays_zip("prev", "n0", "n1")))
     total, least = max(sum(tokens), 1), max(min(tokens), 1)
     kept = lambda y: F.greatest(F.col(f"n{y}") - discount * tokens[y] / least, F.lit(0.0)) / max(tokens[y], 1)
     has_own = F.col("n1") >= min_pair if favour is not None else (kept(0) > 0) | (kept(1) > 0)
-    # most pairs only count as one word more before their second: they are folded before anything is written
+    # most pairs only count as one word more before their second: they are folded where they are counted, before anything is written
     pairs = (
-        seen.groupBy("key", "prev").agg(of(0, F.col("n")).alias("n0"), of(1, F.col("n")).alias("n1"))
-        .groupBy("key", F.when(has_own, F.col("prev")).alias("prev"), has_own.alias("own"))
+        seen.groupBy("key", "part", "prev").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .groupBy("key", "part", F.when(has_own, F.col("prev")).alias("prev"), has_own.alias("own"))
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count_if(F.col("n0") > 0).alias("c0"), F.count_if(F.col("n1") > 0).alias("c1"))
     )
     pairs = checkpoint(pairs)

@@ -341,6 +341,40 @@ def test_both_models_score_all_words(spark):
     assert strong + weak == pytest.approx(fine / (2 + toxicity.EASE)) and strong < 0 and weak < 0
 
 
+def shuffled_bytes(spark, work):
+    """What ``work`` writes to shuffles, by Spark's own record of its stages."""
+    sc, jvm = spark.sparkContext._jsc.sc(), spark._jvm
+
+    def written():
+        sc.listenerBus().waitUntilEmpty()
+        of = sc.statusStore().stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (of.apply(i) for i in range(of.size()))}
+
+    before = written()
+    work()
+    return sum(n for stage, n in written().items() if stage not in before)
+
+
+def drawn_texts(spark, rows):
+    r = random.Random(5)
+    texts = [(i, " ".join(f"{r.randrange(2500)}word" for _ in range(300)), int(i % 5 == 0)) for i in range(rows)]
+    return spark.createDataFrame(texts, "doc_id long, text string, y int").repartition(2), texts
+
+
+def test_word_pairs_are_shuffled_with_each_key_once(spark):
+    df, texts = drawn_texts(spark, 1500)
+    pairs = {(h, w) for _, t, _ in texts for h, w in zip(["", *t.split()], t.split())}
+    # nearly every pair stands in one task only, once for its word and once for its class; two hashes for each are 16 bytes
+    assert shuffled_bytes(spark, lambda: toxicity.expressions(df, 3, 3, None, 3.0).count()) < 16 * 2 * len(pairs)
+
+
+def test_pairs_in_small_lists_and_parts_give_the_same_table(spark):
+    df, _ = drawn_texts(spark, 200)
+    for favour in (None, 0.1):
+        whole, small = (sorted((x.key, round(x.ratio, 9), x.n) for x in toxicity.expressions(df, 3, 3, favour, 3.0, **how).collect()) for how in ({}, {"held": 500, "share": 10**6}))
+        assert len(whole) > 100 and whole == small
+
+
 def test_rare_toxic_words_keep_their_counts_in_a_large_corpus(spark):
     # about 456,000 (document, word) pairs
     r = random.Random(7)
