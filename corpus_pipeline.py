@@ -12,7 +12,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from slidemill.llm.common import shared_folder, table
+from slidemill.llm.common import shared_folder, table, trim_driver
 from slidemill.llm.jaccard import keep_one
 from slidemill.llm.mixing import keep_mixed
 from slidemill.llm.packing import pack
@@ -25,7 +25,9 @@ from slidemill.llm.toxicity import drop_toxic
 BATCH_ROWS = "1000"
 
 
-def small_batches(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
+    """A stage begins with small batches, and with a driver that has given back what the stages before it have freed."""
+    trim_driver(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
@@ -34,7 +36,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no evidence and stay; rows of null ids and repeated rows are judged by their texts.
     """
-    small_batches(spark)
+    prepare(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"), threshold=0.5)
 
 
@@ -44,13 +46,13 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts link with nothing and stay; of rows that repeat an id (or a null id) and its text one stays;
     rows of null ids are not compared with others.
     """
-    small_batches(spark)
+    prepare(spark)
     return keep_one(docs, size=5, num=80, den=100)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind; ``n_chars`` follows. Rows are neither dropped nor added, null texts stay null."""
-    small_batches(spark)
+    prepare(spark)
     return redact(docs)
 
 
@@ -59,13 +61,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts have no tokens, null languages and sources are the value ''; rows that repeat an id stay or go together.
     """
-    small_batches(spark)
+    prepare(spark)
     return keep_mixed(docs, WEIGHTS, share=(9, 10))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens. Null and empty texts are one piece, the end id; repeated rows are packed as often as they stand."""
-    small_batches(spark)
+    prepare(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER), size=2048, end_id=1, remembered=100_000)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,22 @@ def trimmed(work):
     return run
 
 
+def trim_driver(spark: SparkSession) -> None:
+    """``trim`` for the driver, its Python and its JVM: a session's next stage finds neither the broadcasts nor the freed memory of the last.
+
+    The JVM's allocator keeps what compilers, threads and codecs have freed outside the heap until it is asked to trim.
+    """
+    trim()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    jvm.System.gc()
+    with contextlib.suppress(Py4JError):  # only newer JVMs on Linux have the command
+        call, words, kinds = array(jvm.Object, 4), array(jvm.Object, 1), array(jvm.String, 1)
+        words[0], kinds[0] = array(jvm.String, 0), "[Ljava.lang.String;"
+        call[0], call[1], call[2], call[3] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", words, kinds
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), call)
+
+
 def bitmap(keys: DataFrame, bits: int = 1 << 26) -> np.ndarray:
     """Marks of the ``key`` values (long) in a table of fixed size, whatever their number; see ``marked``."""
     at = F.pmod(F.col("key"), F.lit(bits))
