@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slidemill.functions.scalars import columns, fields, iou, whole
+from slidemill.operators import crowds
 from slidemill.plans.lineage import cut, few
 
 
@@ -108,10 +109,14 @@ def iou_pairs(boxes: DataFrame, cell: int = 128) -> DataFrame:
 
 def split_crowded(frames: list[DataFrame], key: str, crowd: int) -> tuple[list[DataFrame], list[DataFrame], bool]:
     """The rows of keys with at most ``crowd`` rows in every frame, the rows of the other keys, and whether there are such."""
-    many = [f.groupBy(key).count().where(F.col("count") > crowd).select(key) for f in frames]
-    crowded = few(reduce(DataFrame.unionByName, many).distinct())
+    sizes = [f.groupBy(key).agg(F.count(F.lit(1)).alias("n")) for f in frames]
+    sizes = cut(reduce(DataFrame.unionByName, sizes).groupBy(key).agg(F.max("n").alias("n")))
+    many = (F.col("n") > crowd) & F.col(key).isNotNull()
+    crowded = few(sizes.where(many).select(key))
     if not crowded.limit(1).count():
         return frames, frames, False
+    if not sizes.where(~many).limit(1).count():
+        return [f.limit(0) for f in frames], frames, True
     return [f.join(crowded, key, "left_anti") for f in frames], [f.join(crowded, key, "left_semi") for f in frames], True
 
 
@@ -227,10 +232,39 @@ def _match_fold(working: DataFrame, saved: DataFrame, least: float) -> DataFrame
 
 
 def _match_rounds(working: DataFrame, saved: DataFrame, least: float, cell: int, rounds: int = 24) -> DataFrame:
-    """Matching over pairs above ``least``: a working box takes its best saved box once no earlier one still unmatched could take it.
+    """Matching in tiles (see ``crowds``): a working box takes its best saved box once no earlier one still open could take it.
 
-    Both then leave all pairs. Files with pairs left after ``rounds`` rounds are settled along their pairs, each looked at once.
+    Files with pairs left after ``rounds`` rounds are settled along their pairs, each looked at once. Where boxes may overlap by less than a half,
+    pairs are found in grid cells and settled in rounds without tiles.
     """
+    if least < 0.5:
+        return _match_pairs(working, saved, least, cell, rounds)
+    w, s = (d.where("w > 0 and h > 0 and x is not null and y is not null").withColumn("ord", F.col("ord").cast("long")) for d in (working, saved))
+    side = crowds.tile_side(w.groupBy("file_name").agg(*crowds.extent()), 16, 32, 20_000)
+    grid = crowds.grid(side, 0)
+    saved_ones = crowds.in_tiles(s.withColumn("_saved", F.lit(True)), "file_name", *grid).drop("_n")
+    middles = w.withColumns({"_saved": F.lit(False), "cx": F.col("x") + F.col("w") / 2, "cy": F.col("y") + F.col("h") / 2})
+    middles = crowds.at_middles(middles, "file_name", *grid).drop("cx", "cy")
+    schema = "file_name string, ord bigint, saved_ord bigint, v double, cx double, cy double, x double, y double, w double, h double, _done boolean"
+    out = cut(crowds.in_each(middles.unionByName(saved_ones), "file_name", crowds.find_and_take(least, *grid), schema))
+    found = out.where("_done").select("file_name", "ord", "saved_ord")
+    for turn in range(1, rounds):
+        pairs = out.where("not _done")
+        if not pairs.limit(1).count():
+            return found
+        grid = crowds.grid(side, turn)
+        out = cut(crowds.in_each(crowds.at_middles(pairs, "file_name", *grid), "file_name", crowds.take_turns(*grid), schema))
+        found = found.unionByName(out.where("_done").select("file_name", "ord", "saved_ord"))
+    return found.unionByName(_one_by_one(out.where("not _done")))
+
+
+def _one_by_one(pairs: DataFrame) -> DataFrame:
+    rest = pairs.repartition("file_name").sortWithinPartitions("file_name", "ord", F.desc("v"), "saved_ord").select("file_name", "ord", "saved_ord")
+    return rest.mapInPandas(_in_turn, "file_name string, ord bigint, saved_ord bigint")
+
+
+def _match_pairs(working: DataFrame, saved: DataFrame, least: float, cell: int, rounds: int) -> DataFrame:
+    """Matching over stored pairs above ``least``: who takes its best saved box leaves all pairs with it, round by round."""
     met = touching(working, saved, "file_name", cell).withColumn("v", iou(columns("a_"), columns("b_"))).where(F.col("v") > least)
     pairs = cut(met.select("file_name", F.col("a_ord").cast("long").alias("ord"), F.col("b_ord").cast("long").alias("saved_ord"), "v"))
     found = pairs.select("file_name", "ord", "saved_ord").limit(0)
@@ -244,8 +278,7 @@ def _match_rounds(working: DataFrame, saved: DataFrame, least: float, cell: int,
         for end in ("ord", "saved_ord"):
             pairs = pairs.join(take.select("file_name", end), ["file_name", end], "left_anti")
         pairs = cut(pairs)
-    rest = pairs.repartition("file_name").sortWithinPartitions("file_name", "ord", F.desc("v"), "saved_ord").select("file_name", "ord", "saved_ord")
-    return found.unionByName(rest.mapInPandas(_in_turn, "file_name string, ord bigint, saved_ord bigint"))
+    return found.unionByName(_one_by_one(pairs))
 
 
 def _in_turn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

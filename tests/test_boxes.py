@@ -94,6 +94,30 @@ def test_greedy_match_equals_the_loop(spark, crowd, rounds, monkeypatch):
     assert got == greedy_match(working, saved) and len(got) > 20
 
 
+@pytest.mark.parametrize("rounds", [24, 2, 1])
+def test_a_crowded_file_is_matched_in_tiles_without_stored_pairs(spark, monkeypatch, rounds):
+    monkeypatch.setattr(B, "touching", None)
+    monkeypatch.setattr(B.crowds, "tile_side", lambda *_: 90)
+    r = random.Random(6)
+    box = lambda: [r.randrange(-50, 400), r.randrange(-50, 400), r.randrange(20, 50), r.randrange(20, 50)]
+    working = [(f, i, *box()) for f in "gh" for i in range(900)] + [("h", 1000 + i, 3 * i, 500, 20, 20) for i in range(150)]
+    saved = [("gh"[i % 2], i, *box()) for i in range(1400)] + [("h", 2000 + i, 3 * i + 2, 500, 20, 20) for i in range(150)] + [("h", 3000, 5, 5, 0, 9), ("h", 3001, None, 5, 7, 9)]
+    cols = "file_name string, ord long, x long, y long, w long, h long"
+    got = {tuple(x) for x in B._match_rounds(spark.createDataFrame(working, cols), spark.createDataFrame(saved, cols), 0.5, 128, rounds).collect()}
+    assert got == greedy_match(working, [s for s in saved if s[2] is not None]) and len(got) > 300
+
+
+@pytest.mark.parametrize("least", [0.3, 0.7])
+def test_other_limits_of_a_match(spark, least):
+    r = random.Random(7)
+    box = lambda: [r.randrange(60), r.randrange(60), r.randrange(20, 60), r.randrange(20, 60)]
+    working, saved = ([("f", i, *box()) for i in range(70)] for _ in range(2))
+    cols = "file_name string, ord long, x long, y long, w long, h long"
+    both = [spark.createDataFrame(d, cols) for d in (working, saved)]
+    few, many = ({tuple(x) for x in B.best_iou_match(*both, least, crowd=c).collect()} for c in (1000, 0))
+    assert few == many and few
+
+
 def test_limits_padding_and_aspect(spark):
     rows = [(1, 2, 50, 60, 500.0), (1, 0, 80, 10, 500.0), (1, 0, 81, 10, 500.0), (1, 0, 20, 20, 5.0)]
     df = spark.createDataFrame(rows, "x int, y int, w int, h int, area double")
