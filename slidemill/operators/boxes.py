@@ -148,42 +148,46 @@ def _nms_fold(boxes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _nms_rounds(boxes: DataFrame, num: int, den: int, cell: int, rounds: int = 24) -> DataFrame:
-    """Suppression over pairs: in each round the boxes without an undecided better neighbour are kept and their neighbours dropped.
+    """Suppression in tiles (see ``crowds``), for the best boxes of an image first and then for longer and longer spans of its order.
 
-    Of boxes that cover one another exactly only the best can stay, so the others go before pairs are made. A chain in which
-    every box waits for the one before it takes a round for each two boxes; what is undecided after ``rounds`` rounds is settled image
-    by image, along its pairs, each looked at once.
+    A box is kept once a tile holds it whole and no open better box there overlaps it too much; kept boxes drop their neighbours.
+    What is open after ``rounds`` rounds (a chain of boxes that wait for one another across many tiles) is settled image by image, along its
+    pairs, each looked at once.
     """
-    rank = F.struct((-F.col("confidence")).alias("c"), F.col("ord").alias("o"))
-    boxes = cut(boxes.withColumn("_rank", rank))
-    best = boxes
-    if num < den:
-        top = boxes.groupBy("image_id", "x", "y", "w", "h").agg(F.min("_rank").alias("_top"))
-        best = boxes.join(top, ["image_id", "x", "y", "w", "h"]).where((F.col("_rank") == F.col("_top")) | (F.col("w") * F.col("h") <= 0)).drop("_top")
-    g = best.select("image_id", "ord", "x", "y", "w", "h", "_rank")
+    boxes = cut(boxes)
+    solid = F.coalesce(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in "xywh")) & (F.col("w") > 0) & (F.col("h") > 0), F.lit(False))
+    places, rank = ["image_id", "ord", *crowds.PLACE, "_c"], F.struct("_c", "ord")
+    g = boxes.where(solid).withColumn("_c", F.coalesce(-F.col("confidence").cast("double"), F.lit(float("-inf")))).select(places)
+    images = few(g.groupBy("image_id").agg(*crowds.extent(), crowds.tops(rank).alias("_tops")))
+    side, last = crowds.tile_side(images, 8, 32, 1000), images.agg(F.max(F.size("_tops"))).first()[0] or 0
+    spanned = g.join(images.select("image_id", "_tops"), "image_id").withColumn("_span", F.coalesce(F.size(F.filter("_tops", lambda t: t < rank)), F.lit(0)))
+    schema, kept = f"{g.schema.simpleString()[7:-1]},_n:int,_keep:boolean", g.limit(0)
+    settle = crowds.drop_close(num, den, [*places, "_n"])
+    for span in range(max(last, 0) + 1):
+        todo = spanned.where(F.col("_span") == span).select(places).withColumn("_keep", F.lit(False)).unionByName(kept.withColumn("_keep", F.lit(True)))
+        for turn in range(rounds):
+            out = cut(crowds.in_each(crowds.in_tiles(todo, "image_id", *crowds.grid(side, turn)), "image_id", settle, schema))
+            kept = kept.unionByName(out.where("_keep").select(places))
+            todo = out.where("not _keep").groupBy(places).agg(F.count(F.lit(1)).alias("tiles"), F.first("_n").alias("_n")).where("tiles = _n")  # dropped in none of its tiles
+            todo = cut(todo.select(*places, F.lit(False).alias("_keep")))
+            if not todo.limit(1).count():
+                break
+        else:
+            kept = kept.unionByName(_nms_pairs(todo.select(places), num, den, cell))
+    return boxes.where(~solid).unionByName(boxes.where(solid).join(kept.select("image_id", "ord"), ["image_id", "ord"], "left_semi").select(boxes.columns))
+
+
+def _nms_pairs(boxes: DataFrame, num: int, den: int, cell: int) -> DataFrame:
+    """The kept ones of a few boxes (with ``_c``, their order), image by image along their pairs."""
+    g = boxes.withColumn("_rank", F.struct("_c", "ord"))
     side = lambda p, s: F.greatest(F.lit(0), F.least(F.col(f"a_{p}") + F.col(f"a_{s}"), F.col(f"b_{p}") + F.col(f"b_{s}")) - F.greatest(f"a_{p}", f"b_{p}"))
     inter = side("x", "w") * side("y", "h")
     close = den * F.col("i") > num * (F.col("a_w") * F.col("a_h") + F.col("b_w") * F.col("b_h") - F.col("i"))
     pairs = touching(g, g, "image_id", cell).where("a__rank < b__rank").withColumn("i", inter).where(close)
-    pairs = cut(pairs.select("image_id", F.col("a_ord").alias("better"), F.col("b_ord").alias("worse")))
-    gone = None  # boxes dropped so far; every other box stays
-    for _ in range(rounds):
-        if not pairs.limit(1).count():
-            break
-        waits = pairs.select("image_id", F.col("worse").alias("better")).distinct()
-        first = pairs.join(waits, ["image_id", "better"], "left_anti")
-        drop = cut(first.select("image_id", F.col("worse").alias("ord")).distinct())
-        gone = drop if gone is None else gone.unionByName(drop)
-        for end in ("better", "worse"):
-            pairs = pairs.join(drop.withColumnRenamed("ord", end), ["image_id", end], "left_anti")
-        pairs = cut(pairs)
-    else:
-        ranked = pairs.join(g.select("image_id", F.col("ord").alias("worse"), F.col("_rank").alias("r")), ["image_id", "worse"]).select("image_id", "r", "better", "worse")
-        rest = ranked.repartition("image_id").sortWithinPartitions("image_id", "r").select("image_id", "better", "worse")
-        drop = rest.mapInPandas(_along_pairs, "image_id " + boxes.schema["image_id"].dataType.simpleString() + ", ord " + boxes.schema["ord"].dataType.simpleString())
-        gone = drop if gone is None else gone.unionByName(drop)
-    kept = best.drop("_rank")
-    return kept if gone is None else kept.join(gone, ["image_id", "ord"], "left_anti")
+    ranked = pairs.select("image_id", F.col("b__rank").alias("r"), F.col("a_ord").alias("better"), F.col("b_ord").alias("worse"))
+    rest = ranked.repartition("image_id").sortWithinPartitions("image_id", "r").select("image_id", "better", "worse")
+    drop = rest.mapInPandas(_along_pairs, "image_id " + boxes.schema["image_id"].dataType.simpleString() + ", ord " + boxes.schema["ord"].dataType.simpleString())
+    return cut(boxes.join(drop, ["image_id", "ord"], "left_anti").select(boxes.columns))
 
 
 def _along_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

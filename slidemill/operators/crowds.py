@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 PLACE = ["x", "y", "w", "h"]
 PAIR = ["file_name", "ord", "saved_ord", "v", "cx", "cy", *PLACE]
+#: About the boxes of an image in the first span of its order that is settled before the rest; each further span has sixteen times as many.
+SPAN = 1 << 13
 
 
 def extent() -> list[Column]:
@@ -71,6 +73,53 @@ def _numbers(rows: pa.Table, columns: list[str]) -> list[np.ndarray]:
     return [a if (a := rows[c].to_numpy()).dtype != object else a.astype(float) for c in columns]
 
 
+def tops(rank: Column) -> Column:
+    """Bounds that part the order of an image into growing spans: of the best boxes of four thin selections by hash the third.
+
+    They need no sort, and lie near a place in the order, not at it; where does not matter to the result. What a span keeps drops most of the next,
+    longer one at once.
+    """
+    best = lambda s, i: F.min(F.when(F.pmod(F.xxhash64("image_id", "ord"), F.lit(s)) == i, rank))
+    bound = lambda s: F.when(F.count(F.lit(1)) >= 2 * s, F.get(F.array_sort(F.array(*(best(s, i) for i in range(4)))), F.lit(2)))
+    return F.filter(F.array(*(bound(SPAN << 4 * k) for k in range(4))), lambda t: t.isNotNull())
+
+
+def drop_close(num: int, den: int, names: list[str]):
+    """A tile's boxes in their order: rows of those kept for good (``_keep``) and of those left open; a dropped box has no row.
+
+    Boxes kept before come with ``_keep`` and have no row again; ``names`` are the columns of the rows.
+    """
+
+    def close(a, b):
+        side = lambda p, q: np.maximum(np.minimum(a[q], b[q]) - np.maximum(a[p], b[p]), 0)
+        inter = side(0, 2) * side(1, 3)
+        return den * inter > num * (a[4] + b[4] - inter)
+
+    def box(rows: pa.Table) -> np.ndarray:
+        x, y, w, h = _numbers(rows, PLACE)
+        return np.stack([x, y, x + w, y + h, w * h])
+
+    def settle(rows: pa.Table) -> pa.Table:
+        fixed = rows["_keep"]
+        kept, rest = rows.filter(fixed), rows.filter(pc.invert(fixed)).select(names)
+        b, kept = box(rest), box(kept)
+        if kept.shape[1] and b.shape[1]:
+            block, gone = max(1, (1 << 16) // kept.shape[1]), np.zeros(b.shape[1], bool)
+            for i in range(0, b.shape[1], block):
+                gone[i : i + block] = close(b[:, i : i + block, None], kept[:, None, :]).any(axis=1)
+            rest, b = rest.filter(pa.array(~gone)), b[:, ~gone]
+        order = pc.sort_indices(rest, [("_c", "ascending"), ("ord", "ascending")]).to_numpy()
+        b, inner, n = np.ascontiguousarray(b[:, order]), (rest["_n"].to_numpy() == 1)[order], len(order)
+        gone, waits, keep = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+        for i in range(n):
+            if not gone[i]:
+                keep[i] = inner[i] and not waits[i]
+                (gone if keep[i] else waits)[i + 1 :] |= close(b[:, i], b[:, i + 1 :])
+        return rest.take(order[~gone]).append_column("_keep", pa.array(keep[~gone]))
+
+    return settle
+
+
 def find_fits(working, saved, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of a tile whose overlap exceeds ``least`` (a half or more), ``(working, saved, iou)``: the middle of the one lies in the other then.
 

@@ -118,6 +118,21 @@ def test_other_limits_of_a_match(spark, least):
     assert few == many and few
 
 
+@pytest.mark.parametrize("rounds", [24, 2])
+def test_a_crowded_image_is_settled_in_tiles_without_stored_pairs(spark, monkeypatch, rounds):
+    if rounds == 24:
+        monkeypatch.setattr(B, "touching", None)
+    monkeypatch.setattr(B.crowds, "tile_side", lambda *_: 90)
+    monkeypatch.setattr(B.crowds, "SPAN", 32)
+    r = random.Random(9)
+    rows = [(i % 2, i, r.randrange(-50, 400), r.randrange(-50, 400), r.randrange(10, 60), r.randrange(10, 60), r.choice([0.4, 0.5])) for i in range(4000)]
+    rows += [(0, 5000 + i, 6 * i, 600, 10, 10, 0.3 - i / 1000) for i in range(150)] + [(0, 6000, 3, 3, 0, 5, 0.9), (1, 6001, 0, 0, 450, 400, 0.1), (1, 6002, -60, -60, 500, 500, 0.95)]
+    got = [(x.image_id, x.ord) for x in B._nms_rounds(spark.createDataFrame(rows, COLS), 3, 10, 128, rounds).collect()]
+    assert len(got) == len(set(got)) and set(got) == greedy(rows)
+    lost = spark.createDataFrame([(2, 1, None, 1, 2, 3, 0.5)], COLS)
+    assert B._nms_rounds(lost, 3, 10, 128).count() == 1
+
+
 def test_limits_padding_and_aspect(spark):
     rows = [(1, 2, 50, 60, 500.0), (1, 0, 80, 10, 500.0), (1, 0, 81, 10, 500.0), (1, 0, 20, 20, 5.0)]
     df = spark.createDataFrame(rows, "x int, y int, w int, h int, area double")
